@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, quality, sharding
+from . import bpe, decontamination, html_extract, quality, sharding, syncmers
 from .common import table
 
 #: Folder of public tokenizer files; a parameter of the operators.
@@ -19,11 +19,19 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.round_trip(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -37,7 +45,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_html_extract": op2_html_extract,
     "op3_decontamination": op3_decontamination,
+    "op5_syncmers": op5_syncmers,
     "op6_bpe": op6_bpe,
     "op9_quality": op9_quality,
 }
