@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, html_extract, quality, sharding, syncmers
+from . import bpe, decontamination, html_extract, pii, quality, sharding, syncmers
 from .common import table
 
 #: Folder of public tokenizer files; a parameter of the operators.
@@ -28,6 +28,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    counts = [count(k) for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(shown("base"), 256).alias("base_sha256"), shown("spans").alias("spans"))
+
+
 def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compare_edited(table(spark, sf_dir, "documents"))
 
@@ -47,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_html_extract": op2_html_extract,
     "op3_decontamination": op3_decontamination,
+    "op4_pii": op4_pii,
     "op5_syncmers": op5_syncmers,
     "op6_bpe": op6_bpe,
     "op9_quality": op9_quality,
