@@ -24,8 +24,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of each table a worker keeps; a full table is emptied and refilled.
-TABLE = 300_000
+#: Entries of each half of a worker's tables; when the young half is full it becomes the old one.
+TABLE = 60_000
+
+#: Rows that leave a worker together.
+ROWS = 512
 
 #: White space as the vocabulary's own normaliser has it (fixed values of Unicode's White_Space).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -42,6 +45,25 @@ def byte_chars() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+class Table(dict):
+    """A bounded table that keeps what was asked for lately: young entries here, older ones in `old`."""
+
+    def __init__(self) -> None:
+        self.old: dict = {}
+
+    def put(self, key, value) -> None:
+        if len(self) >= TABLE:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+
 class WordBpe:
     def __init__(self, spec: str) -> None:
         data = json.loads(spec)
@@ -58,8 +80,7 @@ class WordBpe:
         (split,) = (p for p in data["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(split["pattern"]["Regex"].replace(r"\s", SPACE))
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.words: dict[str, tuple[bytes, str]] = {}
-        self.fragments: dict[str, tuple[int, ...]] = {}
+        self.words, self.fragments = Table(), Table()
 
     def merge(self, fragment: str, last: bool) -> tuple[int, ...]:
         """Ids of one fragment; the lowest rank first, the leftmost of equals."""
@@ -104,18 +125,14 @@ class WordBpe:
         *rest, final = self.cut(chars)
         for fragment, last in [(f, False) for f in rest] + [(final, True)]:
             key = fragment + self.end if last else fragment
-            if (got := self.fragments.get(key)) is None:
-                if len(self.fragments) >= TABLE:
-                    self.fragments.clear()
+            if (got := self.fragments[key]) is None:
                 got = self.merge(fragment, last)
                 if len(key) < 64:
-                    self.fragments[key] = got
+                    self.fragments.put(key, got)
             ids.extend(got)
         out = (np.array(ids, dtype=np.int32).tobytes(), self.decode(ids))
         if len(text) < 64:
-            if len(self.words) >= TABLE:
-                self.words.clear()
-            self.words[text] = out
+            self.words.put(text, out)
         return out
 
     def decode(self, ids) -> str:
@@ -133,12 +150,12 @@ class WordBpe:
         """(ids, decoded) of each pre-token and special token of a text, in order."""
         out: list[tuple[bytes, str]] = []
         pieces = self.specials.split(text) if self.specials and "<" in text else [text]
-        known = self.words.get
+        known = self.words
         for i, piece in enumerate(pieces):
             if i % 2:
                 out.append((np.int32(self.special[piece]).tobytes(), piece))
             else:
-                out.extend([known(w) or self.word(w) for w in self.pattern.findall(self.normal(piece))])
+                out.extend([known[w] or self.word(w) for w in self.pattern.findall(self.normal(piece))])
         return out
 
 
@@ -169,8 +186,8 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     spec = _spec(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            model = _load(spec)
+        model = _load(spec)
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             blobs, texts = [], []
             for t in batch.column(1):
                 parts = model.parts(t.as_py() or "")

@@ -163,9 +163,9 @@ class Verifier:
         low = t - _MARGIN * (t * (1 - t) / K) ** 0.5
         return out.filter(F.col("e") >= F.when(F.col("sure"), F.lit(t - 1e-9)).otherwise(F.lit(low)))
 
-    def texts(self, pairs: DataFrame) -> DataFrame:
-        """sig, text of the sets in pairs, one document each; others hardly leave their partition."""
-        need = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct().join(self.sets.select("sig", "least"), "sig")
+    def fetch(self, sigs: DataFrame) -> None:
+        """Keep the texts of these sets for verified(), one document each; others hardly leave their partition."""
+        need = sigs.distinct().join(self.sets.select("sig", "least"), "sig")
         place = lambda sig, i: F.pmod(F.xxhash64(sig, i), F.lit(FILTER_BITS))
         bits = need.select(place(F.col("sig"), F.col("least")).alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("p", F.lit(64)).cast("int"))).alias("x")).collect()
         held = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
@@ -187,13 +187,12 @@ class Verifier:
         own = self.docs.select("doc_id", "text", signature("text").alias("sig")).filter(F.col("sig").isNotNull())
         own = own.filter(maybe(place(F.col("sig"), F.col("doc_id"))))
         found = own.join(need.select("sig", F.col("least")), "sig").filter(F.col("doc_id").eqNullSafe(F.col("least")))
-        return found.groupBy("sig").agg(F.min("text").alias("text"))
+        self.texts = cut(found.groupBy("sig").agg(F.min("text").alias("text")))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """a, b of the estimated pairs that are links."""
         size, percent = self.size, self.percent
-        texts = cut(self.texts(pairs.filter(~F.col("sure"))))
-        side = lambda x: texts.select(F.col("sig").alias(x), F.col("text").alias(f"t{x}"))
+        side = lambda x: self.texts.select(F.col("sig").alias(x), F.col("text").alias(f"t{x}"))
         both = pairs.filter(~F.col("sure")).select("a", "b").join(side("a"), "a").join(side("b"), "b")
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,9 +206,11 @@ class Verifier:
 
         return pairs.filter("sure").select("a", "b").unionByName(both.mapInPandas(run, "a binary, b binary"))
 
-    def links(self, pairs: DataFrame, known: DataFrame | None) -> DataFrame:
-        """All known links and those that join components: first each set's likeliest pair, then what is still apart."""
-        left = cut(self.estimated(pairs))
+    def links(self, left: DataFrame, known: DataFrame | None) -> DataFrame:
+        """All known links and those that join components: first each set's likeliest pair, then what is still apart.
+
+        left: estimated pairs, whose texts are fetched.
+        """
         best = left.select(F.col("a").alias("x"), "*").unionByName(left.select(F.col("b").alias("x"), "*")).groupBy("x").agg(F.max(F.struct("e", "a", "b", "sure")).alias("m"))
         first = cut(best.select("m.a", "m.b", "m.e", "m.sure").distinct())
         found = self.verified(first)
@@ -249,25 +250,27 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
 
 
-def join_hot(rows: DataFrame, share: DataFrame, sets: DataFrame, check: Verifier, links: DataFrame) -> DataFrame:
-    """links and those among sets that are nearly all hot."""
+def hot_members(rows: DataFrame, share: DataFrame) -> DataFrame:
+    """v, sig of the sets that are nearly all hot, in their first hot lists."""
     few = share.filter(F.col("heavy") & (F.col("share") >= NEARLY_ALL)).select("sig")
     own = rows.filter("hot").join(few, "sig").groupBy("sig").agg(F.slice(F.array_sort(F.collect_list("v")), 1, HOT_LISTS).alias("vs"))  # at most K values a set
-    members = cut(own.select("sig", F.explode("vs").alias("v")))
-    if members.isEmpty():
-        return links
+    return own.select("sig", F.explode("vs").alias("v"))
+
+
+def join_hot(members: DataFrame, sets: DataFrame, check: Verifier, links: DataFrame) -> DataFrame:
+    """links and those among sets that are nearly all hot."""
     for r in range(ROUNDS):
         now = _labelled(members, components(links))
         picks = [F.min(F.struct(F.xxhash64("sig", F.lit(r * PIVOTS + i)).alias("h"), F.col("sig").alias("sig"), F.col("label").alias("label"))).alias(f"p{i}") for i in range(PIVOTS)]
         pivots = now.groupBy("v").agg(*picks).select("v", F.explode(F.array_distinct(F.array(*(F.struct(F.col(f"p{i}.sig").alias("p"), F.col(f"p{i}.label").alias("pl")) for i in range(PIVOTS))))).alias("x")).select("v", "x.p", "x.pl")
         pairs = now.join(pivots, "v").filter((F.col("p") != F.col("sig")) & (F.col("pl") != F.col("label"))).select(F.least("p", "sig").alias("a"), F.greatest("p", "sig").alias("b")).distinct()
-        links = check.links(pairs, links)
+        links = check.links(cut(check.estimated(pairs)), links)
     now = cut(_labelled(members, components(links)))
     main = now.groupBy("v", "label").count().groupBy("v").agg(F.max(F.struct("count", "label")).alias("m")).select("v", F.col("m.label").alias("main"))
     outside = now.join(main, "v").filter(F.col("label") != F.col("main")).select("sig", "label").distinct()
     asked = outside.join(sets.select("sig", "sketch"), "sig")
     answering = cut(now.select("sig", "label").distinct().join(sets.select("sig", "sketch"), "sig"))
-    sc, low = rows.sparkSession.sparkContext, check.percent / 100 - _MARGIN * 0.4 / K**0.5
+    sc, low = members.sparkSession.sparkContext, check.percent / 100 - _MARGIN * 0.4 / K**0.5
     block: list[tuple[bytes, bytes, list[int]]] = []
     found = []
 
@@ -302,7 +305,7 @@ def join_hot(rows: DataFrame, share: DataFrame, sets: DataFrame, check: Verifier
     if block:
         found.append(look_up(block))
     for pairs in found:
-        links = check.links(pairs, links)
+        links = check.links(cut(check.estimated(pairs)), links)
     return links
 
 
@@ -317,8 +320,12 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     sets = cut(distinct_sets(rows, shingle))
     check = Verifier(rows, sets, shingle, percent)
     lists, share = _lists(sets)
-    links = check.links(cold_pairs(lists, share, percent), None)
-    links = join_hot(lists, share, sets, check, links)
+    cold = cut(check.estimated(cold_pairs(lists, share, percent)))
+    members = cut(hot_members(lists, share))
+    check.fetch(cold.filter(~F.col("sure")).select(F.explode(F.array("a", "b")).alias("sig")).unionByName(members.select("sig")))
+    links = check.links(cold, None)
+    if not members.isEmpty():
+        links = join_hot(members, sets, check, links)
     named = _labelled(sets.select("sig", "least"), components(links))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
     place = cut(named.select("sig", "label").join(least, "label").select("sig", "component_id"))
