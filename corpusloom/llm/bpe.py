@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of each half of a worker's tables; when the young half is full it becomes the old one.
-TABLE = 60_000
+TABLE = 100_000
 
 #: Rows that leave a worker together.
 ROWS = 512

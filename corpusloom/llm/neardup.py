@@ -20,7 +20,7 @@ all shingles; the K smallest of a set are its sketch.
 4. Sets that are nearly all hot (members of large groups of near copies) are
    compared with a few pivots of each hot list, round by round, which joins a group
    without making its pairs; the sets that are still outside the main component of
-   a list are then looked up, block by block, against all members.
+   a list are then looked up, block by block and on full sets, against all members.
 5. Components by alternating stars over the verified links, in Spark.
 
 A pair of similarity 0.8 or more is missed only if its sketches do not meet, with
@@ -50,10 +50,10 @@ K, FEW, LIST = 128, 32, 32
 NEARLY_ALL, HOT_LISTS = 0.7, 12
 
 #: Pivots of a hot list in a round, and rounds.
-PIVOTS, ROUNDS = 3, 3
+PIVOTS, ROUNDS = 4, 2
 
-#: Sets of a block of the last look-up.
-BLOCK = 4096
+#: Sets, and characters of their texts, of a block of the last look-up.
+BLOCK, BLOCK_CHARS = 4096, 8 << 20
 
 #: Bits of the filter that finds the texts of sets to verify; a fixed size, its errors cost work only.
 FILTER_BITS = 1 << 23
@@ -159,9 +159,11 @@ class Verifier:
         side = lambda x: self.sets.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         sure = (F.col("na") <= K) & (F.col("nb") <= K)
-        out = both.select("a", "b", estimate(F.col("ka"), F.col("kb")).alias("e"), sure.alias("sure"))
-        low = t - _MARGIN * (t * (1 - t) / K) ** 0.5
-        return out.filter(F.col("e") >= F.when(F.col("sure"), F.lit(t - 1e-9)).otherwise(F.lit(low)))
+        out = both.select("a", "b", estimate(F.col("ka"), F.col("kb")).alias("e"), sure.alias("sure"), "na", "nb")
+        # K of at least max(na, nb) values are looked at, without replacement
+        unseen = F.greatest(1 - K / F.greatest("na", "nb"), F.lit(0.1))
+        low = t - _MARGIN * F.sqrt(t * (1 - t) / K * unseen)
+        return out.filter(F.col("e") >= F.when(F.col("sure"), F.lit(t - 1e-9)).otherwise(low)).drop("na", "nb")
 
     def fetch(self, sigs: DataFrame) -> None:
         """Keep the texts of these sets for verified(), one document each; others hardly leave their partition."""
@@ -206,19 +208,22 @@ class Verifier:
 
         return pairs.filter("sure").select("a", "b").unionByName(both.mapInPandas(run, "a binary, b binary"))
 
-    def links(self, left: DataFrame, known: DataFrame | None) -> DataFrame:
-        """All known links and those that join components: first each set's likeliest pair, then what is still apart.
+    def links(self, left: DataFrame, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """(all known links and those that join components, labels of their components).
 
-        left: estimated pairs, whose texts are fetched.
+        left: estimated pairs, whose texts are fetched. First each set's likeliest
+        pair is verified, then what is still apart.
         """
         best = left.select(F.col("a").alias("x"), "*").unionByName(left.select(F.col("b").alias("x"), "*")).groupBy("x").agg(F.max(F.struct("e", "a", "b", "sure")).alias("m"))
         first = cut(best.select("m.a", "m.b", "m.e", "m.sure").distinct())
         found = self.verified(first)
         found = cut(found if known is None else found.unionByName(known))
-        rest = cut(apart(left.join(first.select("a", "b"), ["a", "b"], "left_anti"), components(found)))
+        labels = components(found)
+        rest = cut(apart(left.join(first.select("a", "b"), ["a", "b"], "left_anti"), labels))
         if rest.isEmpty():
-            return found
-        return cut(found.unionByName(self.verified(rest)))
+            return found, labels
+        found = cut(found.unionByName(self.verified(rest)))
+        return found, components(found)
 
 
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -257,56 +262,64 @@ def hot_members(rows: DataFrame, share: DataFrame) -> DataFrame:
     return own.select("sig", F.explode("vs").alias("v"))
 
 
-def join_hot(members: DataFrame, sets: DataFrame, check: Verifier, links: DataFrame) -> DataFrame:
-    """links and those among sets that are nearly all hot."""
+def join_hot(members: DataFrame, check: Verifier, links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labels after the sets that are nearly all hot have been linked too."""
     for r in range(ROUNDS):
-        now = _labelled(members, components(links))
-        picks = [F.min(F.struct(F.xxhash64("sig", F.lit(r * PIVOTS + i)).alias("h"), F.col("sig").alias("sig"), F.col("label").alias("label"))).alias(f"p{i}") for i in range(PIVOTS)]
-        pivots = now.groupBy("v").agg(*picks).select("v", F.explode(F.array_distinct(F.array(*(F.struct(F.col(f"p{i}.sig").alias("p"), F.col(f"p{i}.label").alias("pl")) for i in range(PIVOTS))))).alias("x")).select("v", "x.p", "x.pl")
+        now = _labelled(members, labels)
+        picks = [F.min(F.struct(F.xxhash64("sig", F.lit(r * PIVOTS + i)).alias("h"), F.col("sig").alias("p"), F.col("label").alias("pl"))).alias(f"p{i}") for i in range(PIVOTS)]
+        pivots = now.groupBy("v").agg(*picks).select("v", F.explode(F.array_distinct(F.array(*(F.struct(f"p{i}.p", f"p{i}.pl") for i in range(PIVOTS))))).alias("x")).select("v", "x.p", "x.pl")
         pairs = now.join(pivots, "v").filter((F.col("p") != F.col("sig")) & (F.col("pl") != F.col("label"))).select(F.least("p", "sig").alias("a"), F.greatest("p", "sig").alias("b")).distinct()
-        links = check.links(cut(check.estimated(pairs)), links)
-    now = cut(_labelled(members, components(links)))
+        links, labels = check.links(cut(check.estimated(pairs)), links)
+    now = cut(_labelled(members, labels))
     main = now.groupBy("v", "label").count().groupBy("v").agg(F.max(F.struct("count", "label")).alias("m")).select("v", F.col("m.label").alias("main"))
-    outside = now.join(main, "v").filter(F.col("label") != F.col("main")).select("sig", "label").distinct()
-    asked = outside.join(sets.select("sig", "sketch"), "sig")
-    answering = cut(now.select("sig", "label").distinct().join(sets.select("sig", "sketch"), "sig"))
-    sc, low = members.sparkSession.sparkContext, check.percent / 100 - _MARGIN * 0.4 / K**0.5
-    block: list[tuple[bytes, bytes, list[int]]] = []
-    found = []
-
-    def look_up(held: list[tuple[bytes, bytes, list[int]]]) -> DataFrame:
-        """Candidates between a block of sets and all members, by the block's own inverted lists; emits likely pairs only."""
-        values = np.concatenate([np.array(s, dtype=np.int64) for *_, s in held])
-        owner = np.repeat(np.arange(len(held)), [len(s) for *_, s in held])
-        order = np.argsort(values, kind="stable")
-        b = sc.broadcast((values[order], owner[order], [(bytes(x), bytes(y), len(s)) for x, y, s in held]))
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            vs, own, who = b.value
-            for batch in batches:
-                out = []
-                for sig, label, sketch in zip(batch["sig"], batch["label"], batch["sketch"], strict=True):
-                    lo, hi = np.searchsorted(vs, sketch, side="left"), np.searchsorted(vs, sketch, side="right")
-                    at = np.concatenate([own[i:j] for i, j in zip(lo, hi, strict=True)]) if len(sketch) else own[:0]
-                    c = np.bincount(at, minlength=len(who))
-                    for q in np.flatnonzero(c >= low * 0.8 * min(len(sketch), K)):
-                        other, theirs, _ = who[q]
-                        if theirs != label and other != sig:
-                            out.append((min(other, bytes(sig)), max(other, bytes(sig))))
-                yield pd.DataFrame(out, columns=["a", "b"])
-
-        return cut(answering.mapInPandas(run, "a binary, b binary").distinct())
-
-    for row in asked.toLocalIterator():
-        block.append((row["sig"], row["label"], row["sketch"]))
-        if len(block) == BLOCK:
-            found.append(look_up(block))
-            block = []
+    outside = now.join(main, "v").filter(F.col("label") != F.col("main")).select("sig", "label").distinct().join(check.texts, "sig")
+    answering = now.select("sig", "label").distinct().join(check.texts, "sig")
+    block: list[tuple[bytes, str]] = []
+    size = 0
+    for row in outside.select("label", "text").toLocalIterator():
+        block.append((row["label"], row["text"]))
+        size += len(row["text"])
+        if len(block) == BLOCK or size >= BLOCK_CHARS:
+            links = cut(links.unionByName(look_up(block, answering, check)))
+            block, size = [], 0
     if block:
-        found.append(look_up(block))
-    for pairs in found:
-        links = check.links(cut(check.estimated(pairs)), links)
-    return links
+        links = cut(links.unionByName(look_up(block, answering, check)))
+    return components(links)
+
+
+def look_up(asked: list[tuple[bytes, str]], answering: DataFrame, check: Verifier) -> DataFrame:
+    """Exact links between a block of sets (label, text) and all answering ones, as pairs of labels.
+
+    The block's full sets are inverted; each answering set counts its common
+    values with every set of the block at once. One link between two components
+    is as good as all, so each batch gives at most one per pair of labels.
+    """
+    shingle, percent = check.size, check.percent
+    sets = [s for _, run in pieces(t for _, t in asked) for s in shingle_sets(run, shingle)]
+    values, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
+    order = np.argsort(values, kind="stable")
+    held = check.docs.sparkSession.sparkContext.broadcast((values[order], np.repeat(np.arange(len(sets)), sizes)[order], sizes, [bytes(x) for x, _ in asked]))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vs, owner, n, theirs = held.value
+        for batch in batches:
+            out: set[tuple[bytes, bytes]] = set()
+            at = 0
+            for _, texts in pieces(batch["text"]):
+                for s in shingle_sets(texts, shingle):
+                    mine = bytes(batch["label"].iloc[at])
+                    at += 1
+                    lo, hi = np.searchsorted(vs, s, side="left"), np.searchsorted(vs, s, side="right")
+                    met = [owner[i:j] for i, j in zip(lo.tolist(), hi.tolist(), strict=True) if j > i]
+                    if not met:
+                        continue
+                    c = np.bincount(np.concatenate(met), minlength=len(n))
+                    for q in np.flatnonzero(100 * c >= percent * (n + len(s) - c)).tolist():
+                        if theirs[q] != mine:
+                            out.add((min(theirs[q], mine), max(theirs[q], mine)))
+            yield pd.DataFrame(sorted(out), columns=["a", "b"])
+
+    return answering.mapInPandas(run, "a binary, b binary").distinct()
 
 
 def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -323,10 +336,10 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     cold = cut(check.estimated(cold_pairs(lists, share, percent)))
     members = cut(hot_members(lists, share))
     check.fetch(cold.filter(~F.col("sure")).select(F.explode(F.array("a", "b")).alias("sig")).unionByName(members.select("sig")))
-    links = check.links(cold, None)
+    links, labels = check.links(cold, None)
     if not members.isEmpty():
-        links = join_hot(members, sets, check, links)
-    named = _labelled(sets.select("sig", "least"), components(links))
+        labels = join_hot(members, check, links, labels)
+    named = _labelled(sets.select("sig", "least"), labels)
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
     place = cut(named.select("sig", "label").join(least, "label").select("sig", "component_id"))
     own = signed(rows, shingle, False).join(place, "sig", "left")
