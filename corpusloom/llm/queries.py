@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, html_extract, pii, quality, sharding, syncmers
+from . import bpe, chat, decontamination, decontamination_sql, html_extract, neardup, pii, quality, sharding, syncmers, token_counts
 from .common import table
 
 #: Folder of public tokenizer files; a parameter of the operators.
@@ -45,12 +45,26 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.cluster(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
     return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat.rotate(table(spark, sf_dir, "conversations"))
+    spans = F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string"))), ",")
+    return out.select("conv_id", "part", "participant", "n_turns", "rendered", spans.alias("mask"), "n_masked")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_html_extract": op2_html_extract,
@@ -58,7 +72,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op5_syncmers": op5_syncmers,
     "op6_bpe": op6_bpe,
+    "op7_token_counts": op7_token_counts,
+    "op8_neardup": op8_neardup,
     "op9_quality": op9_quality,
+    "op10_chat": op10_chat,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = chat.SQL | decontamination_sql.SQL
