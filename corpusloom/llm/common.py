@@ -13,15 +13,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared checkpoint folder, so that no later plan repeats it.
-
-    The folder is the one of the session (spark.checkpoint.dir); only where
-    none is set, as in tests on one machine, a folder of our own is used.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where none is set, as in tests on one machine."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusloom-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusloom-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise df in the shared folder, so that no later plan repeats it and no lost executor undoes it."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
