@@ -159,7 +159,8 @@ class Verifier:
         side = lambda x: self.sets.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         sure = (F.col("na") <= K) & (F.col("nb") <= K)
-        out = both.select("a", "b", estimate(F.col("ka"), F.col("kb")).alias("e"), sure.alias("sure"), "na", "nb")
+        whole = F.size(F.array_intersect("ka", "kb")).cast("double") / F.size(F.array_union("ka", "kb"))
+        out = both.select("a", "b", F.when(sure, whole).otherwise(estimate(F.col("ka"), F.col("kb"))).alias("e"), sure.alias("sure"), "na", "nb")
         # K of at least max(na, nb) values are looked at, without replacement
         unseen = F.greatest(1 - K / F.greatest("na", "nb"), F.lit(0.1))
         low = t - _MARGIN * F.sqrt(t * (1 - t) / K * unseen)
