@@ -1,0 +1,44 @@
+"""Integrity checks as rows (check, level, n), and their exit code."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+LEVELS = {"OK": 0, "WARN": 1, "FAIL": 2}
+
+
+def check(name: str, bad: DataFrame, level: str) -> DataFrame:
+    """One row: OK if there is no bad row, else the level."""
+    n = F.count("*")
+    return bad.agg(F.lit(name).alias("check"), F.when(n == 0, "OK").otherwise(level).alias("level"), n.alias("n"))
+
+
+def report(checks: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, checks)
+
+
+def exit_code(rows: DataFrame) -> DataFrame:
+    """Counts by level and the worst level's code."""
+    code = F.max(F.when(F.col("level") == "FAIL", 2).when(F.col("level") == "WARN", 1).otherwise(0))
+    return rows.agg(*(F.count_if(F.col("level") == x).alias(f"n_{x.lower()}") for x in LEVELS), F.coalesce(code, F.lit(0)).alias("exit_code"))
+
+
+def note_checks(notes: DataFrame, required: list[str], version: int = 1) -> list[DataFrame]:
+    """Unique and present ids, version and required fields. notes: lesson_id, schema and the fields."""
+    has = F.coalesce(F.col("lesson_id").cast("string"), F.lit("")) != ""
+    twice = notes.filter(has).groupBy("lesson_id").count().filter("count > 1")
+    lacks: Column = reduce(lambda a, b: a | b, (F.col(f).isNull() | (F.col(f).cast("string") == "") for f in required))
+    return [
+        check("unique_ids", twice, "FAIL"),
+        check("missing_ids", notes.filter(~has), "WARN"),
+        check("version", notes.filter(~F.col("schema").eqNullSafe(version)), "FAIL"),
+        check("required_fields", notes.filter(lacks), "WARN"),
+    ]
+
+
+def nested_copy(paths: DataFrame, root: str) -> DataFrame:
+    """Paths inside a folder of the root's own name: a collection copied into itself."""
+    return paths.filter(F.element_at(F.split("path", "/"), 1) == root)

@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from . import corpus_queries, graph_queries, media_queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = corpus_queries.QUERIES | graph_queries.QUERIES | media_queries.QUERIES
+SQL: dict[str, str] = corpus_queries.SQL | graph_queries.SQL | media_queries.SQL
