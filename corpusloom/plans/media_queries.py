@@ -104,7 +104,7 @@ def server_parts(spark: SparkSession, sf: str) -> DataFrame:
 def growth_guardrail(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").withColumn("y", F.year("o_orderdate"))
     per = lambda y: orders.filter(F.col("y") <= y).agg(F.count("*").alias("md_count"), F.coalesce(F.sum(F.floor("o_totalprice").cast("long")), F.lit(0)).alias("size_kb")).select(F.explode(F.array(F.struct(F.lit("md_count").alias("metric"), F.col("md_count").alias("value")), F.struct(F.lit("size_kb").alias("metric"), F.col("size_kb").alias("value")))).alias("x")).select("x.*")
-    return state.growth(per(1993), per(1994))
+    return state.growth(per(1995), per(1996))
 
 
 def word_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,6 +131,6 @@ SELECT count(*)::BIGINT AS total, count(*) FILTER (WHERE good)::BIGINT AS proces
     "run_report": "WITH e AS (SELECT ['completed', 'skipped', 'failed_perm', 'failed_trans', 'completed'][event_id % 5 + 1] AS s, (event_id % 600)::DOUBLE AS a, (event_id % 37 + 1)::DOUBLE AS w FROM events), t AS (SELECT count(*) FILTER (WHERE s = 'completed')::BIGINT AS completed, count(*) FILTER (WHERE s = 'skipped')::BIGINT AS skipped, count(*) FILTER (WHERE s = 'failed_perm')::BIGINT AS failed_perm, count(*) FILTER (WHERE s = 'failed_trans')::BIGINT AS failed_trans, sum(a) FILTER (WHERE s = 'completed') AS audio_sec_total, sum(w) FILTER (WHERE s = 'completed') AS wall_sec_total FROM e) SELECT *, round(audio_sec_total / greatest(wall_sec_total, 0.001), 4) AS rtf, (failed_perm > 0)::INT AS exit_code FROM t",
     "http_failures": "SELECT (event_id % 4 * 100 + 300)::INT AS code, CASE WHEN event_id % 4 * 100 + 300 BETWEEN 400 AND 499 THEN 'permanent' ELSE 'transient' END AS kind, count(*)::BIGINT AS n FROM events GROUP BY 1, 2",
     "server_parts": "SELECT page_id, regexp_extract(url, '^[a-z]+://([^:/]+)', 1) AS host, coalesce(nullif(regexp_extract(url, '^[a-z]+://[^:/]+:([0-9]+)', 1), '')::INT, CASE WHEN starts_with(url, 'https') THEN 443 ELSE 80 END)::INT AS port FROM pages",
-    "growth_guardrail": "WITH b AS (SELECT count(*)::BIGINT AS md_count, sum(floor(o_totalprice))::BIGINT AS size_kb FROM orders WHERE year(o_orderdate) <= 1993), a AS (SELECT count(*)::BIGINT AS md_count, sum(floor(o_totalprice))::BIGINT AS size_kb FROM orders WHERE year(o_orderdate) <= 1994), r AS (SELECT 'md_count' AS metric, b.md_count AS before, a.md_count AS after FROM a, b UNION ALL SELECT 'size_kb', b.size_kb, a.size_kb FROM a, b) SELECT metric, before, after, before > 0 AND (after - before) / before > 0.5 AS violation FROM r",
+    "growth_guardrail": "WITH b AS (SELECT count(*)::BIGINT AS md_count, sum(floor(o_totalprice))::BIGINT AS size_kb FROM orders WHERE year(o_orderdate) <= 1995), a AS (SELECT count(*)::BIGINT AS md_count, sum(floor(o_totalprice))::BIGINT AS size_kb FROM orders WHERE year(o_orderdate) <= 1996), r AS (SELECT 'md_count' AS metric, b.md_count AS before, a.md_count AS after FROM a, b UNION ALL SELECT 'size_kb', b.size_kb, a.size_kb FROM a, b) SELECT metric, before, after, before > 0 AND (after - before) / before > 0.5 AS violation FROM r",
     "word_counts": r"SELECT conv_id, sum(len(list_filter(regexp_split_to_array(trim(text, ' ' || chr(10)), '\s+'), lambda x: x <> '')))::BIGINT AS word_count, trunc(arg_max(length(text), (turn, role)) * 0.37::DOUBLE)::INT AS duration_sec FROM conversations GROUP BY 1",
 }
