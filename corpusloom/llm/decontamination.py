@@ -23,9 +23,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import sha256_hex
+from .common import keyed, unkeyed
 from .wordhash import ALNUM, Words, grams, pieces, words
 
 #: Words of a window: the length from which a shared span is always found.
@@ -188,9 +187,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
             got = work(b["text"])
             yield pd.DataFrame({"doc_id": b["doc_id"], "n_words": got["n_words"].to_numpy(), "n_hit": got["n_hit"].to_numpy(), "items": got["items"].to_numpy()})
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = rows.schema["doc_id"].dataType
-    out = rows.mapInPandas(run, T.StructType([T.StructField("doc_id", kind), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType()))]))
+    rows = keyed(docs, id_col, F.col(text_col).alias("text"))
+    out = unkeyed(rows.mapInPandas(run, "doc_id string, n_words long, n_hit long, items array<string>"), docs, id_col)
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated"))
 
 
@@ -198,12 +196,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """The rows of docs without a hit, all columns as they were; decided in the one scan."""
     work = scanner(blocks(benchmark))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield b[(work(b[text_col])["n_hit"] == 0).to_numpy()]
-
-    return docs.mapInPandas(run, docs.schema)
-
+    @F.pandas_udf("boolean")
+    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for t in texts:
+            yield work(t)["n_hit"] == 0
 
-def digest(items: list[str]) -> str:
-    return sha256_hex(",".join(items))
+    return docs.filter(clean(F.col(text_col)))

@@ -3,8 +3,8 @@
 Pass 1 (`container_scores`): each page is read into its containers; each gets a
 score from the prose it holds, less what it holds of links and boilerplate, and a
 generalised path of tags and classes (digits become #, order of classes does not
-count). Pass 2 (`winning_paths`): Spark adds up, per host, the scores that each
-path got over the host's pages; the best few paths win. Pass 3 (`extract`): each
+count). The best one is the page's vote. Pass 2 (`winning_paths`): Spark counts,
+per host, the votes of its pages for each path; the first few paths win. Pass 3 (`extract`): each
 page is read again and the containers on its host's best path that it has are
 taken; a page that has none of them falls back to its own best container.
 
@@ -40,6 +40,9 @@ BOILER_WORDS = frozenset(
     "comment comments commentlist reply replies respond disqus widget toolbar pagination pager skip hidden".split()
 )
 
+#: Depth of the tree that is told apart.
+DEPTH = 256
+
 #: Winning paths kept for a host with several layouts; a page without any of them uses its own best container.
 PATHS = 8
 
@@ -65,7 +68,7 @@ class Page:
     """
 
     def __init__(self, source: str) -> None:
-        self.up, self.path, self.bad = [-1], [""], [False]
+        self.up, self.path, self.bad, self.deep = [-1], ["body"], [False], [0]
         self.blocks: list[tuple[int, str, int]] = []
         self._text: list[str] = []
         self._links = 0
@@ -102,22 +105,28 @@ class Page:
                     bad = bad or value.lower() in BOILER_ROLES
                 elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _HIDDEN.search(value)):
                     bad = True
-        self.up.append(parent)
-        self.path.append(f"{self.path[parent]}/{tag}{classes}"[-400:])
+        # below DEPTH all containers hang on the one at that depth, so no chain is longer
+        over = self.deep[parent] >= DEPTH
+        self.up.append(self.up[parent] if over else parent)
+        self.deep.append(DEPTH if over else self.deep[parent] + 1)
+        # html and body, which pages may leave out, are the root by another name
+        self.path.append(self.path[parent] if over or tag in ("html", "body") else f"{self.path[parent]}/{tag}{classes}"[-400:])
         self.bad.append((bad and tag not in ("body", "html")) or self.bad[parent])
         return len(self.up) - 1
 
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = []  # open elements and the container each stands in or is
-        at, here, links, pos, n = 0, 0, 0, 0, len(source)
+        here, links, open_p, pos, n = 0, 0, 0, 0, len(source)
         low: str | None = None
 
         def leave(i: int) -> None:
-            nonlocal here, links
+            nonlocal here, links, open_p
             self._flush(here)
+            gone = stack[i:]
             del stack[i:]
             here = stack[-1][1] if stack else 0
-            links = sum(t == "a" for t, _ in stack) if links else 0
+            links -= sum(t == "a" for t, _ in gone)
+            open_p -= sum(t == "p" for t, _ in gone)
 
         while pos < n:
             at = source.find("<", pos)
@@ -168,7 +177,7 @@ class Page:
                 stack.append((tag, here))
                 links += tag == "a"
                 continue
-            if tag in ENDS_P:
+            if tag in ENDS_P and open_p:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == "p":
                         leave(i)
@@ -185,10 +194,11 @@ class Page:
                 continue
             here = self._enter(here, tag, m[3])
             stack.append((tag, here))
+            open_p += tag == "p"
         self._flush(here)
 
     def _chain(self, i: int) -> Iterator[int]:
-        while i > 0:
+        while i >= 0:
             yield i
             i = self.up[i]
 
@@ -214,13 +224,13 @@ class Page:
         """Candidate containers' paths with the best score of each, best first."""
         best: dict[str, float] = {}
         for i, s in enumerate(self.scores()):
-            if i and not self.bad[i] and s > 0 and self.path[i].rsplit("/", 1)[-1].split(".")[0] not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "pre", "dt", "dd"):
+            if not self.bad[i] and s > 0 and self.path[i].rsplit("/", 1)[-1].split(".")[0] not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "pre", "dt", "dd"):
                 best[self.path[i]] = max(best.get(self.path[i], 0.0), s)
         return sorted(best.items(), key=lambda x: (-x[1], x[0].count("/"), x[0]))
 
     def main_text(self, paths: list[str]) -> str:
         """Blocks of the containers on the first of the paths that the page has, else of its best container."""
-        have = {p for p, b in zip(self.path[1:], self.bad[1:], strict=True) if not b}
+        have = {p for p, b in zip(self.path, self.bad, strict=True) if not b}
         chosen = next((p for p in paths if p in have), None)
         if chosen is None:
             chosen = next((p for p, _ in self.ranked()), "")
@@ -236,24 +246,24 @@ def host_of(url: Column) -> Column:
 
 
 def container_scores(pages: DataFrame) -> DataFrame:
-    """host, path, score: the candidate containers of each page (columns host, html)."""
+    """host, path, score: the best-scored container of each page (columns host, html) is the page's vote."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [(h, p, s) for h, source in zip(b["host"], b["html"], strict=True) if h and source for p, s in Page(source).ranked()]
+            found = [(h, p, s) for h, source in zip(b["host"], b["html"], strict=True) if h and source for p, s in Page(source).ranked()[:1]]
             yield pd.DataFrame(found, columns=["host", "path", "score"])
 
     return pages.select("host", "html").mapInPandas(run, "host string, path string, score double")
 
 
 def winning_paths(scores: DataFrame, paths: int = PATHS) -> DataFrame:
-    """host, paths: the host's best paths by the sum of their scores over its pages.
+    """host, paths: the host's paths with the most votes of its pages, then the highest scores.
 
-    Sums are made per task before anything moves, so a host with most of the
+    Votes are counted per task before anything moves, so a host with most of the
     pages sends no more than a small one.
     """
-    votes = scores.groupBy("host", "path").agg(F.sum(F.round("score")).alias("votes"), F.count("*").alias("pages"))
-    order = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("pages"), F.length("path"), "path")
+    votes = scores.groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum(F.round("score")).alias("worth"))
+    order = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("worth"), F.length("path"), "path")
     best = votes.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= paths)
     return best.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "path"))), lambda x: x["path"]).alias("paths"))
 
@@ -265,7 +275,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     have no consensus and use their own best container. Repeated rows vote each.
     An empty table gives no rows. Other columns are not looked at.
     """
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
+    rows = pages.select(F.col(id_col).cast("string").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
     won = cut(winning_paths(container_scores(rows)))
     small = won.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
     joined = rows.join(F.broadcast(won) if small else won, "host", "left")
@@ -275,5 +285,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             texts = [Page(source).main_text(list(p) if p is not None else []) if source else "" for source, p in zip(b["html"], b["paths"], strict=True)]
             yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": texts})
 
-    kind = rows.schema["page_id"].dataType.simpleString()
-    return joined.select("page_id", "url", "html", "paths").mapInPandas(run, f"page_id {kind}, url string, text string")
+    out = joined.select("page_id", "url", "html", "paths").mapInPandas(run, "page_id string, url string, text string")
+    return out.withColumn("page_id", F.col("page_id").cast(pages.schema[id_col].dataType))

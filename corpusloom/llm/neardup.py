@@ -33,6 +33,7 @@ nothing; a null doc_id is the largest; repeated rows are equal sets.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, keyed, unkeyed
 from .wordhash import NONSPACE, grams, pieces, words
 
 #: Values of a sketch; values of it whose lists are used; sets of a list that still makes pairs.
@@ -84,19 +85,15 @@ def signed(docs: DataFrame, size: int, sketches: bool) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            n, sig, sketch = [], [], []
-            for _, texts in pieces(b["text"]):
-                for s in shingle_sets(texts, size):
-                    n.append(len(s))
-                    sig.append(_signature(s))
-                    sketch.append(s[:K])
-            out = pd.DataFrame({"doc_id": b["doc_id"], "n": n, "sig": sig})
-            if sketches:
-                out["sketch"] = sketch
-            yield out
+            for at, texts in pieces(b["text"]):  # what leaves together is a piece, not a batch
+                sets = list(shingle_sets(texts, size))
+                out = pd.DataFrame({"doc_id": b["doc_id"].iloc[at : at + len(sets)].to_numpy(), "n": [len(s) for s in sets], "sig": [_signature(s) for s in sets]})
+                if sketches:
+                    out["sketch"] = [s[:K] for s in sets]
+                yield out
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n long, sig binary" + (", sketch array<long>" if sketches else ""))
+    out = keyed(docs, "doc_id", F.col("text")).mapInPandas(run, "doc_id string, n long, sig binary" + (", sketch array<long>" if sketches else ""))
+    return unkeyed(out, docs, "doc_id")
 
 
 def distinct_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -169,26 +166,25 @@ class Verifier:
     def fetch(self, sigs: DataFrame) -> None:
         """Keep the texts of these sets for verified(), one document each; others hardly leave their partition."""
         need = sigs.distinct().join(self.sets.select("sig", "least"), "sig")
-        place = lambda sig, i: F.pmod(F.xxhash64(sig, i), F.lit(FILTER_BITS))
-        bits = need.select(place(F.col("sig"), F.col("least")).alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("p", F.lit(64)).cast("int"))).alias("x")).collect()
+        place = F.crc32(F.concat("sig", F.coalesce(F.col("least").cast("string"), F.lit("")).cast("binary"))) % FILTER_BITS
+        bits = need.select(place.alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("p", F.lit(64)).cast("int"))).alias("x")).collect()
         held = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
         for r in bits:
             held[r["w"]] = np.uint64(r["x"] & (2**64 - 1))
-        filter_ = self.docs.sparkSession.sparkContext.broadcast(held)
+        filter_, size = self.docs.sparkSession.sparkContext.broadcast(held), self.size
 
-        @F.pandas_udf("boolean")
-        def maybe(p: pd.Series) -> pd.Series:
-            x = p.to_numpy().astype(np.uint64)
-            return pd.Series((filter_.value[(x >> np.uint64(6)).astype(np.int64)] >> (x & np.uint64(63))) & np.uint64(1) == 1)
-
-        size = self.size
-
-        @F.pandas_udf("binary")
-        def signature(texts: pd.Series) -> pd.Series:
-            return pd.Series([_signature(s) for _, run in pieces(texts) for s in shingle_sets(run, size)], dtype=object)
-
-        own = self.docs.select("doc_id", "text", signature("text").alias("sig")).filter(F.col("sig").isNotNull())
-        own = own.filter(maybe(place(F.col("sig"), F.col("doc_id"))))
+        def wanted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                for at, run in pieces(b["text"]):
+                    part = b.iloc[at : at + len(run)]
+                    sigs = [_signature(s) for s in shingle_sets(run, size)]
+                    ids = [i or "" for i in part["doc_id"]]
+                    p = np.array([zlib.crc32((s or b"") + i.encode()) % FILTER_BITS for s, i in zip(sigs, ids, strict=True)], dtype=np.int64)
+                    maybe = (filter_.value[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
+                    keep = maybe & np.array([s is not None for s in sigs])
+                    yield part.assign(sig=sigs)[keep]
+
+        own = unkeyed(keyed(self.docs, "doc_id", F.col("text")).mapInPandas(wanted, "doc_id string, text string, sig binary"), self.docs, "doc_id")
         found = own.join(need.select("sig", F.col("least")), "sig").filter(F.col("doc_id").eqNullSafe(F.col("least")))
         self.texts = cut(found.groupBy("sig").agg(F.min("text").alias("text")))
 
@@ -330,7 +326,7 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     See the module for nulls, empty texts, ties and repeated rows; other columns
     are not looked at; an empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sets = cut(distinct_sets(rows, shingle))
     check = Verifier(rows, sets, shingle, percent)
     lists, share = _lists(sets)

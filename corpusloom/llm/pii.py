@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import keyed, unkeyed
+
 #: Kinds in the order that breaks ties of a start.
 KINDS = ("email", "ip", "card", "phone")
 
@@ -400,7 +402,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     are not looked at; an empty table gives no rows.
     """
     field = trained()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = keyed(docs, id_col, F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         row = lambda s: {"start": s[0], "kind": s[1], "end": s[2]}
@@ -408,7 +410,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             got = [find_spans(t or "", field) for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "base": [[row(s) for s in x] for x, _ in got], "spans": [[row(s) for s in x] for _, x in got]})
 
-    return rows.mapInPandas(run, T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("base", _SPAN), T.StructField("spans", _SPAN)]))
+    return unkeyed(rows.mapInPandas(run, T.StructType([T.StructField("doc_id", T.StringType()), T.StructField("base", _SPAN), T.StructField("spans", _SPAN)])), docs, id_col)
 
 
 def redacted(text: str, spans: list[tuple[int, str, int]]) -> str:

@@ -19,7 +19,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from .common import keyed, unkeyed
 
 #: Added to a piece's place before the logarithm.
 SHIFT = 100.0
@@ -123,5 +124,5 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 totals.append(total)
             yield pd.DataFrame({"doc_id": b["doc_id"], "n_pretokens": sizes, "n_tokens": totals})
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("n_pretokens", T.LongType()), T.StructField("n_tokens", T.LongType())]))
+    rows = keyed(docs, id_col, F.col(text_col).alias("text"))
+    return unkeyed(rows.mapInPandas(run, "doc_id string, n_pretokens long, n_tokens long"), docs, id_col)

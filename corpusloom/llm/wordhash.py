@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Bytes handled together; longer texts are cut at word ends, so temporaries stay bounded.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -37,7 +37,7 @@ _powers: dict[int, np.ndarray] = {}
 def _power(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < n:
-        steps = np.full(max(n, 4 * PIECE), base, dtype=np.uint64)
+        steps = np.full(max(n, 2 * PIECE), base, dtype=np.uint64)
         steps[0] = 1
         have = np.cumprod(steps, dtype=np.uint64)
         if len(have) <= 8 * PIECE:
