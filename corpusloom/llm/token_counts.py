@@ -29,7 +29,7 @@ SHIFT = 100.0
 UNKNOWN = -30.0
 
 #: Nodes of a worker's trie; a full trie is dropped and grown anew.
-NODES = 400_000
+NODES = 600_000
 
 #: Letters of a pre-token that are looked at by the trie; longer ones are worked out alone, outside it.
 LONG = 200
@@ -48,19 +48,25 @@ def vocabulary(path: str) -> dict[str, float]:
 
 
 class Trie:
-    """Nodes are [score, pieces, children]; a path from the root spells a prefix."""
+    """Nodes are [score, pieces, children or None]; a path from the root spells a prefix."""
 
     def __init__(self, pieces: dict[str, float]) -> None:
         self.pieces, self.longest = pieces, max(map(len, pieces), default=1)
+        # every end of a piece: its score, or None where the end alone is no piece
+        self.ends: dict[str, float | None] = {p[i:]: None for p in pieces for i in range(len(p))}
+        self.ends.update(pieces)
         self.root: list = [0.0, 0, {}]
         self.nodes, self.worked = 1, 0
 
     def _next(self, text: str, i: int, above: list[list]) -> list:
-        """The node after letter i, from the nodes of the prefixes before it; ties take fewer, then longer last pieces."""
+        """The node after letter i, from the nodes of the prefixes before it; of equal scores the fewer pieces."""
         best, count = -math.inf, 0
-        get = self.pieces.get
-        for n in range(min(self.longest, i + 1), 0, -1):
-            score = get(text[i + 1 - n : i + 1])
+        ends = self.ends
+        for n in range(1, len(above) + 1):
+            last = text[i + 1 - n : i + 1]
+            if last not in ends:
+                break  # nor does any longer one end a piece
+            score = ends[last]
             if score is None:
                 continue
             before = above[-n]
@@ -71,18 +77,22 @@ class Trie:
             before = above[-1]
             best, count = before[0] + UNKNOWN, before[1] + len(text[i].encode("utf-8", "surrogatepass"))
         self.worked += 1
-        return [best, count, {}]
+        return [best, count, None]
 
     def count(self, token: str) -> int:
         """Pieces of the best segmentation of a pre-token (with its mark)."""
         node, above = self.root, [self.root]
         alone = len(token) > LONG
         for i, c in enumerate(token):
-            child = None if alone else node[2].get(c)
+            below = node[2]
+            child = None if alone or below is None else below.get(c)
             if child is None:
                 child = self._next(token, i, above)
                 if not alone:
-                    node[2][c] = child
+                    if below is None:
+                        node[2] = {c: child}
+                    else:
+                        below[c] = child
                     self.nodes += 1
             node = child
             above.append(node)
