@@ -9,8 +9,8 @@ all shingles; the K smallest of a set are its sketch.
    of its FEW smallest values; of two sets with similarity 0.8 each smallest value
    of the union is shared with probability 0.8, so they meet many times over.
    Lists with more than LIST sets (passages that many documents share, groups of
-   near copies) are hot and make no pairs. A set of which more than half of the
-   values are hot is in the lists of all its K values instead, and one that is
+   near copies) are hot and make no pairs. A set of which more than a third of
+   the values are hot is in the lists of all its K values instead, and one that is
    nearly all hot also takes part in step 4.
 3. Overlap counts, then the union sketch (the K smallest of two sketches together
    estimate the similarity without bias) remove unlikely pairs; what is left is
@@ -47,6 +47,9 @@ from .wordhash import NONSPACE, grams, pieces, words
 #: Values of a sketch; values of it whose lists are used; sets of a list that still makes pairs.
 K, FEW, LIST = 128, 32, 32
 
+#: Share of hot values above which all values of a set are used; rows up to which a table may be broadcast.
+HEAVY, SMALL = 1 / 3, 100_000
+
 #: Share of hot values from which a set is compared by pivots, and its hot lists that are used.
 NEARLY_ALL, HOT_LISTS = 0.7, 12
 
@@ -97,9 +100,9 @@ def signed(docs: DataFrame, size: int, sketches: bool) -> DataFrame:
 
 
 def distinct_sets(docs: DataFrame, size: int) -> DataFrame:
-    """One row per distinct set: sig, n, sketch, least (its smallest doc_id). Copies are combined before they move."""
+    """One row per distinct set: sig, k (64 bits of it), n, sketch, least (its smallest doc_id). Copies are combined before they move."""
     own = signed(docs, size, True).filter(F.col("sig").isNotNull())
-    return own.groupBy("sig").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    return own.groupBy("sig").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).withColumn("k", F.xxhash64("sig"))
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -108,21 +111,31 @@ def estimate(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(F.array_intersect(a, b), union)).cast("double") / F.size(union)
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """df, materialised; to be broadcast only where it has few rows, which is counted."""
+    df = cut(df)
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
+
+
 def _lists(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows v, sig, n, hot of each set's lists; hot_sets: sig, share of its values that are hot)."""
-    few = sets.select("sig", "n", F.explode(F.slice("sketch", 1, FEW)).alias("v"))
-    crowded = few.groupBy("v").count().filter(F.col("count") > LIST).select("v")
-    # of sets with any hot value: how many of their first values are hot
-    heavy = few.join(crowded, "v").groupBy("sig").agg(F.count("*").alias("k"), F.first("n").alias("n")).filter(F.col("k") > F.least(F.lit(FEW), F.col("n")) / 2).select("sig")
-    deep = sets.join(heavy, "sig").select("sig", "n", F.explode(F.slice("sketch", FEW + 1, K)).alias("v"))
-    rows = cut(few.unionByName(deep))
-    hot = rows.groupBy("v").count().filter(F.col("count") > LIST).select("v", F.lit(True).alias("hot"))
-    rows = cut(rows.join(hot, "v", "left").withColumn("hot", F.coalesce("hot", F.lit(False))))
-    share = rows.filter("hot").groupBy("sig").agg(F.count("*").alias("k"), F.first("n").alias("n"))
+    """(rows v, k, n, count of each set's lists that hold another set; share: k, share of its values that are hot, heavy).
+
+    k stands for a set in lists and pairs: 64 bits of its signature. Two sets that
+    met in one k would give candidates too many, never a link too many or too few.
+    """
+    few = sets.select("k", "n", F.explode(F.slice("sketch", 1, FEW)).alias("v"))
+    crowded = _small(few.groupBy("v").count().filter(F.col("count") > LIST).select("v"))
+    hot = few.join(crowded, "v").groupBy("k").agg(F.count("*").alias("hot"), F.first("n").alias("n"))
+    heavy = _small(hot.filter(F.col("hot") > F.least(F.lit(FEW), F.col("n")) * HEAVY).select("k"))
+    deep = sets.join(heavy, "k", "left_semi").select("k", "n", F.explode(F.slice("sketch", FEW + 1, K)).alias("v"))
+    rows = few.unionByName(deep)
+    shared = rows.groupBy("v").count().filter(F.col("count") > 1)
+    rows = cut(rows.join(shared, "v"))
+    share = rows.filter(F.col("count") > LIST).groupBy("k").agg(F.count("*").alias("hot"), F.first("n").alias("n"))
     # all of a heavy set's values are rows, of others the first FEW
+    share = share.join(heavy.withColumn("heavy", F.lit(True)), "k", "left").withColumn("heavy", F.coalesce("heavy", F.lit(False)))
     seen = F.when(F.col("heavy"), F.least(F.lit(K), F.col("n"))).otherwise(F.least(F.lit(FEW), F.col("n")))
-    share = share.join(heavy.withColumn("heavy", F.lit(True)), "sig", "left").withColumn("heavy", F.coalesce("heavy", F.lit(False)))
-    return rows, cut(share.select("sig", (F.col("k") / seen).alias("share"), "heavy"))
+    return rows, cut(share.select("k", (F.col("hot") / seen).alias("share"), "heavy"))
 
 
 def _least_overlap(share: Column, n: Column) -> Column:
@@ -132,16 +145,16 @@ def _least_overlap(share: Column, n: Column) -> Column:
 
 
 def cold_pairs(rows: DataFrame, share: DataFrame, percent: int) -> DataFrame:
-    """a, b (a < b): pairs that meet often enough in lists of at most LIST sets, and may be similar by their sizes."""
-    cold = rows.filter(~F.col("hot")).select("v", "sig", "n")
-    other = cold.select("v", F.col("sig").alias("b"), F.col("n").alias("nb"))
+    """ka, kb (ka < kb): pairs that meet often enough in lists of at most LIST sets, and may be similar by their sizes."""
+    cold = rows.filter(F.col("count") <= LIST)
+    mine, other = cold.select("v", F.col("k").alias("ka"), "n"), cold.select("v", F.col("k").alias("kb"), F.col("n").alias("nb"))
     sized = (F.col("n") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("n") * percent)
-    met = cold.withColumnsRenamed({"sig": "a"}).join(other, "v").filter((F.col("a") < F.col("b")) & sized)
-    counted = met.groupBy("a", "b").agg(F.count("*").alias("c"), F.least(F.first("n"), F.first("nb")).alias("n"))
+    met = mine.join(other, "v").filter((F.col("ka") < F.col("kb")) & sized)
+    counted = met.groupBy("ka", "kb").agg(F.count("*").alias("c"), F.least(F.first("n"), F.first("nb")).alias("n"))
     for x in ("a", "b"):
-        counted = counted.join(share.select(F.col("sig").alias(x), F.col("share").alias(f"s{x}")), x, "left")
+        counted = counted.join(share.select(F.col("k").alias(f"k{x}"), F.col("share").alias(f"s{x}")), f"k{x}", "left")
     most = F.greatest(F.coalesce("sa", F.lit(0.0)), F.coalesce("sb", F.lit(0.0)))
-    return counted.filter(F.col("c") >= _least_overlap(most, F.col("n"))).select("a", "b")
+    return counted.filter(F.col("c") >= _least_overlap(most, F.col("n"))).select("ka", "kb")
 
 
 class Verifier:
@@ -151,13 +164,16 @@ class Verifier:
         self.docs, self.sets, self.size, self.percent = docs, sets, size, percent
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
-        """a, b, e (estimate) of pairs that may be similar; e is exact where `sure`."""
+        """a, b (a < b), e (estimate), sure of the pairs (ka, kb) that may be similar; e is exact where `sure`."""
         t = self.percent / 100
-        side = lambda x: self.sets.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        pairs = cut(pairs)
+        met = _small(pairs.select(F.explode(F.array("ka", "kb")).alias("k")).distinct())
+        sets = cut(self.sets.join(met, "k", "left_semi"))  # sketches of few sets move with the pairs
+        side = lambda x: sets.select(F.col("k").alias(f"k{x}"), F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+        both = pairs.join(side("a"), "ka").join(side("b"), "kb")
         sure = (F.col("na") <= K) & (F.col("nb") <= K)
-        whole = F.size(F.array_intersect("ka", "kb")).cast("double") / F.size(F.array_union("ka", "kb"))
-        out = both.select("a", "b", F.when(sure, whole).otherwise(estimate(F.col("ka"), F.col("kb"))).alias("e"), sure.alias("sure"), "na", "nb")
+        whole = F.size(F.array_intersect("sa", "sb")).cast("double") / F.size(F.array_union("sa", "sb"))
+        out = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(sure, whole).otherwise(estimate(F.col("sa"), F.col("sb"))).alias("e"), sure.alias("sure"), "na", "nb")
         # K of at least max(na, nb) values are looked at, without replacement
         unseen = F.greatest(1 - K / F.greatest("na", "nb"), F.lit(0.1))
         low = t - _MARGIN * F.sqrt(t * (1 - t) / K * unseen)
@@ -252,20 +268,20 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
 
 
-def hot_members(rows: DataFrame, share: DataFrame) -> DataFrame:
-    """v, sig of the sets that are nearly all hot, in their first hot lists."""
-    few = share.filter(F.col("heavy") & (F.col("share") >= NEARLY_ALL)).select("sig")
-    own = rows.filter("hot").join(few, "sig").groupBy("sig").agg(F.slice(F.array_sort(F.collect_list("v")), 1, HOT_LISTS).alias("vs"))  # at most K values a set
-    return own.select("sig", F.explode("vs").alias("v"))
+def hot_members(rows: DataFrame, share: DataFrame, sets: DataFrame) -> DataFrame:
+    """v, k, sig of the sets that are nearly all hot, in their first hot lists."""
+    few = share.filter(F.col("heavy") & (F.col("share") >= NEARLY_ALL)).select("k")
+    own = rows.filter(F.col("count") > LIST).join(few, "k").groupBy("k").agg(F.slice(F.array_sort(F.collect_list("v")), 1, HOT_LISTS).alias("vs"))  # at most K values a set
+    return own.join(sets.select("k", "sig"), "k").select("k", "sig", F.explode("vs").alias("v"))
 
 
 def join_hot(members: DataFrame, check: Verifier, links: DataFrame, labels: DataFrame) -> DataFrame:
     """Labels after the sets that are nearly all hot have been linked too."""
     for r in range(ROUNDS):
         now = _labelled(members, labels)
-        picks = [F.min(F.struct(F.xxhash64("sig", F.lit(r * PIVOTS + i)).alias("h"), F.col("sig").alias("p"), F.col("label").alias("pl"))).alias(f"p{i}") for i in range(PIVOTS)]
+        picks = [F.min(F.struct(F.xxhash64("sig", F.lit(r * PIVOTS + i)).alias("h"), F.col("k").alias("p"), F.col("label").alias("pl"))).alias(f"p{i}") for i in range(PIVOTS)]
         pivots = now.groupBy("v").agg(*picks).select("v", F.explode(F.array_distinct(F.array(*(F.struct(f"p{i}.p", f"p{i}.pl") for i in range(PIVOTS))))).alias("x")).select("v", "x.p", "x.pl")
-        pairs = now.join(pivots, "v").filter((F.col("p") != F.col("sig")) & (F.col("pl") != F.col("label"))).select(F.least("p", "sig").alias("a"), F.greatest("p", "sig").alias("b")).distinct()
+        pairs = now.join(pivots, "v").filter((F.col("p") != F.col("k")) & (F.col("pl") != F.col("label"))).select(F.least("p", "k").alias("ka"), F.greatest("p", "k").alias("kb")).distinct()
         links, labels = check.links(cut(check.estimated(pairs)), links)
     now = cut(_labelled(members, labels))
     main = now.groupBy("v", "label").count().groupBy("v").agg(F.max(F.struct("count", "label")).alias("m")).select("v", F.col("m.label").alias("main"))
@@ -331,8 +347,8 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     check = Verifier(rows, sets, shingle, percent)
     lists, share = _lists(sets)
     cold = cut(check.estimated(cold_pairs(lists, share, percent)))
-    members = cut(hot_members(lists, share))
-    check.fetch(cold.filter(~F.col("sure")).select(F.explode(F.array("a", "b")).alias("sig")).unionByName(members.select("sig")))
+    members = cut(hot_members(lists, share, sets))
+    check.fetch(cold.filter(~F.col("sure")).select(F.explode(F.array("a", "b")).alias("sig")).unionByName(members.select("sig").distinct()))
     links, labels = check.links(cold, None)
     if not members.isEmpty():
         labels = join_hot(members, check, links, labels)
