@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, decontamination_sql, html_extract, neardup, pii, quality, sharding, syncmers, token_counts
+from . import bpe, chat, decontamination, html_extract, neardup, oracle, pii, quality, sharding, syncmers, token_counts
 from .common import table
 
 #: Folder of public tokenizer files; a parameter of the operators.
@@ -78,4 +78,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": op10_chat,
 }
 
-SQL: dict[str, str] = chat.SQL | decontamination_sql.SQL
+SQL: dict[str, str] = oracle.SQL | chat.SQL
