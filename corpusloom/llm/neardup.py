@@ -21,7 +21,8 @@ all shingles; the K smallest of a set are its sketch.
    compared with a few pivots of each hot list, round by round, which joins a group
    without making its pairs; the sets that are still outside the main component of
    a list are then looked up, block by block and on full sets, against all members.
-5. Components by alternating stars over the verified links, in Spark.
+5. Components of the verified links: by alternating stars over all executors, or,
+   up to a counted number of links, by union-find in one task.
 
 A pair of similarity 0.8 or more is missed only if its sketches do not meet, with
 a probability below 1e-6 at exactly 0.8 and falling fast above it.
@@ -50,6 +51,9 @@ K, FEW, LIST = 128, 32, 32
 #: Share of hot values above which all values of a set are used; rows up to which a table may be broadcast.
 HEAVY, SMALL = 1 / 3, 100_000
 
+#: Links up to which one task works out the components.
+ONE_TASK = 200_000
+
 #: Share of hot values from which a set is compared by pivots, and its hot lists that are used.
 NEARLY_ALL, HOT_LISTS = 0.7, 12
 
@@ -246,9 +250,34 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.filter(F.col("la") != F.col("lb")).drop("la", "lb")
 
 
+def _united(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Components of one task's edges by union-find; the smallest node is the root."""
+    up: dict[bytes, bytes] = {}
+
+    def top(x: bytes) -> bytes:
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = up[y]
+            x = up[x]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch["u"], batch["v"], strict=True):
+            a, b = top(bytes(u)), top(bytes(v))
+            if a != b:
+                up[max(a, b)] = min(a, b)
+    nodes = list(up)
+    yield pd.DataFrame({"node": nodes, "label": [top(x) for x in nodes]})
+
+
 def components(links: DataFrame) -> DataFrame:
-    """node, label (the smallest node of its component) of the linked nodes, by alternating large and small stars."""
+    """node, label (the smallest node of its component) of the linked nodes.
+
+    Up to ONE_TASK links, which are counted, one task unites them; more are united
+    by alternating large and small stars over all executors, with equal labels.
+    """
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter(F.col("u") != F.col("v")).distinct())
+    if edges.count() <= ONE_TASK:
+        return cut(edges.coalesce(1).mapInPandas(_united, "node binary, label binary"))
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -375,6 +375,7 @@ def test_neardup(spark, texts, hot, monkeypatch):
         monkeypatch.setattr(neardup, "PIVOTS", 1)
         monkeypatch.setattr(neardup, "ROUNDS", 1)
         monkeypatch.setattr(neardup, "BLOCK", 7)
+        monkeypatch.setattr(neardup, "ONE_TASK", 0)
     rows = [(500 - i, t) for i, t in texts] + [(7, texts[7][1]), (None, texts[3][1]), (2**62 + 1, "a large id")]
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in neardup.cluster(frame(spark, rows), shingle=4).collect()), key=repr)
     assert got == sorted(slow_components(rows, 4, 80), key=repr)
@@ -388,7 +389,9 @@ def test_neardup_of_nothing(spark):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == [(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True)]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, 200_000])
+def test_components(spark, one_task, monkeypatch):
+    monkeypatch.setattr(neardup, "ONE_TASK", one_task)
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)]
     df = spark.createDataFrame([(a.to_bytes(2, "big"), b.to_bytes(2, "big")) for a, b in edges], "a binary, b binary")
