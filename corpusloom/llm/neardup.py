@@ -122,7 +122,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _lists(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows v, k, n, count of each set's lists that hold another set; share: k, share of its values that are hot, heavy).
+    """(rows v, k, n, count of each set's lists that hold another set; share: k, share of its values that are hot, heavy, vs: its first hot lists).
 
     k stands for a set in lists and pairs: 64 bits of its signature. Two sets that
     met in one k would give candidates too many, never a link too many or too few.
@@ -135,11 +135,12 @@ def _lists(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = few.unionByName(deep)
     shared = rows.groupBy("v").count().filter(F.col("count") > 1)
     rows = cut(rows.join(shared, "v"))
-    share = rows.filter(F.col("count") > LIST).groupBy("k").agg(F.count("*").alias("hot"), F.first("n").alias("n"))
+    lists = F.slice(F.array_sort(F.collect_list("v")), 1, HOT_LISTS).alias("vs")  # of at most K values a set
+    share = rows.filter(F.col("count") > LIST).groupBy("k").agg(F.count("*").alias("hot"), F.first("n").alias("n"), lists)
     # all of a heavy set's values are rows, of others the first FEW
     share = share.join(heavy.withColumn("heavy", F.lit(True)), "k", "left").withColumn("heavy", F.coalesce("heavy", F.lit(False)))
     seen = F.when(F.col("heavy"), F.least(F.lit(K), F.col("n"))).otherwise(F.least(F.lit(FEW), F.col("n")))
-    return rows, cut(share.select("k", (F.col("hot") / seen).alias("share"), "heavy"))
+    return rows, cut(share.select("k", (F.col("hot") / seen).alias("share"), "heavy", "vs"))
 
 
 def _least_overlap(share: Column, n: Column) -> Column:
@@ -297,11 +298,10 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
 
 
-def hot_members(rows: DataFrame, share: DataFrame, sets: DataFrame) -> DataFrame:
+def hot_members(share: DataFrame, sets: DataFrame) -> DataFrame:
     """v, k, sig of the sets that are nearly all hot, in their first hot lists."""
-    few = share.filter(F.col("heavy") & (F.col("share") >= NEARLY_ALL)).select("k")
-    own = rows.filter(F.col("count") > LIST).join(few, "k").groupBy("k").agg(F.slice(F.array_sort(F.collect_list("v")), 1, HOT_LISTS).alias("vs"))  # at most K values a set
-    return own.join(sets.select("k", "sig"), "k").select("k", "sig", F.explode("vs").alias("v"))
+    few = share.filter(F.col("heavy") & (F.col("share") >= NEARLY_ALL)).select("k", "vs")
+    return few.join(sets.select("k", "sig"), "k").select("k", "sig", F.explode("vs").alias("v"))
 
 
 def join_hot(members: DataFrame, check: Verifier, links: DataFrame, labels: DataFrame) -> DataFrame:
@@ -376,7 +376,7 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     check = Verifier(rows, sets, shingle, percent)
     lists, share = _lists(sets)
     cold = cut(check.estimated(cold_pairs(lists, share, percent)))
-    members = cut(hot_members(lists, share, sets))
+    members = cut(hot_members(share, sets))
     check.fetch(cold.filter(~F.col("sure")).select(F.explode(F.array("a", "b")).alias("sig")).unionByName(members.select("sig").distinct()))
     links, labels = check.links(cold, None)
     if not members.isEmpty():
