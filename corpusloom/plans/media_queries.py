@@ -9,12 +9,11 @@ from ..functions import text as X
 from ..operators import media, state
 from ..session import table
 
-_I = F.col("event_id")
 
 
 def _segments(spark: SparkSession, sf: str) -> DataFrame:
     """Five events in a row are a video; metrics come from their numbers."""
-    rows = table(spark, sf, "events").select((F.floor(_I / 5)).cast("long").alias("video"), "event_id", F.when(_I % 17 == 0, F.lit(None)).otherwise((_I * 7 % 40) / 10.0).alias("diff"), (_I * 13 % 100).cast("double").alias("edge"), (_I % 4 * 0.5).cast("double").alias("scenes"))
+    rows = table(spark, sf, "events").select((F.floor(F.col("event_id") / 5)).cast("long").alias("video"), "event_id", F.when(F.col("event_id") % 17 == 0, F.lit(None)).otherwise((F.col("event_id") * 7 % 40) / 10.0).alias("diff"), (F.col("event_id") * 13 % 100).cast("double").alias("edge"), (F.col("event_id") % 4 * 0.5).cast("double").alias("scenes"))
     return rows.withColumn("type", media.segment_class(F.col("diff"), F.col("edge"), F.col("scenes")))
 
 
@@ -66,9 +65,9 @@ def encode_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _attempts(spark: SparkSession, sf: str) -> DataFrame:
-    status = F.element_at(F.array(*map(F.lit, ["in_progress", "failed", "pending", "completed"])), (_I * 7 % 11 % 4 + 1).cast("int"))
+    status = F.element_at(F.array(*map(F.lit, ["in_progress", "failed", "pending", "completed"])), (F.col("event_id") * 7 % 11 % 4 + 1).cast("int"))
     rows = table(spark, sf, "events").select((F.col("user_id") % 200).alias("key"), "ts", "event_id", status.alias("status"))
-    return rows.withColumn("error", F.when(F.col("status") == "failed", F.concat(F.lit("e"), _I.cast("string"))))
+    return rows.withColumn("error", F.when(F.col("status") == "failed", F.concat(F.lit("e"), F.col("event_id").cast("string"))))
 
 
 _ATTEMPTS = "WITH a0 AS (SELECT user_id % 200 AS key, ts, event_id, ['in_progress', 'failed', 'pending', 'completed'][event_id * 7 % 11 % 4 + 1] AS status FROM events), a AS (SELECT *, CASE WHEN status = 'failed' THEN 'e' || event_id END AS error FROM a0)"
@@ -87,8 +86,8 @@ def pending_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_report(spark: SparkSession, sf: str) -> DataFrame:
-    status = F.element_at(F.array(*map(F.lit, ["completed", "skipped", "failed_perm", "failed_trans", "completed"])), (_I % 5 + 1).cast("int"))
-    return state.run_report(table(spark, sf, "events").select(status.alias("status"), (_I % 600).cast("double").alias("audio_sec"), (_I % 37 + 1).cast("double").alias("wall_sec")))
+    status = F.element_at(F.array(*map(F.lit, ["completed", "skipped", "failed_perm", "failed_trans", "completed"])), (F.col("event_id") % 5 + 1).cast("int"))
+    return state.run_report(table(spark, sf, "events").select(status.alias("status"), (F.col("event_id") % 600).cast("double").alias("audio_sec"), (F.col("event_id") % 37 + 1).cast("double").alias("wall_sec")))
 
 
 def http_failures(spark: SparkSession, sf: str) -> DataFrame:

@@ -37,6 +37,17 @@ def test_core_queries_equal_their_sql(spark):
         same_as_sql(spark, name, queries[name], sql[name])
 
 
+def test_names_need_no_session():
+    """The names can be listed where no Spark runs."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+
+
 def test_entry(spark):
     out = entry.entry(spark)
     assert out.columns == ["doc_id", "severity", "sent_run", "phrase_run", "worst"] and out.count() > 0
