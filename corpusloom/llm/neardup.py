@@ -10,8 +10,9 @@ all shingles; the K smallest of a set are its sketch.
    of the union is shared with probability 0.8, so they meet many times over.
    Lists with more than LIST sets (passages that many documents share, groups of
    near copies) are hot and make no pairs. A set of which more than a third of
-   the values are hot is in the lists of all its K values instead, and one that is
-   nearly all hot also takes part in step 4.
+   the values are hot is in the lists of all its K values instead, which may heat
+   more lists and sets, so this is repeated until nothing changes. Any set that is
+   nearly all hot then also takes part in step 4.
 3. Overlap counts, then the union sketch (the K smallest of two sketches together
    estimate the similarity without bias) remove unlikely pairs; what is left is
    verified on full sets: 100 * intersection >= T * union. Where both sets fit
@@ -122,25 +123,35 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _lists(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows v, k, n, count of each set's lists that hold another set; share: k, share of its values that are hot, heavy, vs: its first hot lists).
+    """(rows v, k, n, count of each set's lists that hold another set; share: k, share of its values that are hot, vs: its first hot lists).
 
     k stands for a set in lists and pairs: 64 bits of its signature. Two sets that
     met in one k would give candidates too many, never a link too many or too few.
+    The K values of heavy sets may make more lists hot, and those more sets heavy,
+    so both are counted anew until no set is added.
     """
     few = sets.select("k", "n", F.explode(F.slice("sketch", 1, FEW)).alias("v"))
-    crowded = _small(few.groupBy("v").count().filter(F.col("count") > LIST).select("v"))
-    hot = few.join(crowded, "v").groupBy("k").agg(F.count("*").alias("hot"), F.first("n").alias("n"))
-    heavy = _small(hot.filter(F.col("hot") > F.least(F.lit(FEW), F.col("n")) * HEAVY).select("k"))
-    deep = sets.join(heavy, "k", "left_semi").select("k", "n", F.explode(F.slice("sketch", FEW + 1, K)).alias("v"))
-    rows = few.unionByName(deep)
-    shared = rows.groupBy("v").count().filter(F.col("count") > 1)
+    rows, heavy, n_heavy = few, None, 0
+    while True:
+        shared = cut(rows.groupBy("v").count().filter(F.col("count") > 1))
+        crowded = _small(shared.filter(F.col("count") > LIST).select("v"))
+        hot = rows.join(crowded, "v").groupBy("k").agg(F.count("*").alias("hot"), F.first("n").alias("n"))
+        # counts only grow, so a set once heavy stays so
+        now = _small(hot.filter(F.col("hot") > F.least(F.lit(FEW), F.col("n")) * HEAVY).select("k"))
+        before, n_heavy = n_heavy, now.count()
+        if n_heavy == before:
+            break
+        heavy = now
+        rows = few.unionByName(sets.join(heavy, "k", "left_semi").select("k", "n", F.explode(F.slice("sketch", FEW + 1, K)).alias("v")))
     rows = cut(rows.join(shared, "v"))
     lists = F.slice(F.array_sort(F.collect_list("v")), 1, HOT_LISTS).alias("vs")  # of at most K values a set
     share = rows.filter(F.col("count") > LIST).groupBy("k").agg(F.count("*").alias("hot"), F.first("n").alias("n"), lists)
     # all of a heavy set's values are rows, of others the first FEW
-    share = share.join(heavy.withColumn("heavy", F.lit(True)), "k", "left").withColumn("heavy", F.coalesce("heavy", F.lit(False)))
-    seen = F.when(F.col("heavy"), F.least(F.lit(K), F.col("n"))).otherwise(F.least(F.lit(FEW), F.col("n")))
-    return rows, cut(share.select("k", (F.col("hot") / seen).alias("share"), "heavy", "vs"))
+    seen = F.least(F.lit(FEW), F.col("n"))
+    if heavy is not None:
+        share = share.join(heavy.withColumn("heavy", F.lit(True)), "k", "left")
+        seen = F.when(F.col("heavy"), F.least(F.lit(K), F.col("n"))).otherwise(seen)
+    return rows, cut(share.select("k", (F.col("hot") / seen).alias("share"), "vs"))
 
 
 def _least_overlap(share: Column, n: Column) -> Column:
@@ -300,7 +311,7 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 def hot_members(share: DataFrame, sets: DataFrame) -> DataFrame:
     """v, k, sig of the sets that are nearly all hot, in their first hot lists."""
-    few = share.filter(F.col("heavy") & (F.col("share") >= NEARLY_ALL)).select("k", "vs")
+    few = share.filter(F.col("share") >= NEARLY_ALL).select("k", "vs")
     return few.join(sets.select("k", "sig"), "k").select("k", "sig", F.explode("vs").alias("v"))
 
 

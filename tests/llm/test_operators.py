@@ -383,6 +383,20 @@ def test_neardup(spark, texts, hot, monkeypatch):
     assert all(r["doc_id"] == r["component_id"] for r in kept)
 
 
+def test_neardup_of_excerpts(spark):
+    """Two near copies whose lists turn hot only by the deep values of longer texts."""
+    rng = random.Random(21)
+    v = vocabulary(rng, 4000)
+    say = lambda n: [rng.choice(v) for _ in range(n)]
+    passage = say(203)
+    texts = [say(58) + passage + say(59) for _ in range(40)]
+    for first in (20, 100):
+        texts += [passage[first : first + 93], [*passage[first : first + 92], "other"]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in neardup.cluster(frame(spark, rows), shingle=4).collect())
+    assert got == slow_components(rows, 4, 80) and got[41][2] == 40 and got[43][2] == 42
+
+
 def test_neardup_of_nothing(spark):
     assert neardup.cluster(frame(spark, [])).count() == 0
     got = neardup.cluster(frame(spark, [(1, None), (2, ""), (3, " ")])).collect()
