@@ -4,7 +4,8 @@ The letters are a text's words (runs without white space). Each k-mer of K words
 has W = K - S + 1 inner s-mers of S words; a k-mer is chosen when the smallest of
 their hashes is that of its first or of its last s-mer. Whether a k-mer is chosen
 depends on the k-mer alone, so a shared passage has the same anchors wherever it
-stands, at the same distances from each other. The fingerprint lists the anchors'
+stands, at the same distances from each other; a text with words but no chosen
+k-mer has one anchor of all its words. The fingerprint lists the anchors'
 hashes in text order; likeness is the Jaccard index of two anchor sets.
 
 The sliding minimum is made by doubling: minima over 2, 4, 8 s-mers, each from the
@@ -40,8 +41,8 @@ def _from(a: Column, first: int) -> Column:
 def with_anchors(df: DataFrame, text_col: str, out: str) -> DataFrame:
     """df with column `out`: array of anchor hashes in text order.
 
-    A text of fewer than K words but not none has one anchor, all its words; a
-    text without words has none. The steps are columns of their own, because each
+    A text with words of which no k-mer is chosen (fewer than K words, or a short
+    one) has one anchor, all its words; a text without words has none. The steps are columns of their own, because each
     is used more than once.
     """
     h, s = f"__h_{out}", f"__s_{out}"
@@ -57,8 +58,10 @@ def with_anchors(df: DataFrame, text_col: str, out: str) -> DataFrame:
         F.sequence(F.lit(1), F.size(h) - (K - 1)),
         lambda i: (F.get(F.col(s), i - 1) == F.get(F.col(m), i - 1)) | (F.get(F.col(s), i + (W - 2)) == F.get(F.col(m), i - 1)),
     )
+    at = f"__at_{out}"
+    df = df.withColumn(at, F.when(F.size(h) >= K, places).otherwise(F.array().cast("array<int>")))
     anchors = (
-        F.when(F.size(h) >= K, F.transform(places, lambda i: F.xxhash64(F.slice(F.col(h), i, F.lit(K)))))
+        F.when(F.size(at) > 0, F.transform(at, lambda i: F.xxhash64(F.slice(F.col(h), i, F.lit(K)))))
         .when(F.size(h) > 0, F.array(F.xxhash64(F.col(h))))
         .otherwise(F.array().cast("array<bigint>"))
     )
@@ -117,7 +120,7 @@ def with_next(docs: DataFrame) -> DataFrame:
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, anchors (array of long, in text order), fingerprint (their text).
 
-    Null and empty texts have no anchors and the empty fingerprint; equal texts
+    Null and empty texts and those without words have no anchors and the empty fingerprint; equal texts
     have equal fingerprints. Other columns are not looked at.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

@@ -265,6 +265,16 @@ def test_syncmers(spark, texts):
     assert all(len(p) == 1 for t, p in prints.items() if t is not None)
 
 
+def test_every_text_with_words_has_an_anchor(spark):
+    rng = random.Random(31)
+    v = vocabulary(rng, 500)
+    rows = [(i, " ".join(rng.choice(v) for _ in range(9 + i % 6))) for i in range(120)] + [(200, None), (201, ""), (202, " \n")]
+    got = {r["doc_id"]: r for r in syncmers.fingerprint(frame(spark, rows)).collect()}
+    assert all(bool(got[i]["anchors"]) == (i < 200) for i, _ in rows)
+    out = syncmers.compare_edited(frame(spark, rows[:120])).collect()
+    assert all(r["near_next"] < 1 for r in out) and len({r["fingerprint"] for r in out}) == 120
+
+
 @pytest.mark.parametrize("range_rows", [4, 512])
 def test_edited_texts(spark, texts, range_rows, monkeypatch):
     monkeypatch.setattr(syncmers, "RANGE_ROWS", range_rows)
