@@ -82,7 +82,8 @@ def _one(buf: np.ndarray, isword: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def words(texts: list[bytes], isword: np.ndarray) -> Words:
-    raw = b" ".join(texts)
+    """Words of all texts; a newline, a word byte of no table, keeps neighbours apart."""
+    raw = b"\n".join(texts)
     lower = LOWER[np.frombuffer(raw, dtype=np.uint8)]
     begin = np.zeros(len(texts) + 1, dtype=np.int64)
     begin[1:] = np.cumsum([len(t) + 1 for t in texts])

@@ -463,6 +463,13 @@ def test_quality(spark, texts):
     assert rule.holds(x).tolist() == [True, False, False]
 
 
+def test_statistics_do_not_depend_on_neighbours():
+    texts = ["A\nA", "A", "A\nA\nA", "b c\r\nA", "", None, "A\nb\nA", "A\n", "A\nA"]
+    alone = pd.concat([quality.statistics(pd.Series([t])) for t in texts], ignore_index=True)
+    assert quality.statistics(pd.Series(texts)).equals(alone)
+    assert alone["distinct_lines"].tolist() == [1 / 2, 1, 1 / 3, 1, 1, 1, 2 / 3, 1, 1 / 2]
+
+
 def test_chat(spark):
     rows = [(1, 0, "system", "Be."), (1, 1, "ann", "hi <|end|>"), (1, 2, "bob x", None), (1, 2, "bob x", None), (1, 3, "ann", "bye"), (1, 300, "bob x", "late"), (2, 0, "system", "alone"), (None, None, None, "lost")]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "conv_id long, turn long, role string, text string, part string, participant long")
