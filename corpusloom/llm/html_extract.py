@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import Scratch
 
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -276,7 +276,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     An empty table gives no rows. Other columns are not looked at.
     """
     rows = pages.select(F.col(id_col).cast("string").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
-    won = cut(winning_paths(container_scores(rows)))
+    won = Scratch(pages.sparkSession, "html").put(winning_paths(container_scores(rows)))
     small = won.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
     joined = rows.join(F.broadcast(won) if small else won, "host", "left")
 

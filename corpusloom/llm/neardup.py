@@ -3,30 +3,28 @@
 A document's set holds the hashes of its word shingles. One hash function orders
 all shingles; the K smallest of a set are its sketch.
 
-1. Equal sets fall together first (`distinct_sets`), so a group of copies is one
-   set from here on.
-2. Inverted lists of retained values generate overlaps. Each set is in the lists
-   of its FEW smallest values; of two sets with similarity 0.8 each smallest value
-   of the union is shared with probability 0.8, so they meet many times over.
-   Lists with more than LIST sets (passages that many documents share, groups of
-   near copies) are hot and make no pairs. A set of which more than a third of
-   the values are hot is in the lists of all its K values instead, which may heat
-   more lists and sets, so this is repeated until nothing changes. Any set that is
-   nearly all hot then also takes part in step 4.
+1. Equal sets fall together first, so a group of copies is one set from here on.
+2. Inverted lists of retained values generate overlaps. A value that more than LIST
+   sets retain (a passage that many documents share, a group of near copies) is hot
+   and makes no pairs; each set stands in the lists of the FEW smallest cold values
+   of its sketch. Of two sets with similarity 0.8, of which the share of hot values is
+   at most NEARLY_ALL, no retained cold value is common with a probability below 1e-6.
 3. Overlap counts, then the union sketch (the K smallest of two sketches together
    estimate the similarity without bias) remove unlikely pairs; what is left is
    verified on full sets: 100 * intersection >= T * union. Where both sets fit
-   their sketches the sketch is the full set. Of a group only pairs that may still
-   join two components are verified.
-4. Sets that are nearly all hot (members of large groups of near copies) are
-   compared with a few pivots of each hot list, round by round, which joins a group
-   without making its pairs; the sets that are still outside the main component of
-   a list are then looked up, block by block and on full sets, against all members.
+   their sketches the sketch is the full set. A list makes LIST * LIST / 2 pairs at
+   most, so pairs grow with the number of sets and not with the size of a group.
+4. Sets with a larger share of hot values (members of large groups of near copies)
+   are compared with a few pivots of each of their hot lists, round by round, which
+   joins a group without making its pairs. The sets that are still outside the main
+   component of a list are then looked up on full sets among all of these sets, block
+   by block, in Spark: blocks of the ones meet blocks of the others of a size that
+   allows a link.
 5. Components of the verified links: by alternating stars over all executors, or,
    up to a counted number of links, by union-find in one task.
 
-A pair of similarity 0.8 or more is missed only if its sketches do not meet, with
-a probability below 1e-6 at exactly 0.8 and falling fast above it.
+Texts are read once for sketches; the full sets of those that must be compared, and
+of no others, are made in a second reading and kept as sorted arrays until the end.
 
 Nulls, empty texts and texts without words have the empty set and are linked with
 nothing; a null doc_id is the largest; repeated rows are equal sets.
@@ -35,7 +33,7 @@ nothing; a null doc_id is the largest; repeated rows are equal sets.
 from __future__ import annotations
 
 import hashlib
-import zlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,29 +41,26 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, keyed, unkeyed
+from .common import Scratch, keyed, unkeyed
 from .wordhash import NONSPACE, grams, pieces, words
 
-#: Values of a sketch; values of it whose lists are used; sets of a list that still makes pairs.
-K, FEW, LIST = 128, 32, 32
-
-#: Share of hot values above which all values of a set are used; rows up to which a table may be broadcast.
-HEAVY, SMALL = 1 / 3, 100_000
-
-#: Links up to which one task works out the components.
-ONE_TASK = 200_000
+#: Values of a sketch; cold values of it whose lists are used; sets of a list that still makes pairs.
+K, FEW, LIST = 64, 32, 32
 
 #: Share of hot values from which a set is compared by pivots, and its hot lists that are used.
-NEARLY_ALL, HOT_LISTS = 0.7, 12
+NEARLY_ALL, HOT_LISTS = 0.6, 12
 
 #: Pivots of a hot list in a round, and rounds.
 PIVOTS, ROUNDS = 4, 2
 
-#: Sets, and characters of their texts, of a block of the last look-up.
-BLOCK, BLOCK_CHARS = 4096, 8 << 20
+#: Rows up to which a table may be broadcast (they are counted first).
+SMALL = 100_000
+
+#: Links up to which one task works out the components.
+ONE_TASK = 200_000
 
-#: Bits of the filter that finds the texts of sets to verify; a fixed size, its errors cost work only.
-FILTER_BITS = 1 << 23
+#: Bytes of the full sets of a block of the look-up.
+BLOCK = 8 << 20
 
 _MARGIN = 5.5  # standard deviations by which an estimate may be off
 
@@ -88,28 +83,19 @@ def _signature(s: np.ndarray) -> bytes | None:
     return hashlib.sha256(s.tobytes()).digest()[:16] if len(s) else None
 
 
-def signed(docs: DataFrame, size: int, sketches: bool) -> DataFrame:
-    """doc_id, n (set size), sig (null for the empty set) and, if asked for, sketch."""
+def signed(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, n (set size), sig (128 bits that name the set; null for the empty one) and sketch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for at, texts in pieces(b["text"]):  # what leaves together is a piece, not a batch
                 sets = list(shingle_sets(texts, size))
-                out = pd.DataFrame({"doc_id": b["doc_id"].iloc[at : at + len(sets)].to_numpy(), "n": [len(s) for s in sets], "sig": [_signature(s) for s in sets]})
-                if sketches:
-                    out["sketch"] = [s[:K] for s in sets]
-                yield out
+                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[at : at + len(sets)].to_numpy(), "n": [len(s) for s in sets], "sig": [_signature(s) for s in sets], "sketch": [s[:K] for s in sets]})
 
-    out = keyed(docs, "doc_id", F.col("text")).mapInPandas(run, "doc_id string, n long, sig binary" + (", sketch array<long>" if sketches else ""))
+    out = keyed(docs, "doc_id", F.col("text")).mapInPandas(run, "doc_id string, n long, sig binary, sketch array<long>")
     return unkeyed(out, docs, "doc_id")
 
 
-def distinct_sets(docs: DataFrame, size: int) -> DataFrame:
-    """One row per distinct set: sig, k (64 bits of it), n, sketch, least (its smallest doc_id). Copies are combined before they move."""
-    own = signed(docs, size, True).filter(F.col("sig").isNotNull())
-    return own.groupBy("sig").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).withColumn("k", F.xxhash64("sig"))
-
-
 def estimate(a: Column, b: Column) -> Column:
     """Similarity of two sets from the K smallest of their sketches together."""
     union = F.slice(F.array_sort(F.array_union(a, b)), 1, K)
@@ -117,149 +103,231 @@ def estimate(a: Column, b: Column) -> Column:
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """df, materialised; to be broadcast only where it has few rows, which is counted."""
-    df = cut(df)
+    """A written table, to be broadcast only where it has few rows, which is counted."""
     return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
 
 
-def _lists(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows v, k, n, count of each set's lists that hold another set; share: k, share of its values that are hot, vs: its first hot lists).
-
-    k stands for a set in lists and pairs: 64 bits of its signature. Two sets that
-    met in one k would give candidates too many, never a link too many or too few.
-    The K values of heavy sets may make more lists hot, and those more sets heavy,
-    so both are counted anew until no set is added.
-    """
-    few = sets.select("k", "n", F.explode(F.slice("sketch", 1, FEW)).alias("v"))
-    rows, heavy, n_heavy = few, None, 0
-    while True:
-        shared = cut(rows.groupBy("v").count().filter(F.col("count") > 1))
-        crowded = _small(shared.filter(F.col("count") > LIST).select("v"))
-        hot = rows.join(crowded, "v").groupBy("k").agg(F.count("*").alias("hot"), F.first("n").alias("n"))
-        # counts only grow, so a set once heavy stays so
-        now = _small(hot.filter(F.col("hot") > F.least(F.lit(FEW), F.col("n")) * HEAVY).select("k"))
-        before, n_heavy = n_heavy, now.count()
-        if n_heavy == before:
-            break
-        heavy = now
-        rows = few.unionByName(sets.join(heavy, "k", "left_semi").select("k", "n", F.explode(F.slice("sketch", FEW + 1, K)).alias("v")))
-    rows = cut(rows.join(shared, "v"))
-    lists = F.slice(F.array_sort(F.collect_list("v")), 1, HOT_LISTS).alias("vs")  # of at most K values a set
-    share = rows.filter(F.col("count") > LIST).groupBy("k").agg(F.count("*").alias("hot"), F.first("n").alias("n"), lists)
-    # all of a heavy set's values are rows, of others the first FEW
-    seen = F.least(F.lit(FEW), F.col("n"))
-    if heavy is not None:
-        share = share.join(heavy.withColumn("heavy", F.lit(True)), "k", "left")
-        seen = F.when(F.col("heavy"), F.least(F.lit(K), F.col("n"))).otherwise(seen)
-    return rows, cut(share.select("k", (F.col("hot") / seen).alias("share"), "vs"))
-
-
 def _least_overlap(share: Column, n: Column) -> Column:
-    """Common values that a similar pair has all but surely, by the share of hot values."""
+    """Common cold values that a similar pair has all but surely, by the share of hot values."""
     by = F.when(share <= 0.0, 8).when(share <= 0.2, 4).when(share <= 0.35, 2).otherwise(1)
     return F.least(by, F.ceil(F.least(n, F.lit(FEW)) * 0.6 * (1 - share)), n).cast("long")
 
 
-def cold_pairs(rows: DataFrame, share: DataFrame, percent: int) -> DataFrame:
-    """ka, kb (ka < kb): pairs that meet often enough in lists of at most LIST sets, and may be similar by their sizes."""
-    cold = rows.filter(F.col("count") <= LIST)
-    mine, other = cold.select("v", F.col("k").alias("ka"), "n"), cold.select("v", F.col("k").alias("kb"), F.col("n").alias("nb"))
-    sized = (F.col("n") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("n") * percent)
-    met = mine.join(other, "v").filter((F.col("ka") < F.col("kb")) & sized)
-    counted = met.groupBy("ka", "kb").agg(F.count("*").alias("c"), F.least(F.first("n"), F.first("nb")).alias("n"))
-    for x in ("a", "b"):
-        counted = counted.join(share.select(F.col("k").alias(f"k{x}"), F.col("share").alias(f"s{x}")), f"k{x}", "left")
-    most = F.greatest(F.coalesce("sa", F.lit(0.0)), F.coalesce("sb", F.lit(0.0)))
-    return counted.filter(F.col("c") >= _least_overlap(most, F.col("n"))).select("ka", "kb")
+class Clusters:
+    """One run over one table; every table that it writes goes when the run no longer needs it."""
 
+    def __init__(self, docs: DataFrame, size: int, percent: int) -> None:
+        self.docs, self.size, self.percent = docs, size, percent
+        self.scratch = Scratch(docs.sparkSession, "neardup")
 
-class Verifier:
-    """Links among candidate pairs, verified on full sets."""
+    def distinct_sets(self, own: DataFrame) -> DataFrame:
+        """One row per distinct set: sig, k (64 bits of it), n, sketch, least (its smallest doc_id). Copies are combined before they move."""
+        sets = own.filter(F.col("sig").isNotNull()).groupBy("sig").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        return self.scratch.put(sets.withColumn("k", F.xxhash64("sig")))
 
-    def __init__(self, docs: DataFrame, sets: DataFrame, size: int, percent: int) -> None:
-        self.docs, self.sets, self.size, self.percent = docs, sets, size, percent
+    def lists(self, sets: DataFrame) -> DataFrame:
+        """k, sig, n, share (of its retained values that are hot), cold (values whose lists it is in), vs (its hot lists, where it is nearly all hot).
 
-    def estimated(self, pairs: DataFrame) -> DataFrame:
-        """a, b (a < b), e (estimate), sure of the pairs (ka, kb) that may be similar; e is exact where `sure`."""
+        k stands for a set in lists and pairs. Two sets that met in one k would give
+        candidates too many, never a link too many.
+        """
+        crowded = self.scratch.put(sets.select(F.explode("sketch").alias("v")).groupBy("v").count().filter(F.col("count") > LIST).select("v"))
+        hot = sets.select("k", F.explode("sketch").alias("v")).join(_small(crowded), "v").groupBy("k").agg(F.array_sort(F.collect_list("v")).alias("hot"))  # of at most K values a set
+        out = sets.join(hot, "k", "left").withColumn("hot", F.coalesce("hot", F.array().cast("array<long>"))).withColumn("share", F.size("hot") / F.size("sketch"))
+        cold = F.slice(F.array_except("sketch", "hot"), 1, FEW).alias("cold")
+        out = self.scratch.put(out.select("k", "sig", "n", "share", cold, F.when(F.col("share") > NEARLY_ALL, F.slice("hot", 1, HOT_LISTS)).alias("vs")))
+        self.scratch.free(crowded)
+        return out
+
+    def cold_pairs(self, lists: DataFrame) -> DataFrame:
+        """ka, kb (ka < kb): pairs that meet often enough in cold lists, and may be similar by their sizes."""
+        rows = lists.select(F.explode("cold").alias("v"), F.struct("k", "n", "share").alias("s"))
+        held = rows.groupBy("v").agg(F.collect_list("s").alias("m")).filter(F.size("m") > 1)  # at most LIST, as v is not hot
+        a = held.select(F.explode("m").alias("a"), "m")
+
+        def partner(b: Column) -> Column:
+            n, m = F.col("a.n"), b["n"]
+            return (b["k"] > F.col("a.k")) & (n * 100 >= m * self.percent) & (m * 100 >= n * self.percent)
+
+        met = a.select("a", F.explode(F.filter("m", partner)).alias("b")).select(F.col("a.k").alias("ka"), F.col("b.k").alias("kb"), F.least("a.n", "b.n").alias("n"), F.greatest("a.share", "b.share").alias("share"))
+        counted = met.groupBy("ka", "kb").agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("share").alias("share"))
+        return counted.filter(F.col("c") >= _least_overlap(F.col("share"), F.col("n"))).select("ka", "kb")
+
+    def estimated(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """ka, kb, a, b (their sigs) and sure of the pairs that may be similar; where sure, they are links."""
         t = self.percent / 100
-        pairs = cut(pairs)
-        met = _small(pairs.select(F.explode(F.array("ka", "kb")).alias("k")).distinct())
-        sets = cut(self.sets.join(met, "k", "left_semi"))  # sketches of few sets move with the pairs
-        side = lambda x: sets.select(F.col("k").alias(f"k{x}"), F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+        pairs = self.scratch.put(pairs)
+        met = self.scratch.put(pairs.select(F.explode(F.array("ka", "kb")).alias("k")).distinct())
+        few = sets.join(_small(met), "k", "left_semi")  # sketches of few sets move with the pairs
+        side = lambda x: few.select(F.col("k").alias(f"k{x}"), F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
         both = pairs.join(side("a"), "ka").join(side("b"), "kb")
         sure = (F.col("na") <= K) & (F.col("nb") <= K)
         whole = F.size(F.array_intersect("sa", "sb")).cast("double") / F.size(F.array_union("sa", "sb"))
-        out = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(sure, whole).otherwise(estimate(F.col("sa"), F.col("sb"))).alias("e"), sure.alias("sure"), "na", "nb")
         # K of at least max(na, nb) values are looked at, without replacement
         unseen = F.greatest(1 - K / F.greatest("na", "nb"), F.lit(0.1))
         low = t - _MARGIN * F.sqrt(t * (1 - t) / K * unseen)
-        return out.filter(F.col("e") >= F.when(F.col("sure"), F.lit(t - 1e-9)).otherwise(low)).drop("na", "nb")
-
-    def fetch(self, sigs: DataFrame) -> None:
-        """Keep the texts of these sets for verified(), one document each; others hardly leave their partition."""
-        need = sigs.distinct().join(self.sets.select("sig", "least"), "sig")
-        place = F.crc32(F.concat("sig", F.coalesce(F.col("least").cast("string"), F.lit("")).cast("binary"))) % FILTER_BITS
-        bits = need.select(place.alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("p", F.lit(64)).cast("int"))).alias("x")).collect()
-        held = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
-        for r in bits:
-            held[r["w"]] = np.uint64(r["x"] & (2**64 - 1))
-        filter_, size = self.docs.sparkSession.sparkContext.broadcast(held), self.size
-
-        def wanted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep = F.when(sure, whole >= t - 1e-9).otherwise(estimate(F.col("sa"), F.col("sb")) >= low)
+        out = self.scratch.put(both.filter(keep).select("ka", "kb", "a", "b", sure.alias("sure")))
+        self.scratch.free(pairs, met)
+        return out
+
+    def fetch(self, sets: DataFrame, keys: DataFrame) -> None:
+        """Keep the full sets (k, sig, n, full: sorted hashes, eight bytes each) of these keys, from one document each."""
+        keys = self.scratch.put(keys.distinct())
+        need = self.scratch.put(sets.select("k", "sig", "least").join(_small(keys), "k", "left_semi"))
+        asked = _small(need.select("least").distinct().withColumnRenamed("least", "asked"))
+        size = self.size
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                for at, run in pieces(b["text"]):
-                    part = b.iloc[at : at + len(run)]
-                    sigs = [_signature(s) for s in shingle_sets(run, size)]
-                    ids = [i or "" for i in part["doc_id"]]
-                    p = np.array([zlib.crc32((s or b"") + i.encode()) % FILTER_BITS for s, i in zip(sigs, ids, strict=True)], dtype=np.int64)
-                    maybe = (filter_.value[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
-                    keep = maybe & np.array([s is not None for s in sigs])
-                    yield part.assign(sig=sigs)[keep]
-
-        own = unkeyed(keyed(self.docs, "doc_id", F.col("text")).mapInPandas(wanted, "doc_id string, text string, sig binary"), self.docs, "doc_id")
-        found = own.join(need.select("sig", F.col("least")), "sig").filter(F.col("doc_id").eqNullSafe(F.col("least")))
-        self.texts = cut(found.groupBy("sig").agg(F.min("text").alias("text")))
+                for _, texts in pieces(b["text"]):
+                    own = [s for s in shingle_sets(texts, size) if len(s)]
+                    yield pd.DataFrame({"sig": [_signature(s) for s in own], "n": [len(s) for s in own], "full": [s.tobytes() for s in own]})
+
+        read = self.docs.join(asked, F.col("doc_id").eqNullSafe(F.col("asked")), "left_semi").select("text").mapInPandas(run, "sig binary, n long, full binary")
+        # a document that repeats an id may bring a set that nobody asked for
+        found = read.join(_small(need).select("sig", "k"), "sig").groupBy("sig").agg(F.first("k").alias("k"), F.first("n").alias("n"), F.first("full").alias("full"))
+        self.full = self.scratch.put(found)
+        self.scratch.free(keys, need)
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """a, b of the estimated pairs that are links."""
-        size, percent = self.size, self.percent
-        side = lambda x: self.texts.select(F.col("sig").alias(x), F.col("text").alias(f"t{x}"))
-        both = pairs.filter(~F.col("sure")).select("a", "b").join(side("a"), "a").join(side("b"), "b")
+        """a, b of the pairs (ka, kb) that are links: estimated from the union sketch, then verified on full sets."""
+        side = lambda x: self.full.select(F.col("k").alias(f"k{x}"), F.col("sig").alias(x), F.col("full").alias(f"s{x}"))
+        both = pairs.select("ka", "kb").join(side("a"), "ka").join(side("b"), "kb").select("a", "b", "sa", "sb")
+        percent, t = self.percent, self.percent / 100
+
+        def likely(x: np.ndarray, y: np.ndarray) -> bool:
+            union = np.union1d(x[:K], y[:K])[:K]
+            common = len(np.intersect1d(np.intersect1d(x[:K], y[:K], assume_unique=True), union, assume_unique=True))
+            return common / len(union) >= t - _MARGIN * math.sqrt(t * (1 - t) / K)
+
+        def linked(x: bytes, y: bytes) -> bool:
+            s, o = np.frombuffer(x, dtype=np.int64), np.frombuffer(y, dtype=np.int64)
+            if min(len(s), len(o)) * 100 < max(len(s), len(o)) * percent or not likely(s, o):
+                return False
+            common = len(np.intersect1d(s, o, assume_unique=True))
+            return 100 * common >= percent * (len(s) + len(o) - common)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                keep = []
-                for x, y in zip(b["ta"], b["tb"], strict=True):
-                    s, t = shingle_sets([x.encode("utf-8", "surrogatepass"), y.encode("utf-8", "surrogatepass")], size)
-                    common = len(np.intersect1d(s, t, assume_unique=True))
-                    keep.append(100 * common >= percent * (len(s) + len(t) - common))
-                yield b.loc[keep, ["a", "b"]]
+                yield b.loc[[linked(x, y) for x, y in zip(b["sa"], b["sb"], strict=True)], ["a", "b"]]
 
-        return pairs.filter("sure").select("a", "b").unionByName(both.mapInPandas(run, "a binary, b binary"))
+        return both.mapInPandas(run, "a binary, b binary")
 
-    def links(self, left: DataFrame, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """(all known links and those that join components, labels of their components).
+    def components(self, links: DataFrame) -> DataFrame:
+        """node, label (the smallest node of its component) of the linked nodes.
 
-        left: estimated pairs, whose texts are fetched. First each set's likeliest
-        pair is verified, then what is still apart.
+        Up to ONE_TASK links, which are counted, one task unites them; more are united
+        by alternating large and small stars over all executors, with equal labels.
         """
-        best = left.select(F.col("a").alias("x"), "*").unionByName(left.select(F.col("b").alias("x"), "*")).groupBy("x").agg(F.max(F.struct("e", "a", "b", "sure")).alias("m"))
-        first = cut(best.select("m.a", "m.b", "m.e", "m.sure").distinct())
-        found = self.verified(first)
-        found = cut(found if known is None else found.unionByName(known))
-        labels = components(found)
-        rest = cut(apart(left.join(first.select("a", "b"), ["a", "b"], "left_anti"), labels))
-        if rest.isEmpty():
-            return found, labels
-        found = cut(found.unionByName(self.verified(rest)))
-        return found, components(found)
-
-
-def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose two sets are in different components."""
-    for x in ("a", "b"):
-        pairs = pairs.join(labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")), x, "left").withColumn(f"l{x}", F.coalesce(f"l{x}", x))
-    return pairs.filter(F.col("la") != F.col("lb")).drop("la", "lb")
+        put, free = self.scratch.put, self.scratch.free
+        edges = put(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter(F.col("u") != F.col("v")).distinct())
+        if edges.count() <= ONE_TASK:
+            out = put(edges.coalesce(1).mapInPandas(_united, "node binary, label binary"))
+            free(edges)
+            return out
+        before = None
+        while True:
+            both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+            large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+            down = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").unionByName(down.select("u", F.col("m").alias("v"))).distinct()
+            old, edges = edges, put(small)
+            free(old)
+            now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+            if now == before or not now[0]:
+                break
+            before = now
+        out = put(edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()))
+        free(edges)
+        return out
+
+    def join_hot(self, members: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
+        """Labels after the sets that are nearly all hot (k, sig, n, vs) have been linked too."""
+        put, free = self.scratch.put, self.scratch.free
+        for r in range(ROUNDS):
+            now = put(_labelled(members, labels).select("k", "sig", "label", F.explode("vs").alias("v")))
+            picks = [F.min(F.struct(F.xxhash64("sig", F.lit(r * PIVOTS + i)).alias("h"), F.col("k").alias("p"), F.col("label").alias("pl"))).alias(f"p{i}") for i in range(PIVOTS)]
+            pivots = put(now.groupBy("v").agg(*picks).select("v", F.explode(F.array_distinct(F.array(*(F.struct(f"p{i}.p", f"p{i}.pl") for i in range(PIVOTS))))).alias("x")).select("v", "x.p", "x.pl"))
+            pairs = now.join(_small(pivots), "v").filter((F.col("p") != F.col("k")) & (F.col("pl") != F.col("label"))).select(F.col("k").alias("ka"), F.col("p").alias("kb")).distinct()
+            old, links = links, put(links.unionByName(self.verified(pairs)))
+            free(old, labels, now, pivots)
+            labels = self.components(links)
+        now = put(_labelled(members, labels).select("sig", "label", F.explode("vs").alias("v")))
+        main = put(now.groupBy("v", "label").count().groupBy("v").agg(F.max(F.struct("count", "label")).alias("m")).select("v", F.col("m.label").alias("main")))
+        outside = put(now.join(_small(main), "v").filter(F.col("label") != F.col("main")).select("sig").distinct())
+        if not outside.isEmpty():
+            all_full = put(_labelled(members.select("sig"), labels).join(self.full, "sig").select("sig", "label", "n", "full"))
+            asked = put(all_full.join(_small(outside), "sig", "left_semi"))
+            old, links = links, put(links.unionByName(self.looked_up(asked, all_full)))
+            free(old, labels, all_full, asked)
+            labels = self.components(links)
+        free(now, main, outside, links)
+        return labels
+
+    def looked_up(self, asked: DataFrame, answering: DataFrame) -> DataFrame:
+        """Exact links between some sets and all answering ones (sig, label, n, full), as pairs of labels.
+
+        Both are dealt into bands of like sizes and, by counted bytes, into blocks; a
+        block's full sets are inverted and each answering set counts its common values
+        with every set of the block at once. One link between two components is as
+        good as all, so each block gives at most one per pair of labels.
+        """
+        percent = self.percent
+        bytes_of = lambda df: df.agg(F.sum("n")).first()[0] * 8
+        blocks, chunks = (int(bytes_of(df) // BLOCK) + 1 for df in (asked, answering))
+        # a little wider than the largest ratio of sizes that a link allows, so partners are in touching bands
+        band = F.floor(F.log("n") / (1.01 * math.log(100 / percent))).cast("int") if percent < 100 else F.col("n").cast("int")
+        place = lambda n, seed: F.pmod(F.xxhash64("sig", F.lit(seed)), F.lit(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        q = asked.select("label", "full", place(blocks, 1).alias("block"), F.explode(F.array(band - 1, band, band + 1)).alias("band")).select("*", every(chunks).alias("chunk"))
+        a = answering.select("label", "full", place(chunks, 2).alias("chunk"), band.alias("band")).select("*", every(blocks).alias("block"))
+
+        def run(q: pd.DataFrame, a: pd.DataFrame) -> pd.DataFrame:
+            out: set[tuple[bytes, bytes]] = set()
+            if len(q) and len(a):
+                sets = [np.frombuffer(x, dtype=np.int64) for x in q["full"]]
+                values, n = np.concatenate(sets), np.array([len(s) for s in sets])
+                order = np.argsort(values, kind="stable")
+                values, owner = values[order], np.repeat(np.arange(len(sets)), n)[order]
+                theirs = [bytes(x) for x in q["label"]]
+                for label, x in zip(a["label"], a["full"], strict=True):
+                    s, mine = np.frombuffer(x, dtype=np.int64), bytes(label)
+                    lo, hi = np.searchsorted(values, s, side="left"), np.searchsorted(values, s, side="right")
+                    met = [owner[i:j] for i, j in zip(lo.tolist(), hi.tolist(), strict=True) if j > i]
+                    if not met:
+                        continue
+                    c = np.bincount(np.concatenate(met), minlength=len(n))
+                    for i in np.flatnonzero(100 * c >= percent * (n + len(s) - c)).tolist():
+                        if theirs[i] != mine:
+                            out.add((min(theirs[i], mine), max(theirs[i], mine)))
+            return pd.DataFrame(sorted(out), columns=["a", "b"])
+
+        keys = ("band", "block", "chunk")
+        return q.groupBy(*keys).cogroup(a.groupBy(*keys)).applyInPandas(run, "a binary, b binary")
+
+    def run(self) -> DataFrame:
+        put, free = self.scratch.put, self.scratch.free
+        own = put(signed(self.docs, self.size))
+        sets = self.distinct_sets(own)
+        lists = self.lists(sets)
+        cold = self.estimated(self.cold_pairs(lists), sets)
+        members = put(lists.filter(F.col("vs").isNotNull()).select("k", "sig", "n", "vs"))
+        free(lists)
+        unsure = cold.filter(~F.col("sure"))
+        self.fetch(sets, unsure.select(F.explode(F.array("ka", "kb")).alias("k")).unionByName(members.select("k")))
+        links = put(cold.filter("sure").select("a", "b").unionByName(self.verified(unsure)))
+        labels = self.components(links)
+        if not members.isEmpty():
+            labels = self.join_hot(members, links, labels)
+        named = _labelled(sets.select("sig", "least"), labels)
+        least = named.groupBy("label").agg(F.min("least").alias("component_id"))
+        place = put(named.select("sig", "label").join(least, "label").select("sig", "component_id"))
+        free(self.full, links, labels, cold, members, sets)
+        own = own.select("doc_id", "n", "sig").join(place, "sig", "left")
+        component = F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+        return own.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def _united(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -281,120 +349,15 @@ def _united(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"node": nodes, "label": [top(x) for x in nodes]})
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, label (the smallest node of its component) of the linked nodes.
-
-    Up to ONE_TASK links, which are counted, one task unites them; more are united
-    by alternating large and small stars over all executors, with equal labels.
-    """
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter(F.col("u") != F.col("v")).distinct())
-    if edges.count() <= ONE_TASK:
-        return cut(edges.coalesce(1).mapInPandas(_united, "node binary, label binary"))
-    before = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").unionByName(down.select("u", F.col("m").alias("v"))).distinct()
-        edges = cut(small)
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before or not now[0]:
-            break
-        before = now
-    return cut(edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()))
-
-
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
 
 
-def hot_members(share: DataFrame, sets: DataFrame) -> DataFrame:
-    """v, k, sig of the sets that are nearly all hot, in their first hot lists."""
-    few = share.filter(F.col("share") >= NEARLY_ALL).select("k", "vs")
-    return few.join(sets.select("k", "sig"), "k").select("k", "sig", F.explode("vs").alias("v"))
-
-
-def join_hot(members: DataFrame, check: Verifier, links: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labels after the sets that are nearly all hot have been linked too."""
-    for r in range(ROUNDS):
-        now = _labelled(members, labels)
-        picks = [F.min(F.struct(F.xxhash64("sig", F.lit(r * PIVOTS + i)).alias("h"), F.col("k").alias("p"), F.col("label").alias("pl"))).alias(f"p{i}") for i in range(PIVOTS)]
-        pivots = now.groupBy("v").agg(*picks).select("v", F.explode(F.array_distinct(F.array(*(F.struct(f"p{i}.p", f"p{i}.pl") for i in range(PIVOTS))))).alias("x")).select("v", "x.p", "x.pl")
-        pairs = now.join(pivots, "v").filter((F.col("p") != F.col("k")) & (F.col("pl") != F.col("label"))).select(F.least("p", "k").alias("ka"), F.greatest("p", "k").alias("kb")).distinct()
-        links, labels = check.links(cut(check.estimated(pairs)), links)
-    now = cut(_labelled(members, labels))
-    main = now.groupBy("v", "label").count().groupBy("v").agg(F.max(F.struct("count", "label")).alias("m")).select("v", F.col("m.label").alias("main"))
-    outside = now.join(main, "v").filter(F.col("label") != F.col("main")).select("sig", "label").distinct().join(check.texts, "sig")
-    answering = now.select("sig", "label").distinct().join(check.texts, "sig")
-    block: list[tuple[bytes, str]] = []
-    size = 0
-    for row in outside.select("label", "text").toLocalIterator():
-        block.append((row["label"], row["text"]))
-        size += len(row["text"])
-        if len(block) == BLOCK or size >= BLOCK_CHARS:
-            links = cut(links.unionByName(look_up(block, answering, check)))
-            block, size = [], 0
-    if block:
-        links = cut(links.unionByName(look_up(block, answering, check)))
-    return components(links)
-
-
-def look_up(asked: list[tuple[bytes, str]], answering: DataFrame, check: Verifier) -> DataFrame:
-    """Exact links between a block of sets (label, text) and all answering ones, as pairs of labels.
-
-    The block's full sets are inverted; each answering set counts its common
-    values with every set of the block at once. One link between two components
-    is as good as all, so each batch gives at most one per pair of labels.
-    """
-    shingle, percent = check.size, check.percent
-    sets = [s for _, run in pieces(t for _, t in asked) for s in shingle_sets(run, shingle)]
-    values, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
-    order = np.argsort(values, kind="stable")
-    held = check.docs.sparkSession.sparkContext.broadcast((values[order], np.repeat(np.arange(len(sets)), sizes)[order], sizes, [bytes(x) for x, _ in asked]))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vs, owner, n, theirs = held.value
-        for batch in batches:
-            out: set[tuple[bytes, bytes]] = set()
-            at = 0
-            for _, texts in pieces(batch["text"]):
-                for s in shingle_sets(texts, shingle):
-                    mine = bytes(batch["label"].iloc[at])
-                    at += 1
-                    lo, hi = np.searchsorted(vs, s, side="left"), np.searchsorted(vs, s, side="right")
-                    met = [owner[i:j] for i, j in zip(lo.tolist(), hi.tolist(), strict=True) if j > i]
-                    if not met:
-                        continue
-                    c = np.bincount(np.concatenate(met), minlength=len(n))
-                    for q in np.flatnonzero(100 * c >= percent * (n + len(s) - c)).tolist():
-                        if theirs[q] != mine:
-                            out.add((min(theirs[q], mine), max(theirs[q], mine)))
-            yield pd.DataFrame(sorted(out), columns=["a", "b"])
-
-    return answering.mapInPandas(run, "a binary, b binary").distinct()
-
-
 def cluster(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (smallest doc_id reachable), kept.
 
     Shingles of `shingle` words; links where 100 * intersection >= percent * union.
-    See the module for nulls, empty texts, ties and repeated rows; other columns
-    are not looked at; an empty table gives no rows.
+    Ids may be of any type with an order. See the module for nulls, empty texts, ties
+    and repeated rows; other columns are not looked at; an empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = cut(distinct_sets(rows, shingle))
-    check = Verifier(rows, sets, shingle, percent)
-    lists, share = _lists(sets)
-    cold = cut(check.estimated(cold_pairs(lists, share, percent)))
-    members = cut(hot_members(share, sets))
-    check.fetch(cold.filter(~F.col("sure")).select(F.explode(F.array("a", "b")).alias("sig")).unionByName(members.select("sig").distinct()))
-    links, labels = check.links(cold, None)
-    if not members.isEmpty():
-        labels = join_hot(members, check, links, labels)
-    named = _labelled(sets.select("sig", "least"), labels)
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    place = cut(named.select("sig", "label").join(least, "label").select("sig", "component_id"))
-    own = signed(rows, shingle, False).join(place, "sig", "left")
-    component = F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return own.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return Clusters(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), shingle, percent).run()

@@ -29,7 +29,7 @@ c AS (SELECT doc_id, k, size::BIGINT AS size, xor(list_reduce(list_prepend(42949
 s AS (SELECT *, {_shard(fleet(FOUNDING))}::INT AS shard, {_shard(fleet(FOUNDING + 1))}::INT AS grown_shard, ('0x' || substr(md5(k), 20, 7))::BIGINT % {BINS} AS bin FROM c)
 SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY bin, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard FROM s""",
     "op8_neardup": r"""
-WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS l FROM documents),
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS l FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(l[i : i + least(len(l), 4) - 1], ' ') AS x FROM (SELECT doc_id, l, unnest(range(1, len(l) - least(len(l), 4) + 2)) AS i FROM w WHERE len(l) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),

@@ -384,7 +384,7 @@ def test_neardup(spark, texts, hot, monkeypatch):
         monkeypatch.setattr(neardup, "FEW", 16)
         monkeypatch.setattr(neardup, "PIVOTS", 1)
         monkeypatch.setattr(neardup, "ROUNDS", 1)
-        monkeypatch.setattr(neardup, "BLOCK", 7)
+        monkeypatch.setattr(neardup, "BLOCK", 20_000)
         monkeypatch.setattr(neardup, "ONE_TASK", 0)
     rows = [(500 - i, t) for i, t in texts] + [(7, texts[7][1]), (None, texts[3][1]), (2**62 + 1, "a large id")]
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in neardup.cluster(frame(spark, rows), shingle=4).collect()), key=repr)
@@ -430,7 +430,7 @@ def test_components(spark, one_task, monkeypatch):
         a, b = top(a), top(b)
         up[max(a, b)] = min(a, b)
     want = {x: top(x) for e in edges if e[0] != e[1] for x in e}
-    assert {int.from_bytes(r["node"], "big"): int.from_bytes(r["label"], "big") for r in neardup.components(df).collect()} == want
+    assert {int.from_bytes(r["node"], "big"): int.from_bytes(r["label"], "big") for r in neardup.Clusters(df, 5, 80).components(df).collect()} == want
 
 
 def test_quality(spark, texts):
