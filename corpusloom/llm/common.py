@@ -49,19 +49,19 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.folder, self.made = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", 0
-        self.paths: dict[int, str] = {}
+        self.paths: dict[int, tuple[DataFrame, str]] = {}  # a table is held with its path, so that no other one gets its id
 
     def put(self, df: DataFrame) -> DataFrame:
         path, self.made = f"{self.folder}/{self.made}", self.made + 1
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
+        self.paths[id(out)] = (out, path)
         return out
 
     def free(self, *tables: DataFrame) -> None:
         for t in tables:
-            if path := self.paths.pop(id(t), None):
-                remove(self.spark, path)
+            if held := self.paths.pop(id(t), None):
+                remove(self.spark, held[1])
 
 
 def keyed(df: DataFrame, id_col: str, *others: Column) -> DataFrame:

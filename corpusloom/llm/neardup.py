@@ -50,8 +50,8 @@ K, FEW, LIST = 64, 32, 32
 #: Share of hot values from which a set is compared by pivots, and its hot lists that are used.
 NEARLY_ALL, HOT_LISTS = 0.6, 12
 
-#: Pivots of a hot list in a round, and rounds.
-PIVOTS, ROUNDS = 4, 2
+#: Pivots of a hot list, rounds, and hot lists of a set that are used in a round.
+PIVOTS, ROUNDS, ROUND_LISTS = 4, 3, 4
 
 #: Rows up to which a table may be broadcast (they are counted first).
 SMALL = 100_000
@@ -247,7 +247,8 @@ class Clusters:
         """Labels after the sets that are nearly all hot (k, sig, n, vs) have been linked too."""
         put, free = self.scratch.put, self.scratch.free
         for r in range(ROUNDS):
-            now = put(_labelled(members, labels).select("k", "sig", "label", F.explode("vs").alias("v")))
+            some = F.slice("vs", r * ROUND_LISTS + 1, ROUND_LISTS)  # members of a group share most lists, so few are enough
+            now = put(_labelled(members, labels).select("k", "sig", "label", F.explode(some).alias("v")))
             picks = [F.min(F.struct(F.xxhash64("sig", F.lit(r * PIVOTS + i)).alias("h"), F.col("k").alias("p"), F.col("label").alias("pl"))).alias(f"p{i}") for i in range(PIVOTS)]
             pivots = put(now.groupBy("v").agg(*picks).select("v", F.explode(F.array_distinct(F.array(*(F.struct(f"p{i}.p", f"p{i}.pl") for i in range(PIVOTS))))).alias("x")).select("v", "x.p", "x.pl"))
             pairs = now.join(_small(pivots), "v").filter((F.col("p") != F.col("k")) & (F.col("pl") != F.col("label"))).select(F.col("k").alias("ka"), F.col("p").alias("kb")).distinct()
