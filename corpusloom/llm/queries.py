@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, decontamination, html_extract, neardup, oracle, pii, quality, sharding, syncmers, token_counts
 from .common import table
 
-#: Folder of public tokenizer files; a parameter of the operators.
-TOKENIZERS = os.environ.get("CORPUSLOOM_TOKENIZERS", "/opt/tokenizers")
+#: Files of public tokenizers; parameters of the operators.
+WORD_BPE, PIECE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,12 +41,12 @@ def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bpe.round_trip(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    out = bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECE_BPE)
 
 
 def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +62,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = chat.rotate(table(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string"))), ",")
-    return out.select("conv_id", "part", "participant", "n_turns", "rendered", spans.alias("mask"), "n_masked")
+    return out.select("conv_id", "part", "section", "participant", "n_turns", "rendered", spans.alias("mask"), "n_masked")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
