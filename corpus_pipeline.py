@@ -6,19 +6,22 @@ before it kept. All but the last return the columns of documents.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import bpe, decontamination, neardup, pii, quality
-from corpusloom.llm.common import shared_folder, table
-from corpusloom.llm.queries import TOKENIZERS
+from corpusloom.llm.common import Scratch, table
+from corpusloom.llm.queries import WORD_BPE
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject (a score under 0.5) go; empty texts are scored like all others."""
+    """Documents that the rules reject (a score under 0.5) go.
+
+    Null and empty texts are scored like all others; equal texts get equal scores, so
+    repeated rows stay or go together; an empty table stays empty.
+    """
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, model).filter(F.col("quality_score") >= 0.5).select(*docs.columns)
 
@@ -35,19 +38,26 @@ def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go.
+
+    Null and empty texts hold none and stay; repeated rows stay or go together; an
+    empty benchmark removes nothing.
+    """
     return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data becomes <EMAIL>, <IP>, <CARD> or <PHONE>; n_chars follows the text."""
+    """Personal data becomes <EMAIL>, <IP>, <CARD> or <PHONE>; n_chars follows the text.
+
+    All rows stay, repeated ones too; a null text stays null and its n_chars too.
+    """
     clean = pii.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and ids of each text."""
-    ids = bpe.encode(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+    """doc_id, n_tokens and ids of each text; null and empty texts have none, repeated rows get equal ids."""
+    ids = bpe.encode(docs, WORD_BPE)
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
@@ -59,15 +69,14 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("bpe", bpe_stage),
 ]
 
-#: No SQL expresses the trained stages; the tests hold each stage against a brute-force version.
+#: No SQL expresses the trained stages; tests/llm/test_pipeline.py holds the rows of each stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STAGES applied to documents; each stage's rows are a Parquet table in the shared folder."""
-    docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+    """STAGES applied to documents; each stage's rows are a Parquet table in the shared folder, which goes when the next one is written."""
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark, "pipeline")
+    for _, stage in STAGES:
+        before, docs = docs, scratch.put(stage(spark, docs, sf_dir))
+        scratch.free(before)
     return docs
