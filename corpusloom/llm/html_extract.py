@@ -3,22 +3,28 @@
 Pass 1 (`container_scores`): each page is read into its containers; each gets a
 score from the prose it holds, less what it holds of links and boilerplate, and a
 generalised path of tags and classes (digits become #, order of classes does not
-count). The best one is the page's vote. Pass 2 (`winning_paths`): Spark counts,
-per host, the votes of its pages for each path; the first few paths win. Pass 3 (`extract`): each
-page is read again and the containers on its host's best path that it has are
-taken; a page that has none of them falls back to its own best container.
+count), named by a hash of its steps. The best one is the page's vote. Pass 2
+(`winning_paths`): Spark counts, per host, the votes of its pages for each path; every
+path with at least a twentieth of them wins, so there are twenty at most. Pass 3
+(`extract`): each page is read again and the containers on its host's best path that
+it has are taken; a page that has none of them falls back to its own best container.
 
-The reader is linear in the page and forgives unclosed tags as browsers do.
+A mark of boilerplate covers what the marked container holds. A form, or a class or id
+that shares a word with boilerplate ("share-layout"), may also be a wrapper of the whole
+page: where hardly any prose would be left outside it, such a mark is dropped.
+
+The reader is linear in the page, at any depth, and forgives unclosed tags as browsers do.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -39,40 +45,56 @@ BOILER_WORDS = frozenset(
     "cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup login share sharing social related recommended breadcrumb breadcrumbs "
     "comment comments commentlist reply replies respond disqus widget toolbar pagination pager skip hidden".split()
 )
+#: Words of a class or id that no wrapper of an article has: what readers say.
+READERS = frozenset("comment comments commentlist reply replies respond disqus".split())
+#: Elements in which a header belongs to the article and not to the site.
+ARTICLE = frozenset(("article", "main", "section"))
+#: Elements that hold single blocks and are no containers of an article.
+_SINGLE = frozenset("p li h1 h2 h3 h4 h5 h6 tr pre dt dd".split())
 
-#: Depth of the tree that is told apart.
-DEPTH = 256
+#: A host's path wins with one vote in so many.
+SHARE = 20
 
-#: Winning paths kept for a host with several layouts; a page without any of them uses its own best container.
-PATHS = 8
+#: A wrapper's mark is dropped if the rest of the page holds less than this share of the prose inside it.
+LEFT = 0.2
 
 #: Share of a block's worth that each container further up gets, and the weight of article and main.
 CARRY, MEANT = 0.95, 1.25
 
-#: Hosts up to which the winners are broadcast (a few KB each at most); beyond, they are joined by shuffle.
+#: Hosts up to which the winners (twenty numbers each at most) are broadcast; beyond, they are joined by shuffle, where Spark splits a host with most of the pages.
 BROADCAST_HOSTS = 5_000
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTR = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+""")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_CLOSE = {tag: re.compile(f"</{tag}(?![a-z0-9])", re.I | re.A) for tag in RAW}
 _DIGITS = re.compile(r"\d+")
 _WORD = re.compile(r"[a-z]+")
 
 
+def _step(path: int, step: str) -> int:
+    """The hash of a path and one more step."""
+    return int.from_bytes(hashlib.blake2b(f"{path}/{step}".encode("utf-8", "surrogatepass"), digest_size=7).digest(), "big")
+
+
 class Page:
     """Containers and blocks of a page.
 
-    up[i], path[i], bad[i]: parent, generalised path and whether boilerplate, of
-    container i; blocks: [container, text, characters inside links].
+    up[i], tag[i], path[i], depth[i], bad[i]: parent, element, generalised path (a hash
+    of the parent's path and the own step), depth and whether boilerplate, of container
+    i; blocks: [container, text, characters inside links].
     """
 
     def __init__(self, source: str) -> None:
-        self.up, self.path, self.bad, self.deep = [-1], ["body"], [False], [0]
+        self.up, self.tag, self.path, self.depth = [-1], ["body"], [0], [0]
+        self.inside = [False]  # an element of ARTICLE
+        self.mark = [0]  # 0: none, 1: of a possible wrapper, 2: of boilerplate for sure
         self.blocks: list[tuple[int, str, int]] = []
         self._text: list[str] = []
         self._links = 0
         self._read(source)
+        self.bad = self._covered()
 
     def _flush(self, at: int) -> None:
         if self._text:
@@ -90,7 +112,9 @@ class Page:
 
     def _enter(self, parent: int, tag: str, attrs: str) -> int:
         """The container's number; boilerplate covers all that it holds."""
-        classes, bad = "", tag in BOILER_TAGS
+        classes, mark = "", 1 if tag == "form" else 2 if tag in BOILER_TAGS else 0
+        if tag == "header" and self.inside[parent]:
+            mark = 0
         if attrs and not attrs.isspace():
             for name, value in _ATTR.findall(attrs):
                 name = name.lower()
@@ -98,26 +122,48 @@ class Page:
                     value = value[1:-1]
                 if name in ("class", "id"):
                     low = value.lower()
-                    bad = bad or not BOILER_WORDS.isdisjoint(_WORD.findall(low))
+                    words = _WORD.findall(low)
+                    if not BOILER_WORDS.isdisjoint(words):
+                        mark = max(mark, 1 if READERS.isdisjoint(words) else 2)
                     if name == "class":
                         classes = "." + ".".join(sorted(set(_DIGITS.sub("#", low).split()))) if low.strip() else ""
                 elif name == "role":
-                    bad = bad or value.lower() in BOILER_ROLES
+                    mark = 2 if value.lower() in BOILER_ROLES else mark
                 elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _HIDDEN.search(value)):
-                    bad = True
-        # below DEPTH all containers hang on the one at that depth, so no chain is longer
-        over = self.deep[parent] >= DEPTH
-        self.up.append(self.up[parent] if over else parent)
-        self.deep.append(DEPTH if over else self.deep[parent] + 1)
+                    mark = 2
         # html and body, which pages may leave out, are the root by another name
-        self.path.append(self.path[parent] if over or tag in ("html", "body") else f"{self.path[parent]}/{tag}{classes}"[-400:])
-        self.bad.append((bad and tag not in ("body", "html")) or self.bad[parent])
+        root = tag in ("html", "body")
+        self.up.append(parent)
+        self.tag.append(tag)
+        self.depth.append(self.depth[parent] + 1)
+        self.path.append(self.path[parent] if root else _step(self.path[parent], tag + classes))
+        self.mark.append(0 if root else mark)
+        self.inside.append(self.inside[parent] or tag in ARTICLE)
         return len(self.up) - 1
 
+    def _covered(self) -> list[bool]:
+        """Which containers are boilerplate: they or what they stand in have a mark, and it is no wrapper's."""
+        n = len(self.up)
+        prose = [0] * n  # under a container and under no mark below it
+        for c, text, linked in self.blocks:
+            prose[c] += max(0, len(text) - 2 * linked)
+        for i in range(n - 1, 0, -1):
+            if self.mark[i] == 0:
+                prose[self.up[i]] += prose[i]
+        outside = prose[0]  # prose of the page that no mark covers
+        bad = [False] * n
+        for i in range(1, n):
+            here = self.mark[i] > 0
+            if self.mark[i] == 1 and not bad[self.up[i]] and prose[i] and outside < LEFT * prose[i]:
+                here = False
+                outside += prose[i]
+            bad[i] = bad[self.up[i]] or here
+        return bad
+
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = []  # open elements and the container each stands in or is
         here, links, open_p, pos, n = 0, 0, 0, 0, len(source)
-        low: str | None = None
+        unclosed: set[str] = set()
 
         def leave(i: int) -> None:
             nonlocal here, links, open_p
@@ -164,11 +210,12 @@ class Page:
                         break
                 continue
             if tag in RAW:
-                low = low if low is not None else source.lower() if len(source.lower()) == n else source
-                end = low.find(f"</{tag}", pos)
-                if tag == "title" and end < 0:
+                close = None if tag in unclosed else _CLOSE[tag].search(source, pos)
+                if close is None:
+                    unclosed.add(tag)
+                if close is None and tag == "title":
                     continue
-                pos = n if end < 0 else (source.find(">", end) + 1 or n)
+                pos = n if close is None else (source.find(">", close.start()) + 1 or n)
                 continue
             if tag == "br":
                 self._text.append(" ")
@@ -197,11 +244,6 @@ class Page:
             open_p += tag == "p"
         self._flush(here)
 
-    def _chain(self, i: int) -> Iterator[int]:
-        while i >= 0:
-            yield i
-            i = self.up[i]
-
     def scores(self) -> list[float]:
         """What each container holds: prose counts, links and (a little) boilerplate count against.
 
@@ -212,28 +254,29 @@ class Page:
         for c, text, linked in self.blocks:
             size = len(text)
             if self.bad[c]:
-                worth = -0.05 * size
+                out[c] -= 0.05 * size
             else:
-                worth = (size - 2.0 * min(linked, size)) * (1.0 if size >= 40 or text[-1:] in ".!?" else 0.5)
-            for i in self._chain(c):
-                out[i] += worth
-                worth *= CARRY
-        return [s * MEANT if p.rsplit("/", 1)[-1].split(".")[0] in ("article", "main") else s for s, p in zip(out, self.path, strict=True)]
-
-    def ranked(self) -> list[tuple[str, float]]:
-        """Candidate containers' paths with the best score of each, best first."""
-        best: dict[str, float] = {}
+                out[c] += (size - 2.0 * min(linked, size)) * (1.0 if size >= 40 or text[-1:] in ".!?" else 0.5)
+        for i in range(len(out) - 1, 0, -1):  # a container comes after the one that it stands in
+            out[self.up[i]] += CARRY * out[i]
+        return [s * MEANT if t in ("article", "main") else s for s, t in zip(out, self.tag, strict=True)]
+
+    def ranked(self) -> list[tuple[int, int, float]]:
+        """Candidate containers' paths with their depth and the best score of each, best first."""
+        best: dict[int, tuple[float, int]] = {}
         for i, s in enumerate(self.scores()):
-            if not self.bad[i] and s > 0 and self.path[i].rsplit("/", 1)[-1].split(".")[0] not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "pre", "dt", "dd"):
-                best[self.path[i]] = max(best.get(self.path[i], 0.0), s)
-        return sorted(best.items(), key=lambda x: (-x[1], x[0].count("/"), x[0]))
+            if not self.bad[i] and s > 0 and self.tag[i] not in _SINGLE:
+                had = best.get(self.path[i])
+                if had is None or s > had[0]:
+                    best[self.path[i]] = (s, self.depth[i])
+        return sorted(((p, d, s) for p, (s, d) in best.items()), key=lambda x: (-x[2], x[1], x[0]))
 
-    def main_text(self, paths: list[str]) -> str:
+    def main_text(self, paths: list[int]) -> str:
         """Blocks of the containers on the first of the paths that the page has, else of its best container."""
         have = {p for p, b in zip(self.path, self.bad, strict=True) if not b}
         chosen = next((p for p in paths if p in have), None)
         if chosen is None:
-            chosen = next((p for p, _ in self.ranked()), "")
+            chosen = next((p for p, _, _ in self.ranked()), -1)
         take = [False] * len(self.up)
         for i in range(len(self.up)):
             take[i] = self.path[i] == chosen or (i > 0 and take[self.up[i]])
@@ -246,26 +289,27 @@ def host_of(url: Column) -> Column:
 
 
 def container_scores(pages: DataFrame) -> DataFrame:
-    """host, path, score: the best-scored container of each page (columns host, html) is the page's vote."""
+    """host, path, depth, score: the best-scored container of each page (columns host, html) is the page's vote."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [(h, p, s) for h, source in zip(b["host"], b["html"], strict=True) if h and source for p, s in Page(source).ranked()[:1]]
-            yield pd.DataFrame(found, columns=["host", "path", "score"])
+            found = [(h, *best) for h, source in zip(b["host"], b["html"], strict=True) if h and source for best in Page(source).ranked()[:1]]
+            yield pd.DataFrame(found, columns=["host", "path", "depth", "score"])
 
-    return pages.select("host", "html").mapInPandas(run, "host string, path string, score double")
+    return pages.select("host", "html").mapInPandas(run, "host string, path long, depth long, score double")
 
 
-def winning_paths(scores: DataFrame, paths: int = PATHS) -> DataFrame:
-    """host, paths: the host's paths with the most votes of its pages, then the highest scores.
+def winning_paths(scores: DataFrame) -> DataFrame:
+    """host, paths: the host's paths with at least one in SHARE votes of its pages, by votes, then the highest scores, then the least depth.
 
     Votes are counted per task before anything moves, so a host with most of the
     pages sends no more than a small one.
     """
-    votes = scores.groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum(F.round("score")).alias("worth"))
-    order = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("worth"), F.length("path"), "path")
-    best = votes.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= paths)
-    return best.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "path"))), lambda x: x["path"]).alias("paths"))
+    votes = scores.groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum(F.round("score")).alias("worth"), F.min("depth").alias("depth"))
+    order = F.struct((-F.col("votes")).alias("v"), (-F.col("worth")).alias("w"), "depth", "path")
+    whole = votes.groupBy("host").agg(F.sum("votes").alias("all"))
+    best = votes.join(whole, "host").filter(F.col("votes") * SHARE >= F.col("all"))
+    return best.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["path"]).alias("paths"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
