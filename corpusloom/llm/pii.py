@@ -10,12 +10,17 @@ field's likelihood on sentences made from templates with a fixed seed.
 
 Segments can only lie in stretches near a digit or an @ or a spelt-out one; tokens
 elsewhere are outside in every labelling, so the program runs over those stretches.
+A stretch has any length: the program goes through it token by token and keeps the
+scores of the last LONGEST tokens and two small numbers a token to go back by.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterator
+from array import array
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -109,8 +114,13 @@ _SHAPES = {
     "date": re.compile(r"\d{1,4}[./-]\d{1,2}[./-]\d{1,4}"),
     "number": re.compile(r"\d+(?:[.,]\d+)*"),
 }
+#: Last words of an address (fixed values).
+_TLD = frozenset("com org net edu gov io info biz eu de fr es it nl ch uk us ca co au jp in br se no dk fi pl pt at be".split())
+_MARKED = re.compile(r"\((?:at|dot)\)|\[(?:at|dot)\]", re.I)
+_LAST = re.compile(r"[A-Za-z]*$")
+_MORE_LEFT, _MORE_RIGHT = re.compile(r"[0-9][ ./()-]{1,2}$"), re.compile(r"[ ./()-]{1,2}[0-9]")
 #: Features of a segment; each has a weight for each kind.
-FEATURES = ["bias", *(f"shape_{s}" for s in _SHAPES), "luhn", "d_lt7", "d_7_9", "d_10_15", "d_14_19", "d_gt19", "no_shape", "octets", "plus", "letters", *(f"before_{k}" for k in KINDS), "glued_left", "glued_right"]
+FEATURES = ["bias", *(f"shape_{s}" for s in _SHAPES), "luhn", "d_lt7", "d_7_9", "d_10_15", "d_14_19", "d_gt19", "no_shape", "octets", "plus", "letters", *(f"before_{k}" for k in KINDS), "glued_left", "glued_right", "tld", "marked", "more_left", "more_right", "unbalanced"]
 _F = len(FEATURES)
 _AT = {f: i for i, f in enumerate(FEATURES)}
 
@@ -153,6 +163,16 @@ def features(text: str, lo: int, hi: int, before: list[str]) -> list[int]:
         on.append(_AT["glued_left"])
     if hi < len(text) and (text[hi].isalnum() or text[hi] in "@=\"_%$#/-" or (text[hi] == "." and text[hi + 1 : hi + 2].isalnum())):
         on.append(_AT["glued_right"])
+    if _AT["shape_email_spelt"] in on and _LAST.search(s)[0].lower() in _TLD:
+        on.append(_AT["tld"])
+    if _MARKED.search(s):
+        on.append(_AT["marked"])
+    if n and _MORE_LEFT.search(text, max(0, lo - 3), lo):
+        on.append(_AT["more_left"])
+    if n and _MORE_RIGHT.match(text, hi):
+        on.append(_AT["more_right"])
+    if s.count("(") != s.count(")"):
+        on.append(_AT["unbalanced"])
     return on
 
 
@@ -163,7 +183,7 @@ def stretches(text: str) -> Iterator[list[tuple[int, int]]]:
         lo, hi = max(at, m.start() - 60), m.end()
         while True:  # a stretch goes on while triggers follow closely
             nxt = _TRIGGER.search(text, hi, min(stop, hi + 60))
-            if nxt is None or hi - lo > 2000:
+            if nxt is None:
                 break
             hi = nxt.end()
         while lo > at and not text[lo - 1].isspace() and m.start() - lo < 120:
@@ -177,27 +197,27 @@ def stretches(text: str) -> Iterator[list[tuple[int, int]]]:
         at = max(end, m.end())
 
 
-def candidates(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, list[int]]]:
-    """(first token, last token + 1, features) of the segments that may be an entity."""
-    out = []
+def segments(text: str, tokens: list[tuple[int, int]]) -> Iterator[list[tuple[int, list[int]]]]:
+    """For each token in turn, the segments that begin there and may be an entity: (last token + 1, features)."""
     kind = [text[a] for a, _ in tokens]
     for i, (a, _) in enumerate(tokens):
-        if not (kind[i].isalnum() or kind[i] in "+("):
-            continue
-        before = [text[x:y].lower() for x, y in tokens[max(0, i - CONTEXT) : i]]
-        digits = False
-        for j in range(i + 1, min(len(tokens), i + LONGEST) + 1):
-            x, b = tokens[j - 1]
-            if j - i > 1 and x - tokens[j - 2][1] > 2 or "\n" in text[a:b]:
-                break
-            digits = digits or kind[j - 1].isdigit() or kind[j - 1] == "@"
-            if not kind[j - 1].isalnum() or b - a < 7:
-                continue
-            if digits or _TRIGGER.search(text, a, b):
-                on = features(text, a, b, before)
-                if _AT["no_shape"] not in on or j - i <= 3:
-                    out.append((i, j, on))
-    return out
+        out: list[tuple[int, list[int]]] = []
+        if kind[i].isalnum() or kind[i] in "+(":
+            before = [text[x:y].lower() for x, y in tokens[max(0, i - CONTEXT) : i]]
+            digits = False
+            for j in range(i + 1, min(len(tokens), i + LONGEST) + 1):
+                x, b = tokens[j - 1]
+                if j - i > 1 and x - tokens[j - 2][1] > 2 or "\n" in text[a:b]:
+                    break
+                digits = digits or kind[j - 1].isdigit() or kind[j - 1] == "@"
+                if kind[j - 1].isalnum() and (digits or _TRIGGER.search(text, a, b)):
+                    out.append((j, features(text, a, b, before)))
+        yield out
+
+
+def candidates(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, list[int]]]:
+    """(first token, last token + 1, features) of all segments that may be an entity; for training."""
+    return [(i, j, on) for i, own in enumerate(segments(text, tokens)) for j, on in own]
 
 
 def _log_sum(x: np.ndarray) -> float:
@@ -222,32 +242,39 @@ class Field:
     def potentials(self, cands: list[tuple[int, int, list[int]]]) -> np.ndarray:
         return np.array([self.w[:, on].sum(axis=1) for _, _, on in cands]) if cands else np.zeros((0, len(KINDS)))
 
-    def best(self, n: int, cands: list[tuple[int, int, list[int]]]) -> list[tuple[int, int, int]]:
-        """(first, last + 1, kind) of the labelling with the highest score.
+    def best(self, n: int, starting: Iterable[list[tuple[int, list[int]]]]) -> list[tuple[int, int, int]]:
+        """(first, last + 1, kind) of the labelling of n tokens with the highest score.
 
-        State 0 is outside (one token each), 1.. are the kinds; score[j][s] is the
-        best of the first j tokens with the last segment in state s.
+        starting gives, for each token in turn, the segments that begin there. State 0
+        is outside (one token each), 1.. are the kinds; ahead[j][s] is the best score of
+        the first j tokens with the last segment in state s. Among equals the earlier
+        start wins, then the smaller state.
         """
-        q, m = self.potentials(cands) - MARGIN, len(KINDS) + 1
-        ending: dict[int, list[int]] = {}
-        for c, (_, j, _) in enumerate(cands):
-            ending.setdefault(j, []).append(c)
-        score = np.full((n + 1, m), -np.inf)
-        score[0, 0] = 0.0
-        back: dict[tuple[int, int], tuple[int, int]] = {}
-        for j in range(1, n + 1):
-            s = int(score[j - 1].argmax())
-            score[j, 0], back[j, 0] = score[j - 1, s], (j - 1, s)
-            for c in ending.get(j, ()):
-                i = cands[c][0]
+        m, t = len(KINDS) + 1, self.t.tolist()
+        low = [-math.inf] * m
+        ahead: dict[int, list[float]] = {0: [0.0, *low[1:]]}
+        begun, came = array("q", bytes(8 * m * (n + 1))), bytearray(m * (n + 1))
+        score = low
+        for i, own in enumerate(starting):
+            score = ahead.pop(i)
+            s = max(range(m), key=score.__getitem__)
+            after = ahead.setdefault(i + 1, [*low])
+            if score[s] > after[0]:
+                after[0], begun[(i + 1) * m], came[(i + 1) * m] = score[s], i, s
+            if not own:
+                continue
+            enter = [max(range(m), key=lambda x: score[x] + t[x][k]) for k in range(1, m)]  # noqa: B023
+            base = [score[x] + t[x][k + 1] - MARGIN for k, x in enumerate(enter)]
+            for j, on in own:
+                to, w = ahead.setdefault(j, [*low]), self.w[:, on].sum(axis=1).tolist()
                 for k in range(1, m):
-                    from_ = score[i] + self.t[:, k]
-                    s = int(from_.argmax())
-                    if (v := from_[s] + q[c, k - 1]) > score[j, k]:
-                        score[j, k], back[j, k] = v, (i, s)
-        out, j, s = [], n, int(score[n].argmax())
+                    if (v := base[k - 1] + w[k - 1]) > to[k]:
+                        to[k], begun[j * m + k], came[j * m + k] = v, i, enter[k - 1]
+        out, j = [], n
+        score = ahead[n]
+        s = max(range(m), key=score.__getitem__)
         while j > 0:
-            i, before = back[j, s]
+            i, before = begun[j * m + s], came[j * m + s]
             if s:
                 out.append((i, j, s - 1))
             j, s = i, before
@@ -355,7 +382,7 @@ def examples(n: int, seed: int) -> list[tuple[str, list[tuple[int, int, str]]]]:
 
 
 @lru_cache(maxsize=1)
-def trained(n: int = 500, rounds: int = 10, seed: int = 11) -> Field:
+def trained(n: int = 250, rounds: int = 5, seed: int = 11) -> Field:
     """Weights by stochastic gradients (Adagrad, a little L2) on made sentences."""
     data = []
     for text, spans in examples(n, seed):
@@ -380,14 +407,18 @@ def trained(n: int = 500, rounds: int = 10, seed: int = 11) -> Field:
 
 
 def find_spans(text: str, field: Field) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]]]:
-    """(base spans, all spans) of a text, sorted by start, kind and end."""
+    """(base spans, all spans) of a text, sorted by start, kind and end; an added span overlaps no base span."""
     base = base_spans(text)
+    starts = [s for s, _, _ in base]
+    reach: list[int] = []  # the furthest end of the base spans so far
+    for _, _, e in base:
+        reach.append(max(e, reach[-1]) if reach else e)
     added: list[tuple[int, str, int]] = []
     for tokens in stretches(text):
-        cands = candidates(text, tokens)
-        for i, j, k in field.best(len(tokens), cands) if cands else ():
+        for i, j, k in field.best(len(tokens), segments(text, tokens)):
             a, b = tokens[i][0], tokens[j - 1][1]
-            if all(e <= a or s >= b for s, _, e in base):
+            before = bisect_left(starts, b)  # base spans that start before the end
+            if not before or reach[before - 1] <= a:
                 added.append((a, KINDS[k], b))
     return base, sorted(base + added, key=lambda s: (s[0], KINDS.index(s[1]), s[2])) if added else base
 
