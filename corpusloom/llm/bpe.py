@@ -7,15 +7,21 @@ concatenated, which gives exactly what merging the whole word gives. Fragments a
 short and recur far more often than words, so both are kept in bounded tables.
 
 The vocabulary is a tokenizers file of the kind BPE with end-of-word suffix; its
-path is a parameter and its content is broadcast (a file of fixed size).
+path is a parameter and its content is broadcast (a file of fixed size). The library's
+Unicode tables are of another age than those of Python and `regex`, so it is asked once,
+over all code points, what it takes for a letter or a number and how it normalises; texts
+with a code point on which the two differ are normalised by the library itself and split
+by its own ranges.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -64,8 +70,60 @@ class Table(dict):
         return value
 
 
+Ranges = tuple[tuple[int, int], ...]
+
+
+def normal(text: str) -> str:
+    """NFC, then lower case letter by letter (so no final sigma)."""
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+    return text.lower()
+
+
+def _joined(points: list[int]) -> Ranges:
+    """First and last of each run of consecutive numbers."""
+    p = np.array(points, dtype=np.int64)
+    ends = np.flatnonzero(np.diff(p) != 1)
+    return tuple(zip(p[np.r_[0, ends + 1]].tolist(), p[np.r_[ends, len(p) - 1]].tolist(), strict=True)) if len(p) else ()
+
+
+@lru_cache(maxsize=1)
+def library_tables() -> dict[str, Ranges]:
+    """Ranges of code points: what the library takes for a letter (L) and a number (N), and where it departs from Python or regex (odd)."""
+    from tokenizers import Regex
+    from tokenizers.normalizers import NFC, Lowercase, Sequence
+    from tokenizers.pre_tokenizers import Split
+
+    # planes 4 to 13 have no characters, 15 and 16 are for private use
+    points = [c for c in [*range(0x40000), *range(0xE0000, 0xE1000)] if not 0xD800 <= c < 0xE000]
+    everything = "".join(map(chr, points))
+    out, odd = {}, set()
+    for name in "LN":
+        # what the pattern matches is removed, so its runs lie between the pieces
+        at, own = 0, []
+        for _, (lo, hi) in [*Split(Regex(rf"\p{{{name}}}+"), "removed").pre_tokenize_str(everything), ("", (len(points), 0))]:
+            own += points[at:lo]
+            at = hi
+        out[name] = _joined(own)
+        odd |= set(own) ^ {ord(c) for c in regex.findall(rf"\p{{{name}}}", everything)}
+    # alone, and between marks of the two commonest classes, which shows where it stands among marks
+    theirs = Sequence([NFC(), Lowercase()])
+    for around in ("a{}\u0301b", "a\u0316{}b", "a\u0301{}b"):
+        left, right = around.split("{}")
+        for k in range(0, len(points), 1 << 16):
+            some = [c for c in points[k : k + (1 << 16)] if c != 10]
+            asked = "\n".join(left + chr(c) + right for c in some)
+            odd.update(c for c, x, y in zip(some, theirs.normalize_str(asked).split("\n"), normal(asked).split("\n"), strict=True) if x != y)
+    out["odd"] = _joined(sorted(odd))
+    return out
+
+
+def _class(ranges: Ranges) -> str:
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
 class WordBpe:
-    def __init__(self, spec: str) -> None:
+    def __init__(self, spec: str, tables: dict[str, Ranges] | None = None) -> None:
         data = json.loads(spec)
         model = data["model"]
         self.end = model["end_of_word_suffix"] or ""
@@ -78,7 +136,15 @@ class WordBpe:
         # Two neighbours that some token has side by side; all other neighbours are certain cuts.
         self.joined = {a + b for t in self.vocab for a, b in pairwise(t.removesuffix(self.end) or t)}
         (split,) = (p for p in data["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pattern = regex.compile(split["pattern"]["Regex"].replace(r"\s", SPACE))
+        plain = split["pattern"]["Regex"].replace(r"\s", SPACE)
+        self.pattern = regex.compile(plain)
+        # for texts with a code point on which the library departs: its own ranges and its own normaliser
+        tables = tables or library_tables()
+        self.odd = re.compile(f"[{_class(tables['odd'])}]") if tables["odd"] else re.compile("(?!)")
+        for name in "LN":
+            plain = plain.replace(rf"\p{{{name}}}", f"[{_class(tables[name])}]")
+        self.exact = regex.compile(plain, regex.V1)
+        self.theirs = None
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words, self.fragments = Table(), Table()
 
@@ -140,11 +206,15 @@ class WordBpe:
         token = self.token
         return " ".join([token[i] for i in ids])
 
-    def normal(self, text: str) -> str:
-        """NFC, then lower case letter by letter (so no final sigma)."""
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return text.lower()
+    def split(self, text: str) -> list[str]:
+        """The pre-tokens of a text without special tokens."""
+        if text.isascii() or not self.odd.search(text):
+            return self.pattern.findall(normal(text))
+        if self.theirs is None:
+            from tokenizers.normalizers import NFC, Lowercase, Sequence
+
+            self.theirs = Sequence([NFC(), Lowercase()])
+        return self.exact.findall(self.theirs.normalize_str(text))
 
     def parts(self, text: str) -> list[tuple[bytes, str]]:
         """(ids, decoded) of each pre-token and special token of a text, in order."""
@@ -155,7 +225,7 @@ class WordBpe:
             if i % 2:
                 out.append((np.int32(self.special[piece]).tobytes(), piece))
             else:
-                out.extend([known[w] or self.word(w) for w in self.pattern.findall(self.normal(piece))])
+                out.extend([known[w] or self.word(w) for w in self.split(piece)])
         return out
 
 
@@ -164,16 +234,16 @@ _model: dict[int, WordBpe] = {}
 
 def _load(spec) -> WordBpe:
     """The worker's model, made once for each broadcast file."""
-    key = hash(spec.value)
+    key = hash(spec.value[0])
     if key not in _model:
         _model.clear()
-        _model[key] = WordBpe(spec.value)
+        _model[key] = WordBpe(*spec.value)
     return _model[key]
 
 
 def _spec(docs: DataFrame, path: str):
     with open(path, encoding="utf-8") as f:
-        return docs.sparkSession.sparkContext.broadcast(f.read())
+        return docs.sparkSession.sparkContext.broadcast((f.read(), library_tables()))
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = True) -> DataFrame:
