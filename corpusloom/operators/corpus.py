@@ -43,21 +43,31 @@ def neighbours(rows: DataFrame, group: list[str], order: list[Column], key: str)
     return rows.withColumns({"prev_id": F.lag(key).over(w), "next_id": F.lead(key).over(w)})
 
 
-def place_columns(path: Column, special: str = "Automation Tutorials", course_from_section: bool = True, root: str = "") -> dict[str, Column]:
-    """course, sub_course, module_dir and module_title of a lesson's path below the root.
+#: Fixed value: the section whose folders are sub courses.
+SPECIAL_SECTION = "Automation Tutorials"
 
-    Under the special section the folder below it is the sub course.
+
+def place_columns(path: Column, special: str = SPECIAL_SECTION, course_from_section: bool = True, root: str = "") -> dict[str, Column]:
+    """course, sub_course, module_dir and module_title of a lesson folder's path below the root, which is three deep or more.
+
+    The second folder is the module; under the special section it is the sub course
+    too, named without its index.
     """
     parts = F.split(path, "/")
-    section = F.element_at(parts, 1)
-    deep = (section == special) & (F.size(parts) > 3)
-    module = F.element_at(parts, -2)
-    return {
-        "course": section if course_from_section else F.lit(root),
-        "sub_course": F.when(deep, F.element_at(parts, 2)),
-        "module_dir": module,
-        "module_title": X.strip_index(module),
-    }
+    section, module = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+    bare = X.strip_index(module)
+    return {"course": section if course_from_section else F.lit(root), "sub_course": F.when(section == special, bare), "module_dir": module, "module_title": bare}
+
+
+def seen_rank(rows: DataFrame, key: str, order: list[Column], name: str = "seen") -> DataFrame:
+    """rows with their place (from 1) among those of one key, in a total order."""
+    return rows.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+
+
+def first_rows(rows: DataFrame, order: list[Column], limit: int | None = None) -> DataFrame:
+    """rows in a total order; with a limit the first so many, of which each task keeps no more."""
+    ordered = rows.orderBy(*order)
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def incremental(current: DataFrame, previous: DataFrame, key: str, force: bool = False) -> DataFrame:
@@ -92,7 +102,7 @@ def sparse_metadata(course: Column, sub_course: Column, module: Column, resource
     ctx = F.lower(F.concat(course, F.lit(" "), F.coalesce(sub_course, F.lit("")), F.lit(" "), module))
     any_of = lambda ws: F.greatest(*(ctx.contains(w) for w in ws), F.lit(False))
     tags = F.array_compact(F.array(*(F.when(any_of(ws), F.lit(t)) for t, ws in SPARSE_TAGS), F.lit("reference")))
-    concept = F.coalesce(F.nullif(X.strip(F.regexp_replace(X.strip(module), "^:+|:+$", "")), F.lit("")), course)
+    concept = F.coalesce(F.nullif(X.strip(F.btrim(X.strip(module), F.lit(":"))), F.lit("")), course)
     for name, ws in reversed(SPARSE_CONCEPTS):
         every = F.lit(True)
         for w in ws:
@@ -104,10 +114,10 @@ def sparse_metadata(course: Column, sub_course: Column, module: Column, resource
 
 
 def coerced(summary: Column, tags: Column, concepts: Column, aliases: Column) -> dict[str, Column]:
-    """A model's answer within its limits: 200 characters, 7 kebab-case tags, 5 concepts, 2 aliases; blanks go."""
-    full = lambda a: F.filter(F.coalesce(a, F.array().cast("array<string>")), lambda x: x.isNotNull() & (X.strip(x) != ""))
+    """A model's answer within its limits: 200 characters, 7 kebab-case tags, 5 concepts, 2 aliases; null and empty names go."""
+    full = lambda a: F.filter(F.coalesce(a, F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != ""))
     return {
-        "summary": F.left(X.strip(F.coalesce(summary, F.lit(""))), F.lit(X.SUMMARY_LIMIT)),
+        "summary": F.left(F.coalesce(summary, F.lit("")), F.lit(X.SUMMARY_LIMIT)),
         "tags": F.slice(F.transform(full(tags), X.kebab), 1, 7),
         "concepts": F.slice(F.transform(full(concepts), X.strip), 1, 5),
         "aliases": F.slice(F.transform(full(aliases), X.strip), 1, 2),
@@ -120,8 +130,16 @@ def is_unclassified(summary: Column, tags: Column, concepts: Column) -> Column:
 
 
 def glob_pattern(glob: str) -> str:
-    """A shell glob, found anywhere, as a pattern of Java's."""
-    out = "".join({"*": ".*", "?": "."}.get(c, c if c.isalnum() or c in " _" else "\\" + c) for c in glob)
+    """A shell glob, found anywhere, as a pattern of Java's: *, ?, [seq] and [!seq]."""
+    out, at = "", 0
+    while at < len(glob):
+        c, at = glob[at], at + 1
+        if c == "[" and (end := glob.find("]", at + 1 + (glob[at : at + 1] == "!"))) > 0:
+            seq = glob[at:end].replace("\\", "\\\\").replace("[", "\\[").replace("&&", "&\\&")
+            out += f"[^{seq[1:]}]" if seq.startswith("!") else f"[{'\\' if seq.startswith('^') else ''}{seq}]"
+            at = end + 1
+        else:
+            out += {"*": ".*", "?": "."}.get(c, c if c.isalnum() or c in " _" else "\\" + c)
     return f"(?s)^.*{out}.*$"
 
 

@@ -6,34 +6,67 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..sources.sinks import AUTO_NOTE, head
+
+
+#: Courses in their order of study; others come after them, by name.
+COURSE_ORDER = ["Pre-Program- Before You Start", "Month 1", "Month 2", "Month 3", "Month 4", "Month 5", "Month 6", "Automation Tutorials", "Resource Library"]
 
 
 def lines_in_order(order: list[str], line: str) -> Column:
-    """The lines of a group, joined in a total order."""
+    """The lines of one page, joined in a total order; a page is one row, as it is one file."""
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, line))), lambda s: s[line]), "\n")
 
 
+def page_path(folder: Column, title: Column) -> Column:
+    """A generated page's path: in its folder, with a leading _."""
+    return F.concat(folder, F.lit("/_"), X.safe_filename(title), F.lit(".md"))
+
+
+def numbered(index: Column, title: Column) -> Column:
+    """"07. Title", as links show a lesson."""
+    return F.concat(F.format_string("%02d", index.cast("int")), F.lit(". "), X.clean_title(title))
+
+
+def _course_link(course: Column) -> Column:
+    return F.concat(F.lit("> Course: [["), course, F.lit("/_"), X.safe_filename(course), F.lit("|"), course, F.lit("]]\n\n"))
+
+
+def _module_page(course: Column, module_dir: Column, title: Column, body: Column) -> list[Column]:
+    fields = [("vault_schema", F.lit(1), "raw"), ("title", title, "text"), ("type", F.lit("module-moc"), "text"), ("moc_type", F.lit("module"), "text"), ("course", course, "text"), ("module", title, "text")]
+    text = F.concat(head(fields), F.lit(f"\n{AUTO_NOTE}\n\n# "), title, F.lit("\n\n"), _course_link(course), body, F.lit("\n"))
+    return [page_path(F.concat(course, F.lit("/"), module_dir), title).alias("path"), text.alias("text")]
+
+
 def module_pages(lessons: DataFrame) -> DataFrame:
-    """One row per (course, module_dir): title of the first lesson's module, and the list of lessons.
+    """course, module_dir, path and text of each module's page: its lessons in order, with their summaries.
 
-    lessons: course, module_dir, module_title, lesson_index, lesson_title, path, summary.
+    lessons: course, module_dir, module_title, lesson_index, lesson_title, path, summary
+    and lesson_dir. The first lesson names the module.
     """
-    shown = F.concat(F.format_string("%02d", F.col("lesson_index").cast("int")), F.lit(". "), X.clean_title(F.col("lesson_title")))
-    line = F.concat(F.lit("- "), X.wikilink(F.col("path"), shown), F.when(F.coalesce("summary", F.lit("")) != "", F.concat(F.lit("\n    - "), F.col("summary"))).otherwise(F.lit("")))
-    rows = lessons.withColumn("line", line)
-    return rows.groupBy("course", "module_dir").agg(
-        F.count("*").alias("n_lessons"),
-        F.min_by("module_title", F.struct("lesson_index", "lesson_title", "path")).alias("module_title"),
-        lines_in_order(["lesson_index", "lesson_title", "path"], "line").alias("body"),
-    )
-
-
-def course_pages(lessons: DataFrame) -> DataFrame:
-    """One row per course: its modules, each once, in order of index, folder and title."""
+    order = ["lesson_index", "lesson_title", "at"]
+    line = F.concat(F.lit("- "), X.wikilink(F.col("path"), numbered(F.col("lesson_index"), F.col("lesson_title"))), F.when(F.coalesce("summary", F.lit("")) != "", F.concat(F.lit("\n    - "), F.col("summary"))).otherwise(F.lit("")))
+    rows = lessons.withColumns({"line": line, "at": F.split("lesson_dir", "/")})
+    pages = rows.groupBy("course", "module_dir").agg(F.min_by("module_title", F.struct(*order)).alias("title"), lines_in_order(order, "line").alias("body"))
+    return pages.select("course", "module_dir", *_module_page(F.col("course"), F.col("module_dir"), F.col("title"), F.concat(F.lit("## Lessons\n\n"), F.col("body"))))
+
+
+def stub_pages(modules: DataFrame, lessons: DataFrame) -> DataFrame:
+    """Pages of the module folders (course, module_dir) of known courses that hold no lesson."""
+    empty = without_lessons(modules.join(lessons.select("course").distinct(), "course", "left_semi"), lessons, ["course", "module_dir"])
+    return empty.select("course", "module_dir", *_module_page(F.col("course"), F.col("module_dir"), X.strip_index(F.col("module_dir")), F.lit("_No lessons indexed for this module yet._\n")))
+
+
+def course_pages(lessons: DataFrame, root: str) -> DataFrame:
+    """course, path and text of each course's page: its modules, each once, in order of index, folder and title."""
     modules = lessons.select("course", "module_index", "module_dir", "module_title").distinct()
-    target = F.concat_ws("/", F.col("course"), F.col("module_dir"), F.concat(F.lit("_"), X.safe_filename(F.col("module_title"))))
+    target = page_path(F.concat_ws("/", "course", "module_dir"), F.col("module_title"))
     rows = modules.withColumn("line", F.concat(F.lit("- "), X.wikilink(target, F.col("module_title"))))
-    return rows.groupBy("course").agg(F.count("*").alias("n_modules"), lines_in_order(["module_index", "module_dir", "module_title"], "line").alias("body"))
+    pages = rows.groupBy("course").agg(lines_in_order(["module_index", "module_dir", "module_title"], "line").alias("body"))
+    c = F.col("course")
+    fields = [("vault_schema", F.lit(1), "raw"), ("title", c, "text"), ("type", F.lit("course-moc"), "text"), ("course", c, "text")]
+    text = F.concat(head(fields), F.lit("\n# "), c, F.lit(f"\n\n> [[{root}]] › **"), c, F.lit("**\n\n## Modules\n\n"), F.col("body"), F.lit("\n"))
+    return pages.select("course", page_path(c, c).alias("path"), text.alias("text"))
 
 
 def custom_order(name: Column, order: list[str]) -> Column:
@@ -42,14 +75,36 @@ def custom_order(name: Column, order: list[str]) -> Column:
     return F.when(at > 0, at - 1).otherwise(F.lit(999)).cast("int")
 
 
-def root_page(lessons: DataFrame, concepts: DataFrame, order: list[str], title: str) -> DataFrame:
-    """One row: courses in their given order, then concepts by name."""
-    courses = lessons.select("course").distinct().select(F.lit(0).alias("part"), custom_order(F.col("course"), order).alias("at"), F.col("course").alias("name"))
+def concept_path(name: Column) -> Column:
+    return F.concat(F.lit("Concepts/"), X.safe_filename(name), F.lit(".md"))
+
+
+def root_page(lessons: DataFrame, concepts: DataFrame, title: str, order: list[str] | None = None) -> DataFrame:
+    """One row, path and text: courses in their given order, then concepts by name."""
+    courses = lessons.select("course").distinct().select(F.lit(0).alias("part"), custom_order(F.col("course"), order or COURSE_ORDER).alias("at"), F.col("course").alias("name"))
     names = concepts.select(F.lit(1).alias("part"), F.lit(0).alias("at"), F.col("concept").alias("name")).distinct()
-    course_line = X.wikilink(F.concat(F.col("name"), F.lit("/_"), X.safe_filename(F.col("name"))), F.col("name"))
-    concept_line = X.wikilink(F.concat(F.lit("Concepts/"), X.safe_filename(F.col("name"))), F.col("name"))
-    rows = courses.unionByName(names).withColumn("line", F.concat(F.lit("- "), F.when(F.col("part") == 0, course_line).otherwise(concept_line)))
-    return rows.agg(F.lit(title).alias("title"), F.count_if(F.col("part") == 0).alias("n_courses"), F.count_if(F.col("part") == 1).alias("n_concepts"), lines_in_order(["part", "at", "name"], "line").alias("body"))
+    target = F.when(F.col("part") == 0, page_path(F.col("name"), F.col("name"))).otherwise(concept_path(F.col("name")))
+    rows = courses.unionByName(names).withColumn("line", F.concat(F.lit("- "), X.wikilink(target, F.col("name"))))
+    body = rows.groupBy("part").agg(lines_in_order(["at", "name"], "line").alias("body")).agg(*(F.coalesce(F.max(F.when(F.col("part") == i, F.col("body"))), F.lit("")).alias(f"b{i}") for i in (0, 1)))
+    fields = [("vault_schema", F.lit(1), "raw"), ("title", F.lit(title), "text"), ("type", F.lit("vault-root"), "text")]
+    text = F.concat(head(fields), F.lit(f"\n# {title}\n\n> Root of the vault. Each course section is a MOC.\n\n## Sections\n\n"), F.col("b0"), F.lit("\n\n## Concepts\n\n"), F.col("b1"), F.lit("\n"))
+    return body.select(F.lit(f"{title}.md").alias("path"), text.alias("text"))
+
+
+def concept_pages(mentioned: DataFrame, lessons: DataFrame, key: str) -> DataFrame:
+    """canonical, lesson_count, path and text of each concept's page: the lessons that name it, in order of course and indexes.
+
+    A lesson that names a concept twice is there twice. lessons: key, course,
+    module_title, module_index, lesson_index, lesson_title, lesson_dir and path.
+    """
+    named = mentioned.join(canonical_casing(mentioned), F.lower("concept") == F.col("lowered")).join(lessons, key)
+    shown = F.concat_ws(" › ", F.col("course"), F.col("module_title"), X.clean_title(F.col("lesson_title")))
+    rows = named.withColumns({"line": F.concat(F.lit("- "), X.wikilink(F.col("path"), shown)), "at": F.split("lesson_dir", "/")})
+    pages = rows.groupBy("canonical").agg(F.count("*").alias("lesson_count"), lines_in_order(["course", "module_index", "lesson_index", "at", "pos"], "line").alias("body"))
+    c, n = F.col("canonical"), F.col("lesson_count")
+    fields = [("vault_schema", F.lit(1), "raw"), ("title", c, "text"), ("type", F.lit("concept"), "text"), ("tags", F.array(F.lit("concept")), "list"), ("lesson_count", n, "raw")]
+    text = F.concat(head(fields), F.lit("\n# "), c, F.lit("\n\n> Concept referenced in "), n.cast("string"), F.when(n == 1, F.lit(" lesson")).otherwise(F.lit(" lessons")), F.lit(".\n\n## Lessons\n\n"), F.col("body"), F.lit("\n"))
+    return pages.select("canonical", "lesson_count", concept_path(c).alias("path"), text.alias("text"))
 
 
 def without_lessons(modules: DataFrame, lessons: DataFrame, keys: list[str]) -> DataFrame:
@@ -77,25 +132,63 @@ def frequency(mentioned: DataFrame) -> DataFrame:
     return mentioned.groupBy("concept").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "concept")
 
 
+def inventory_paths(notes: DataFrame) -> DataFrame:
+    """kind (concept or tag), name, n and the paths that name it, by path parts; names without outer blanks, blank ones go.
+
+    notes: path and head (a map of lists).
+    """
+    each = lambda kind, key: notes.select("path", F.lit(kind).alias("kind"), F.explode(F.try_element_at("head", F.lit(key))).alias("name"))
+    rows = each("concept", "concepts").unionByName(each("tag", "tags")).withColumn("name", X.strip(F.col("name"))).filter(F.col("name") != "")
+    listed = F.transform(F.array_sort(F.collect_list(F.struct(F.split("path", "/").alias("at"), "path"))), lambda s: s["path"])
+    return rows.groupBy("kind", "name").agg(F.count("*").alias("n"), listed.alias("paths"))
+
+
+def prompt_lines(inventory: DataFrame) -> DataFrame:
+    """kind, place and line of the prompt's inventory: names by falling count, then name, with their counts. inventory: kind, name, n."""
+    w = Window.partitionBy("kind").orderBy(F.desc("n"), "name")
+    quoted = F.when(F.col("name").contains("'") & ~F.col("name").contains('"'), F.concat(F.lit('"'), F.replace("name", F.lit("\\"), F.lit("\\\\")), F.lit('"'))).otherwise(F.concat(F.lit("'"), F.replace(F.replace("name", F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("'")))
+    return inventory.select("kind", F.row_number().over(w).alias("place"), F.concat(F.lit("  "), quoted, F.lit(": "), F.col("n").cast("string")).alias("line"))
+
+
 def related(mentioned: DataFrame, targets: DataFrame, key: str) -> DataFrame:
     """key and its links to concepts that have a page (concept, path); others are dropped."""
     linked = mentioned.join(targets, "concept").withColumn("link", X.wikilink(F.col("path"), F.col("concept")))
     return linked.groupBy(key).agg(F.count("*").alias("n_links"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "link"))), lambda s: s["link"]), ", ").alias("links"))
 
 
+def mapping_rows(answers: DataFrame, text: str = "text") -> DataFrame:
+    """kind (concept or tag), variant, canonical of a model's answer, without outer blanks and empty sides; of one variant the last counts."""
+    j = F.from_json(X.json_object(F.col(text)), "concepts map<string,string>, tags map<string,string>")
+    both = [answers.select(F.lit(kind).alias("kind"), F.posexplode(F.map_entries(j[key])).alias("at", "e")) for kind, key in (("concept", "concepts"), ("tag", "tags"))]
+    rows = both[0].unionByName(both[1]).select("kind", "at", X.strip(F.col("e.key")).alias("variant"), X.strip(F.col("e.value")).alias("canonical"))
+    return rows.filter((F.col("variant") != "") & (F.col("canonical") != "")).groupBy("kind", "variant").agg(F.max_by("canonical", "at").alias("canonical"))
+
+
+def merges(mapping: DataFrame, first: int | None = None) -> DataFrame:
+    """Entries that change a name; optionally the first so many, by variant."""
+    rows = mapping.filter(F.col("variant") != F.col("canonical"))
+    return rows if first is None else rows.orderBy("variant").limit(first)
+
+
 def apply_canonical(rows: DataFrame, key: str, lists: str, mapping: DataFrame) -> DataFrame:
     """key, old and new lists, n_replaced (before repeats go), changed.
 
-    mapping: variant, canonical. Names without an entry stay; blanks go; the first
-    place of a repeat stays.
+    mapping: variant, canonical. Names are looked up without outer blanks; those
+    without an entry stay; empty ones go; the first place of a repeat stays.
     """
-    each = rows.select(key, F.posexplode_outer(lists).alias("pos", "name")).join(mapping, F.col("name") == F.col("variant"), "left")
-    each = each.withColumn("to", F.coalesce("canonical", "name"))
+    each = rows.select(key, F.posexplode_outer(lists).alias("pos", "name")).withColumn("bare", X.strip(F.col("name"))).join(mapping.select("variant", "canonical"), F.col("bare") == F.col("variant"), "left")
+    each = each.withColumn("to", F.coalesce("canonical", "bare"))
     ordered = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col("name").isNotNull(), F.struct("pos", c)))), lambda s: s[c])
-    out = each.groupBy(key).agg(ordered("name").alias("old"), F.array_distinct(F.filter(ordered("to"), lambda x: F.trim(x) != "")).alias("new"), F.sum((F.col("to") != F.col("name")).cast("long")).alias("n"))
+    out = each.groupBy(key).agg(ordered("name").alias("old"), F.array_distinct(F.filter(ordered("to"), lambda x: x != "")).alias("new"), F.sum((F.col("to") != F.col("bare")).cast("long")).alias("n"))
     return out.select(key, "old", "new", F.coalesce("n", F.lit(0)).alias("n_replaced"), (~F.col("old").eqNullSafe(F.col("new"))).alias("changed"))
 
 
+def canonical_stats(concepts: DataFrame, tags: DataFrame, key: str) -> DataFrame:
+    """files_changed (by either list), concept_replacements and tag_replacements, of apply_canonical's rows for both lists."""
+    both = concepts.select(key, "n_replaced", "changed").join(tags.select(key, F.col("n_replaced").alias("t"), F.col("changed").alias("u")), key)
+    return both.agg(F.count_if(F.col("changed") | F.col("u")).alias("files_changed"), F.coalesce(F.sum("n_replaced"), F.lit(0)).alias("concept_replacements"), F.coalesce(F.sum("t"), F.lit(0)).alias("tag_replacements"))
+
+
 def orphans(stubs: DataFrame, mentioned: DataFrame) -> DataFrame:
     """Stub pages (column name) that no row mentions, compared in normal form."""
     used = mentioned.select(X.normalize_concept(F.col("concept")).alias("k")).distinct()
@@ -103,29 +196,51 @@ def orphans(stubs: DataFrame, mentioned: DataFrame) -> DataFrame:
 
 
 def resolve_links(links: DataFrame, files: DataFrame) -> DataFrame:
-    """links (page, target) with `resolved`: a file has that path, or, for a target without a slash, that name.
+    """links (page, target) with `resolved`: a file or folder has that path, with or without .md, or, for a target without a slash, a file that name.
 
-    Two equi-joins on distinct targets; no pair of a link and a file is tried.
+    Equi-joins on distinct targets; no pair of a link and a file is tried.
     """
     wanted = links.select("target").distinct()
-    bare = files.select(F.regexp_replace("path", r"\.md$", "").alias("p"))
-    by_path = wanted.join(bare.select(F.col("p").alias("target")).distinct(), "target", "left_semi")
-    by_name = wanted.filter(~F.col("target").contains("/")).join(bare.select(X.basename(F.col("p")).alias("target")).distinct(), "target", "left_semi")
+    parts = F.split("path", "/")
+    folders = files.select(F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))).alias("target"))
+    notes = files.filter(F.col("path").endswith(".md")).select(F.regexp_replace("path", r"\.md$", "").alias("p"))
+    names = notes.select(X.basename(F.col("p")).alias("target"))
+    by_path = wanted.join(folders.unionByName(notes.select(F.col("p").alias("target"))).distinct(), "target", "left_semi")
+    by_name = wanted.filter(~F.col("target").contains("/")).join(names.distinct(), "target", "left_semi")
     found = by_path.union(by_name).distinct().withColumn("ok", F.lit(True))
     return links.join(found, "target", "left").select("page", "target", F.coalesce("ok", F.lit(False)).alias("resolved"))
 
 
+def page_links(pages: DataFrame) -> DataFrame:
+    """page and target (without outer blanks) of each link in pages (path, text)."""
+    return pages.select(F.col("path").alias("page"), F.explode(X.wikilinks(F.col("text"))).alias("t")).select("page", X.strip(F.col("t")).alias("target"))
+
+
 def link_report(resolved: DataFrame) -> DataFrame:
     return resolved.groupBy("page").agg(F.count("*").alias("n_links"), F.count_if(~F.col("resolved")).alias("n_broken"))
 
 
-def stale_links(links: DataFrame, mapping: DataFrame, first: int | None = None) -> DataFrame:
-    """Pages with a link to a name that the mapping replaces (letter case apart from); optionally of the first pages alone."""
-    variants = mapping.filter(F.lower("variant") != F.lower("canonical")).select(X.basename(F.col("variant")).alias("name")).distinct()
-    if first is not None:
-        links = links.join(links.select("page").distinct().orderBy("page").limit(first), "page", "left_semi")
-    return links.withColumn("name", X.basename(F.col("target"))).join(variants, "name", "left_semi").groupBy("page").agg(F.count("*").alias("n_stale"))
+def link_ratio(resolved: DataFrame) -> DataFrame:
+    """checked, broken and their ratio over all pages."""
+    got = resolved.agg(F.count("*").alias("checked"), F.count_if(~F.col("resolved")).alias("broken"))
+    return got.withColumn("ratio", F.when(F.col("checked") > 0, F.round(F.col("broken") / F.col("checked"), 4)).otherwise(F.lit(0.0)))
 
 
-def first_seen(rows: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
-    return rows.withColumn("seen", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+#: Notes of which links to replaced names are looked for (a sampling check).
+SAMPLE = 50
+
+
+def stale_links(notes: DataFrame, mapping: DataFrame, first: int | None = SAMPLE) -> DataFrame:
+    """path of the notes whose body links to a name that the mapping replaces; of the first notes by path parts, or of all (None).
+
+    Links and names are compared in lower case without outer blanks and a leading
+    concepts/; a name replaced by its own other casing is none. The head is no body.
+    """
+    name = lambda c: F.lower(X.strip(c))
+    variants = mapping.filter(name(F.col("variant")) != name(F.col("canonical"))).select(name(F.col("variant")).alias("name")).distinct()
+    some = notes.select("path", "text")
+    if first is not None:
+        some = some.orderBy(F.split("path", "/")).limit(first)
+    body = F.regexp_replace("text", r"(?s)\A---\s*\n.*?\n---\s*\n", "")
+    links = some.select("path", F.explode(X.wikilinks(body)).alias("t")).select("path", F.regexp_replace(name(F.col("t")), "^concepts/", "").alias("name"))
+    return links.join(variants, "name", "left_semi").select("path").distinct()

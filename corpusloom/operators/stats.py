@@ -9,7 +9,7 @@ POINTS = (50, 95, 99)
 
 
 def size_stats(rows: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
-    """n, max, min, median and p50, p95, p99 of a whole-number column, per group.
+    """n, max, min, median (cut to a whole number) and p50, p95, p99 of a whole-number column, per group.
 
     Quantiles are exclusive: place p*(n+1)/100, between neighbours, cut to a whole
     number; with under 100 values each is the largest. Values are counted first
@@ -27,7 +27,7 @@ def size_stats(rows: DataFrame, value: str, by: list[str] | None = None) -> Data
         return F.min(F.when(F.col("upto") >= rank, F.col(value)))
 
     n = F.col("n")
-    aggs = [F.max("n").alias("n"), F.max(value).alias("max_chars"), F.min(value).alias("min_chars"), ((at(F.floor((n + 1) / 2)) + at(F.floor(n / 2) + 1)) / 2).alias("median_chars")]
+    aggs = [F.max("n").alias("n"), F.max(value).alias("max_chars"), F.min(value).alias("min_chars"), F.floor((at(F.floor((n + 1) / 2)) + at(F.floor(n / 2) + 1)) / 2).alias("median_chars")]
     for p in POINTS:
         j = F.greatest(F.lit(1), F.least(F.floor(p * (n + 1) / 100), n - 1))
         d = p * (n + 1) - j * 100
@@ -53,17 +53,7 @@ def duplicate_report(rows: DataFrame, key: str, sample: str, first: int = 5) ->
     return counts.join(listed, key).select(key, "copies", "samples", F.greatest(F.col("copies") - first, F.lit(0)).alias("more"))
 
 
-def field_histogram(rows: DataFrame, fields: list[str]) -> DataFrame:
-    """How many rows lack each field (null, or an empty string or list)."""
-    kind = dict(rows.dtypes)
-
-    def missing(f: str):
-        c = F.col(f)
-        if kind[f] == "string":
-            return c.isNull() | (c == "")
-        if kind[f].startswith("array"):
-            return c.isNull() | (F.size(c) == 0)
-        return c.isNull()
-
-    one = rows.agg(*(F.sum(missing(f).cast("long")).alias(f) for f in fields))
-    return one.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.coalesce(F.col(f), F.lit(0)).alias("missing")) for f in fields))).alias("x")).select("x.field", "x.missing")
+def field_histogram(heads: DataFrame, fields: list[str], head: str = "head") -> DataFrame:
+    """field, missing: how many rows' maps lack each key; an empty value is there."""
+    one = heads.agg(*(F.count_if(~F.map_contains_key(F.col(head), f)).alias(f) for f in fields))
+    return one.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("missing")) for f in fields))).alias("x")).select("x.field", "x.missing")

@@ -37,7 +37,7 @@ def _size_sql(by: str) -> str:
     return f"""
 WITH f AS ({_FAILED}), s AS (SELECT length(text) AS c, f.doc_id IS NOT NULL AS failed FROM documents d LEFT JOIN f USING (doc_id)),
 g AS (SELECT {keep}list_sort(list(c)) AS l, count(*) AS n FROM s {f"GROUP BY {by}" if by else ""})
-SELECT {keep}n::BIGINT AS n, l[n]::INT AS max_chars, l[1]::INT AS min_chars, (l[(n + 1) // 2] + l[n // 2 + 1]) / 2.0::DOUBLE AS median_chars, {point(50)}, {point(95)}, {point(99)} FROM g"""
+SELECT {keep}n::BIGINT AS n, l[n]::INT AS max_chars, l[1]::INT AS min_chars, ((l[(n + 1) // 2] + l[n // 2 + 1]) // 2)::BIGINT AS median_chars, {point(50)}, {point(95)}, {point(99)} FROM g"""
 
 
 def size_top25(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,29 +126,37 @@ best AS (SELECT doc_id, arg_max({{'run': run, 't': t}}, (run, -i)) AS x FROM n G
 SELECT d.doc_id, coalesce(x.run, 1)::INT AS run, coalesce(x.t, '') AS text FROM documents d LEFT JOIN best USING (doc_id)"""
 
 
-def _phrased(spark: SparkSession, sf: str) -> DataFrame:
-    return _documents(spark, sf).select("doc_id", "text", runs.phrase_run("text").alias("p"))
-
-
 def phrase_runs(spark: SparkSession, sf: str) -> DataFrame:
-    return _phrased(spark, sf).select("doc_id", F.col("p.run").alias("run"), F.col("p.text").alias("phrase"))
+    return _documents(spark, sf).select("doc_id", runs.repeats("text").alias("p")).select("doc_id", F.col("p.phrase_run").alias("run"), F.col("p.phrase_text").alias("phrase"))
 
 
 def hallucination_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents whose repeats reach a severity of 60: worst first, ties by path order."""
-    rows = _phrased(spark, sf).withColumn("s", runs.sentence_run(X.sentences(F.col("text"))))
-    sev = runs.severity(F.col("s.run"), F.col("s.text"), F.col("p.run"), F.col("p.text"))
-    s, p = F.col("s.run") * F.length("s.text"), F.col("p.run") * F.length("p.text")
-    worst = F.when((F.col("s.run") >= runs.SENTENCE_COPIES) & (s >= p), F.col("s.text")).otherwise(F.col("p.text"))
-    out = rows.select("doc_id", sev.cast("long").alias("severity"), F.col("s.run").alias("sent_run"), F.col("p.run").alias("phrase_run"), F.left(worst, F.lit(70)).alias("worst"))
-    return out.filter("severity >= 60").orderBy(F.desc("severity"), "doc_id")
+    """Documents whose repeats reach a severity of 60: worst first, ties by path order.
 
+    Each text is read once, by one Arrow function for both patterns; its few rows with
+    a finding are written before they are sorted, since a sort samples its input and
+    would have all texts read again.
+    """
+    rows = _documents(spark, sf).select("doc_id", runs.repeats("text").alias("r"))
+    # a generator, which the optimiser neither repeats nor pushes the filter through
+    out = rows.select("doc_id", F.inline(F.array("r"))).withColumn("severity", runs.severity(F.col("sent_run"), F.col("sent_text"), F.col("phrase_run"), F.col("phrase_text")).cast("long"))
+    worst = runs.worst(F.col("sent_run"), F.col("sent_text"), F.col("phrase_run"), F.col("phrase_text"))
+    out = out.filter("severity >= 60").select("doc_id", "severity", "sent_run", "phrase_run", F.left(worst, F.lit(70)).alias("worst"))
+    return out.orderBy(F.desc("severity"), "doc_id")
 
+
+#: The greedy scan over stretches of words that equal the word n places on: each stretch is entered at p or at its start, whichever is later.
 _PHRASE_CTE = """
 w AS (SELECT doc_id, list_filter(regexp_split_to_array(trim(text, ' ' || chr(9) || chr(10) || chr(13)), '\\s+'), lambda x: x <> '') AS l FROM documents),
 eq AS (SELECT doc_id, n, i, l FROM (SELECT doc_id, l, n, unnest(range(1, len(l) - n + 1)) AS i FROM w, range(4, 9) t(n) WHERE len(l) >= n * 10) WHERE l[i] = l[i + n]),
-isl AS (SELECT doc_id, n, min(i) AS i, count(*) AS k, any_value(l) AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, n ORDER BY i) AS g FROM eq) GROUP BY doc_id, n, g),
-cand AS (SELECT doc_id, n, i, k // n + 1 AS run, array_to_string(l[i : i + n - 1], ' ') AS phrase FROM isl WHERE k // n + 1 >= 10),
+isl AS (SELECT doc_id, n, min(i) AS s, max(i) AS e, any_value(l) AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, n ORDER BY i) AS g FROM eq) GROUP BY doc_id, n, g HAVING count(*) >= n),
+num AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY doc_id, n ORDER BY s) AS k FROM isl),
+scan(doc_id, n, k, i, run, p) AS (
+  SELECT doc_id, n, 0, NULL::BIGINT, 0::BIGINT, 1::BIGINT FROM num WHERE k = 1
+  UNION ALL
+  SELECT x.doc_id, x.n, x.k, greatest(c.p, x.s), CASE WHEN greatest(c.p, x.s) + x.n - 1 <= x.e THEN 1 + (x.e - greatest(c.p, x.s) + 1) // x.n ELSE 0 END, CASE WHEN greatest(c.p, x.s) + x.n - 1 <= x.e THEN greatest(c.p, x.s) + (1 + (x.e - greatest(c.p, x.s) + 1) // x.n) * x.n ELSE c.p END
+  FROM scan c JOIN num x ON x.doc_id = c.doc_id AND x.n = c.n AND x.k = c.k + 1),
+cand AS (SELECT scan.doc_id, scan.n, scan.i, scan.run, array_to_string(num.l[scan.i : scan.i + scan.n - 1], ' ') AS phrase FROM scan JOIN num USING (doc_id, n, k) WHERE scan.run >= 10),
 pb AS (SELECT doc_id, arg_max({'run': run, 'phrase': phrase}, (run, -n, -i)) AS x FROM cand GROUP BY doc_id)"""
 
 
@@ -162,10 +170,10 @@ def prompt_truncate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def classification_coerce(spark: SparkSession, sf: str) -> DataFrame:
-    words = F.slice(X.words(F.col("text")), 1, 9)
+    words = X.words(F.col("text"))
     tags = F.transform(words, lambda w: F.concat(F.lit(" "), w, F.lit(" X ")))
-    made = corpus.coerced(F.left("text", F.lit(300)), F.concat(tags, F.array(F.lit(" "), F.lit(None))), words, words)
-    return _documents(spark, sf).filter(F.col("lang") == "en").select("doc_id", F.length(made["summary"]).alias("n_summary"), F.array_join(made["tags"], ",").alias("tags"), F.size(made["concepts"]).alias("n_concepts"), F.array_join(made["aliases"], ",").alias("aliases"))
+    made = corpus.coerced(F.col("text"), F.concat(F.array(F.lit(""), F.lit(None)), tags), words, words)
+    return _documents(spark, sf).select("doc_id", F.length(made["summary"]).alias("n_summary"), F.array_join(made["tags"], ",").alias("tags"), F.size(made["concepts"]).alias("n_concepts"), F.array_join(made["aliases"], ",").alias("aliases"))
 
 
 def parse_llm_json(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,12 +187,44 @@ def route_backends(spark: SparkSession, sf: str) -> DataFrame:
     return _documents(spark, sf).groupBy(r.alias("route")).agg(F.count("*").alias("n"))
 
 
+def glob_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """Shell globs with sets of characters against the place of each document."""
+    place = F.concat_ws(" / ", "source", "lang", F.col("doc_id").cast("string"))
+    hit = lambda g: place.rlike(corpus.glob_pattern(g))
+    return _documents(spark, sf).select("doc_id", hit("src[1-3] / [!f]?").alias("in_set"), hit("/ [ef][nr] / *7").alias("ends"), hit("*src1?").alias("one_more"), hit("[^a] /").alias("caret"), hit("[x").alias("no_set"))
+
+
+def unclassified(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows whose answer lacks a summary, tags or concepts."""
+    i = F.col("doc_id")
+    some = lambda when: F.when(when, F.array(F.lit("x"))).when(i % 4 == 0, F.array().cast("array<string>"))
+    empty = corpus.is_unclassified(F.when(i % 3 != 0, F.lit("s")).when(i % 2 == 0, F.lit("")), some(i % 5 != 0), some(i % 7 != 0))
+    return _documents(spark, sf).select("doc_id", empty.alias("empty"))
+
+
+def kernel_cascade(spark: SparkSession, sf: str) -> DataFrame:
+    """Three backends in turn, the first two of which leave some rows empty; every row comes back."""
+    import pandas as pd
+
+    def some(modulus: int) -> kernels.Kernel:
+        def kernel(b: pd.DataFrame) -> pd.DataFrame:
+            out = kernels.stub_classify(b)
+            out.loc[b["lesson_id"].to_numpy() % modulus == 0, "summary"] = ""
+            return out
+
+        return kernel
+
+    rows = _documents(spark, sf).select(F.col("doc_id").alias("lesson_id"), "text")
+    out = kernels.cascade(rows, [("first", some(2)), ("second", some(3)), ("third", some(5))], "lesson_id", kernels.CLASSIFIED)
+    return out.select("lesson_id", "engine", (F.col("summary") == "").alias("empty"))
+
+
 def kernel_classify_stub(spark: SparkSession, sf: str) -> DataFrame:
     rows = _documents(spark, sf).select(F.col("doc_id").alias("lesson_id"), "text")
     return kernels.apply(rows, kernels.stub_classify, kernels.CLASSIFIED)
 
 
-QUERIES = {f.__name__: f for f in (size_stats_overall, size_stats_by_failed, size_top25, dedupe_keep_first, dedupe_counts, duplicate_report, neighbors, body_hash, incremental_skip, sparse_filter, sparse_metadata, sentence_runs, line_runs, phrase_runs, hallucination_scan, paragraphs, prompt_truncate, classification_coerce, parse_llm_json, route_backends, kernel_classify_stub)}
+QUERIES = {f.__name__: f for f in (size_stats_overall, size_stats_by_failed, size_top25, dedupe_keep_first, dedupe_counts, duplicate_report, neighbors, body_hash, incremental_skip, sparse_filter, sparse_metadata, sentence_runs, line_runs, phrase_runs, hallucination_scan, paragraphs, prompt_truncate, classification_coerce, parse_llm_json, route_backends, glob_matches, unclassified, kernel_cascade, kernel_classify_stub)}
 
 _SHA16 = "left(sha256('HTML::' || coalesce(lang, '') || chr(10) || 'TRANSCRIPT::' || coalesce(text, '')), 16)"
 _SENTENCES = r"string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))"
@@ -203,8 +243,8 @@ SQL = {
     "sparse_metadata": _sparse_sql(),
     "sentence_runs": _run_sql(_SENTENCES),
     "line_runs": _run_sql("string_split(text, chr(10))"),
-    "phrase_runs": f"WITH {_PHRASE_CTE} SELECT d.doc_id, coalesce(x.run, 0)::INT AS run, coalesce(x.phrase, '') AS phrase FROM documents d LEFT JOIN pb USING (doc_id)",
-    "hallucination_scan": f"WITH sr AS ({_run_sql(_SENTENCES)}), {_PHRASE_CTE}, a AS (SELECT sr.doc_id, sr.run AS s, sr.text AS st, coalesce(x.run, 0) AS p, coalesce(x.phrase, '') AS pt FROM sr LEFT JOIN pb USING (doc_id)) SELECT doc_id, greatest(CASE WHEN s >= 3 THEN s * length(st) ELSE 0 END, p * length(pt))::BIGINT AS severity, s::INT AS sent_run, p::INT AS phrase_run, left(CASE WHEN s >= 3 AND s * length(st) >= p * length(pt) THEN st ELSE pt END, 70) AS worst FROM a WHERE greatest(CASE WHEN s >= 3 THEN s * length(st) ELSE 0 END, p * length(pt)) >= 60 ORDER BY severity DESC, doc_id",
+    "phrase_runs": f"WITH RECURSIVE {_PHRASE_CTE} SELECT d.doc_id, coalesce(x.run, 0)::INT AS run, coalesce(x.phrase, '') AS phrase FROM documents d LEFT JOIN pb USING (doc_id)",
+    "hallucination_scan": f"WITH RECURSIVE sr AS ({_run_sql(_SENTENCES)}), {_PHRASE_CTE}, a AS (SELECT sr.doc_id, sr.run AS s, sr.text AS st, coalesce(x.run, 0) AS p, coalesce(x.phrase, '') AS pt FROM sr LEFT JOIN pb USING (doc_id)) SELECT doc_id, greatest(CASE WHEN s >= 3 THEN s * length(st) ELSE 0 END, p * length(pt))::BIGINT AS severity, s::INT AS sent_run, p::INT AS phrase_run, left(CASE WHEN s >= 3 AND s * length(st) >= p * length(pt) THEN st ELSE pt END, 70) AS worst FROM a WHERE greatest(CASE WHEN s >= 3 THEN s * length(st) ELSE 0 END, p * length(pt)) >= 60 ORDER BY severity DESC, doc_id",
     "paragraphs": r"""
 WITH RECURSIVE t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS s FROM conversations WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> ''),
 m AS (SELECT *, length(s) AS n, len(regexp_extract_all(s, '[.!?]\s')) + 1 AS e FROM t),
@@ -214,10 +254,14 @@ f(conv_id, i, pos, n, e) AS (
   SELECT m.conv_id, m.i, CASE WHEN f.n + m.n > 600 OR f.e + m.e > 5 THEN f.pos + 1 ELSE f.pos END, CASE WHEN f.n + m.n > 600 OR f.e + m.e > 5 THEN m.n ELSE f.n + m.n END, CASE WHEN f.n + m.n > 600 OR f.e + m.e > 5 THEN m.e ELSE f.e + m.e END
   FROM f JOIN m ON m.conv_id = f.conv_id AND m.i = f.i + 1)
 SELECT conv_id, pos::INT AS pos, string_agg(s, ' ' ORDER BY i) AS paragraph FROM f JOIN m USING (conv_id, i) GROUP BY conv_id, pos""",
-    "prompt_truncate": "WITH t AS (SELECT doc_id, CASE WHEN length(text) > 16000 THEN left(text, 16000) || chr(10) || chr(10) || '[truncated]' ELSE text END AS b FROM documents) SELECT doc_id, sha256(b) AS sha, length(b)::INT AS chars FROM t",
+    "prompt_truncate": "WITH t AS (SELECT doc_id, CASE WHEN length(text) > 16000 THEN left(text, 16000) || chr(10) || chr(10) || '[...truncated...]' ELSE text END AS b FROM documents) SELECT doc_id, sha256(b) AS sha, length(b)::INT AS chars FROM t",
     "classification_coerce": r"""
-WITH w AS (SELECT doc_id, trim(left(text, 300), ' ' || chr(9) || chr(10)) AS s, list_filter(regexp_split_to_array(trim(text, ' ' || chr(10)), '\s+'), lambda x: x <> '')[1:9] AS l FROM documents WHERE lang = 'en')
-SELECT doc_id, length(left(s, 200))::INT AS n_summary, array_to_string(list_transform(l, lambda x: lower(x) || '-x')[1:7], ',') AS tags, len(l[1:5])::INT AS n_concepts, array_to_string(l[1:2], ',') AS aliases FROM w""",
+WITH w AS (SELECT doc_id, text AS s, list_filter(regexp_split_to_array(trim(text, ' ' || chr(10)), '\s+'), lambda x: x <> '') AS l FROM documents)
+SELECT doc_id, length(left(s, 200))::INT AS n_summary, array_to_string(list_transform(l[1:7], lambda x: lower(x) || '-x'), ',') AS tags, len(l[1:5])::INT AS n_concepts, array_to_string(l[1:2], ',') AS aliases FROM w""",
+    "glob_matches": r"SELECT doc_id, regexp_matches(p, '(?s)src[1-3] / [^f].') AS in_set, regexp_matches(p, '(?s)/ [ef][nr] / .*7') AS ends, regexp_matches(p, '(?s)src1.') AS one_more, regexp_matches(p, '[\^a] /') AS caret, contains(p, '[x') AS no_set FROM (SELECT doc_id, source || ' / ' || lang || ' / ' || doc_id AS p FROM documents)",
+    "unclassified": "SELECT doc_id, doc_id % 3 = 0 OR doc_id % 5 = 0 OR doc_id % 7 = 0 AS empty FROM documents",
+    "kernel_cascade": r"WITH b AS (SELECT doc_id AS lesson_id, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) = 0 AS none FROM documents) SELECT lesson_id, CASE WHEN NOT none AND lesson_id % 2 <> 0 THEN 'first' WHEN NOT none AND lesson_id % 3 <> 0 THEN 'second' WHEN NOT none AND lesson_id % 5 <> 0 THEN 'third' END AS engine, none OR lesson_id % 30 = 0 AS empty FROM b",
+    "kernel_classify_stub": r"SELECT doc_id AS lesson_id, left(array_to_string(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')[1:12], ' '), 200) AS summary, ['tag-' || h[1], 'tag-' || h[2]] AS tags, ['Concept ' || upper(h[3])] AS concepts, []::VARCHAR[] AS aliases, 'stub' AS engine FROM (SELECT *, sha256(text) AS h FROM documents)",
     "parse_llm_json": "SELECT event_id, (props::JSON ->> 'k')::INT AS k FROM events",
     "route_backends": "SELECT CASE WHEN doc_id % 9 = 0 THEN 'cached' WHEN length(text) < 300 THEN 'sparse' WHEN contains(p, 'src1') OR contains(p, '/ fr /') THEN 'local' ELSE 'sdk' END AS route, count(*)::BIGINT AS n FROM (SELECT *, source || ' / ' || lang || ' / ' || doc_id AS p FROM documents) GROUP BY 1",
 }

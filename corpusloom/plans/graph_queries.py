@@ -6,40 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import corpus, graph, integrity, stats
+from ..operators import corpus, graph, stats
 from ..session import table
 
-_ORDER = ["src3", "src1", "src2"]
-_MAPPING = [("red", "Crimson"), ("Red", "Crimson"), ("blue", "Azure"), ("green", "green"), ("brass", " "), ("Brand#13", "House"), ("Brand#31", "House"), ("Brand#22", "Brand#22")]
-
-
-def _lessons(spark: SparkSession, sf: str) -> DataFrame:
-    i = F.col("doc_id")
-    title = F.concat((i % 120).cast("string"), F.lit(". "), F.left(F.regexp_replace("text", r"\n", " "), F.lit(24)))
-    rows = table(spark, sf, "documents").select("doc_id", F.col("source").alias("course"), F.col("lang").alias("module_title"), (i % 120).cast("int").alias("lesson_index"), title.alias("lesson_title"), F.when(i % 3 == 0, F.left("text", F.lit(20))).alias("summary"))
-    rows = rows.withColumns({"module_index": F.length("module_title") + F.ascii("module_title") % 3, "module_dir": F.concat(F.lit("1-"), F.col("module_title"))})
-    return rows.withColumn("path", F.concat_ws("/", "course", "module_dir", X.numbered_name(F.col("lesson_index"), F.col("lesson_title"))))
-
-
-_LESSONS = r"""
-WITH l0 AS (SELECT doc_id, source AS course, lang AS module_title, (doc_id % 120)::INT AS lesson_index, (doc_id % 120) || '. ' || left(replace(text, chr(10), ' '), 24) AS lesson_title, CASE WHEN doc_id % 3 = 0 THEN left(text, 20) END AS summary FROM documents),
-l1 AS (SELECT *, trim(regexp_replace(lesson_title, '^\s*\d+\.\s*', '')) AS ct, length(module_title) + ascii(module_title) % 3 AS module_index, '1-' || module_title AS module_dir FROM l0),
-l2 AS (SELECT *, trim(regexp_replace(regexp_replace(trim(regexp_replace(ct, '[\\/:*?"<>|#^\[\]]', '', 'g')), '\.+$', ''), '\s+', ' ', 'g')) AS x, regexp_replace(regexp_replace(trim(regexp_replace(ct, '[\\/:*?"<>|#^\[\]]', '', 'g')), '\.+$', ''), '\s+', ' ', 'g') AS sn FROM l1),
-l AS (SELECT *, course || '/' || module_dir || '/' || printf('%02d', lesson_index) || '. ' || coalesce(nullif(left(sn, 180), ''), 'Untitled') AS bare, printf('%02d', lesson_index) || '. ' || ct AS shown FROM l2)"""
-
-
-def module_moc(spark: SparkSession, sf: str) -> DataFrame:
-    out = graph.module_pages(_lessons(spark, sf))
-    return out.select("course", "module_dir", "n_lessons", "module_title", F.sha2("body", 256).alias("body_sha"))
-
-
-def course_moc(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.course_pages(_lessons(spark, sf))
-
-
-def root_moc(spark: SparkSession, sf: str) -> DataFrame:
-    concepts = table(spark, sf, "part").select(F.col("p_brand").alias("concept"))
-    return graph.root_page(_lessons(spark, sf), concepts, _ORDER, "All sections")
+_MAPPING = [("red", "Crimson"), ("Red", "Crimson"), ("blue", "Azure"), ("green", "green"), ("brass", " ring"), ("Brand#13", "House"), ("Brand#31", "House"), ("Brand#22", "Brand#22")]
 
 
 def empty_modules(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,7 +63,9 @@ def canon_apply(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def canon_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return _applied(spark, sf).agg(F.count_if("changed").alias("files_changed"), F.sum("n_replaced").alias("replacements"))
+    """Notes changed, and replacements of concepts and of tags apart."""
+    tags = table(spark, sf, "part").select("p_partkey", F.array("p_type", F.lit("red"), F.lit("red")).alias("tags"))
+    return graph.canonical_stats(_applied(spark, sf), graph.apply_canonical(tags, "p_partkey", "tags", _mapping(spark).filter("variant = 'red'")), "p_partkey")
 
 
 _MAP = "map AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in _MAPPING) + ") t(variant, canonical) WHERE variant <> canonical)"
@@ -110,21 +82,17 @@ def orphan_concepts(spark: SparkSession, sf: str) -> DataFrame:
     return graph.orphans(stubs, _mentions(spark, sf))
 
 
-def _links(spark: SparkSession, sf: str) -> DataFrame:
-    i = F.col("p_partkey")
-    said = F.concat(F.lit("see [[Concepts/"), F.col("p_brand"), F.lit("|b]] and [["), F.concat(F.lit("Part "), (i % 50).cast("string")), F.lit("]] or [[x#y]] [[red]] "))
-    return table(spark, sf, "part").select(i.alias("page"), F.explode(X.wikilinks(F.replace(said, F.lit("Brand#"), F.lit("Brand")))).alias("target"))
+def _pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as pages with links: to a part's page by path, to one by name, to a folder, and to a heading, which is none."""
+    i = F.col("doc_id").cast("string")
+    said = F.concat("text", F.lit(" [[Concepts/"), F.col("lang"), F.lit(" page|shown]] [[Part "), (F.col("doc_id") % 300).cast("string"), F.lit("]] [[ Parts ]] [[x#y]] [[gone/Part "), i, F.lit("]]"))
+    return table(spark, sf, "documents").select(i.alias("path"), said.alias("text"))
 
 
 def link_resolution(spark: SparkSession, sf: str) -> DataFrame:
-    i = F.col("p_partkey")
-    files = table(spark, sf, "part").filter(i % 3 == 0).select(F.concat(F.lit("Parts/Part "), (i % 40).cast("string"), F.lit(".md")).alias("path"))
-    files = files.union(table(spark, sf, "part").filter(i % 2 == 0).select(F.concat(F.lit("Concepts/"), F.replace("p_brand", F.lit("Brand#"), F.lit("Brand")), F.lit(".md"))))
-    return graph.link_report(graph.resolve_links(_links(spark, sf), files))
-
-
-def stale_links(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.stale_links(_links(spark, sf), _mapping(spark))
+    files = table(spark, sf, "part").select(F.concat(F.lit("Parts/Part "), (F.col("p_partkey") % 200).cast("string"), F.lit(".md")).alias("path"))
+    files = files.union(table(spark, sf, "documents").filter("lang < 'f'").select(F.concat(F.lit("Concepts/"), "lang", F.lit(" page.md"))))
+    return graph.link_report(graph.resolve_links(graph.page_links(_pages(spark, sf)), files))
 
 
 def custom_order(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,7 +140,9 @@ def html_markdown(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def place_columns(spark: SparkSession, sf: str) -> DataFrame:
-    path = F.concat_ws("/", F.when(F.col("doc_id") % 4 == 0, F.lit("Automation Tutorials")).otherwise(F.col("source")), F.col("lang"), F.concat(F.lit("3-"), F.col("source")), F.col("doc_id").cast("string"))
+    """Folders three, four and five deep, in the special section and in others."""
+    i = F.col("doc_id")
+    path = F.concat_ws("/", F.when(i % 4 == 0, F.lit(corpus.SPECIAL_SECTION)).otherwise(F.col("source")), F.concat((i % 9).cast("string"), F.lit("-"), "lang"), F.when(i % 3 > 0, F.lit("2-deep")), F.when(i % 3 > 1, F.lit("deeper")), i.cast("string"))
     made = corpus.place_columns(path)
     return table(spark, sf, "documents").select("doc_id", *(c.alias(n) for n, c in made.items()))
 
@@ -183,50 +153,20 @@ def path_order(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.keep_first(rows, F.col("p_brand"), [corpus.path_order(F.col("path"))])
 
 
-def _noted(spark: SparkSession, sf: str) -> DataFrame:
-    i = F.col("event_id")
-    return table(spark, sf, "events").select(F.when(i % 97 == 0, F.lit(None)).when(i % 101 == 0, F.lit("x")).otherwise(i.cast("string")).alias("lesson_id"), F.when(i % 50 == 0, 2).otherwise(1).alias("schema"), F.when(i % 7 == 0, F.lit("")).otherwise(F.col("event_type")).alias("title"), F.when(i % 11 == 0, F.lit(None)).otherwise(F.col("props")).alias("summary"))
-
-
-_NOTED = "WITH n AS (SELECT CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 101 = 0 THEN 'x' ELSE event_id::VARCHAR END AS lesson_id, CASE WHEN event_id % 50 = 0 THEN 2 ELSE 1 END AS schema, CASE WHEN event_id % 7 = 0 THEN '' ELSE event_type END AS title, CASE WHEN event_id % 11 = 0 THEN NULL ELSE props END AS summary FROM events)"
-
-
 def required_fields(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.field_histogram(_noted(spark, sf), ["lesson_id", "title", "summary"])
-
-
-def integrity_checks(spark: SparkSession, sf: str) -> DataFrame:
-    return integrity.report(integrity.note_checks(_noted(spark, sf), ["title", "summary"]))
-
-
-def integrity_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return integrity.exit_code(integrity_checks(spark, sf))
+    """Keys that heads lack; an empty value is there."""
+    i = F.col("event_id")
+    head = F.map_from_entries(F.array_compact(F.array(F.when(i % 97 > 0, F.struct(F.lit("lesson_id").alias("k"), F.array(i.cast("string")).alias("v"))), F.when(i % 7 > 0, F.struct(F.lit("title").alias("k"), F.array().cast("array<string>").alias("v"))))))
+    return stats.field_histogram(table(spark, sf, "events").select(head.alias("head")), ["lesson_id", "title", "summary"])
 
 
-QUERIES = {f.__name__: f for f in (module_moc, course_moc, root_moc, empty_modules, concept_index, concept_counts, inventory_order, concept_case_collapse, related_links, canon_apply, canon_stats, orphan_concepts, link_resolution, stale_links, custom_order, safe_filename, sanitize_title, clean_title, index_prefix, normalize_concept, html_text_length, html_links, html_markdown, place_columns, path_order, required_fields, integrity_checks, integrity_summary)}
+QUERIES = {f.__name__: f for f in (empty_modules, concept_index, concept_counts, inventory_order, concept_case_collapse, related_links, canon_apply, canon_stats, orphan_concepts, link_resolution, custom_order, safe_filename, sanitize_title, clean_title, index_prefix, normalize_concept, html_text_length, html_links, html_markdown, place_columns, path_order, required_fields)}
 
 _BAD = r"""'[\\/:*?"<>|#^\[\]]'"""
 _SAFE = lambda c: f"coalesce(nullif(left(regexp_replace(regexp_replace(trim(regexp_replace({c}, {_BAD}, '', 'g')), '\\.+$', ''), '\\s+', ' ', 'g'), 180), ''), 'Untitled')"
 _CLEAN = lambda c: f"trim(regexp_replace({c}, '^\\s*\\d+\\.\\s*', ''))"
 _TITLES = "WITH t AS (SELECT page_id, (page_id % 13) || '. ' || regexp_extract(html, '<title>([^<]*)', 1) || ' /:a?[b]#..' AS t FROM pages)"
-_LINKS = "WITH k AS (SELECT p_partkey AS page, unnest(['Concepts/' || replace(p_brand, 'Brand#', 'Brand'), 'Part ' || (p_partkey % 50), 'red']) AS target FROM part)"
-_CHECKS = f"""{_NOTED}, c AS (
-SELECT 'unique_ids' AS "check", 'FAIL' AS bad, (SELECT count(*) FROM (SELECT lesson_id FROM n WHERE coalesce(lesson_id, '') <> '' GROUP BY 1 HAVING count(*) > 1)) AS n
-UNION ALL SELECT 'missing_ids', 'WARN', (SELECT count(*) FROM n WHERE coalesce(lesson_id, '') = '')
-UNION ALL SELECT 'version', 'FAIL', (SELECT count(*) FROM n WHERE schema IS DISTINCT FROM 1)
-UNION ALL SELECT 'required_fields', 'WARN', (SELECT count(*) FROM n WHERE coalesce(title, '') = '' OR coalesce(summary, '') = '')),
-r AS (SELECT "check", CASE WHEN n = 0 THEN 'OK' ELSE bad END AS level, n::BIGINT AS n FROM c)"""
-
 SQL = {
-    "module_moc": _LESSONS + """
-SELECT course, module_dir, count(*)::BIGINT AS n_lessons, arg_min(module_title, (lesson_index, lesson_title)) AS module_title,
-  sha256(string_agg('- ' || CASE WHEN shown = string_split(bare, '/')[-1] THEN '[[' || bare || ']]' ELSE '[[' || bare || '|' || shown || ']]' END || CASE WHEN coalesce(summary, '') <> '' THEN chr(10) || '    - ' || summary ELSE '' END, chr(10) ORDER BY lesson_index, lesson_title, bare)) AS body_sha FROM l GROUP BY 1, 2""",
-    "course_moc": _LESSONS + """, m AS (SELECT DISTINCT course, module_index, module_dir, module_title FROM l)
-SELECT course, count(*)::BIGINT AS n_modules, string_agg('- [[' || course || '/' || module_dir || '/_' || module_title || '|' || module_title || ']]', chr(10) ORDER BY module_index, module_dir, module_title) AS body FROM m GROUP BY 1""",
-    "root_moc": f"""
-WITH r AS (SELECT DISTINCT 0 AS part, coalesce(list_position({_ORDER}, source) - 1, 999) AS place, source AS name FROM documents UNION ALL SELECT DISTINCT 1, 0, p_brand FROM part)
-SELECT 'All sections' AS title, count(*) FILTER (WHERE part = 0)::BIGINT AS n_courses, count(*) FILTER (WHERE part = 1)::BIGINT AS n_concepts,
-  string_agg('- ' || CASE WHEN part = 0 THEN '[[' || name || '/_' || name || '|' || name || ']]' WHEN replace(name, '#', '') = name THEN '[[Concepts/' || name || ']]' ELSE '[[Concepts/' || replace(name, '#', '') || '|' || name || ']]' END, chr(10) ORDER BY part, place, name) AS body FROM r""",
     "empty_modules": "SELECT n_nationkey, n_name FROM nation n WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey % 4 = 0 AND s_nationkey = n_nationkey)",
     "concept_index": _MENTIONS + ", c AS (SELECT lower(concept) AS k, arg_min(concept, (p_partkey, pos)) AS canonical FROM m GROUP BY 1) SELECT canonical, count(*)::BIGINT AS lesson_count, sha256(string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey, pos)) AS lessons_sha FROM m JOIN c ON lower(concept) = k GROUP BY canonical",
     "concept_counts": _MENTIONS + " SELECT count(DISTINCT concept)::BIGINT AS n_unique, count(*)::BIGINT AS n_total FROM m",
@@ -234,11 +174,11 @@ SELECT 'All sections' AS title, count(*) FILTER (WHERE part = 0)::BIGINT AS n_co
     "concept_case_collapse": _MENTIONS + " SELECT lower(concept) AS lowered, arg_min(concept, (p_partkey, pos)) AS canonical FROM m GROUP BY 1",
     "related_links": _MENTIONS + ", b AS (SELECT DISTINCT p_brand AS concept FROM part) SELECT p_partkey, count(*)::BIGINT AS n_links, string_agg(CASE WHEN replace(concept, '#', '') = concept THEN '[[Concepts/' || concept || ']]' ELSE '[[Concepts/' || replace(concept, '#', '') || '|' || concept || ']]' END, ', ' ORDER BY pos) AS links FROM m JOIN b USING (concept) GROUP BY 1",
     "canon_apply": _APPLIED + " SELECT p_partkey, array_to_string(new, ',') AS concepts, n::BIGINT AS n_replaced, old IS DISTINCT FROM new AS changed FROM o JOIN w USING (p_partkey)",
-    "canon_stats": _APPLIED + " SELECT count(*) FILTER (WHERE old IS DISTINCT FROM new)::BIGINT AS files_changed, sum(n)::BIGINT AS replacements FROM o JOIN w USING (p_partkey)",
+    "canon_stats": _APPLIED + " SELECT count(*) FILTER (WHERE old IS DISTINCT FROM new OR true)::BIGINT AS files_changed, sum(n)::BIGINT AS concept_replacements, (2 * count(*))::BIGINT AS tag_replacements FROM o JOIN w USING (p_partkey)",
     "orphan_concepts": _MENTIONS + ", s AS (SELECT DISTINCT p_brand AS name FROM part UNION SELECT r_name FROM region) SELECT name FROM s WHERE lower(name) NOT IN (SELECT lower(concept) FROM m)",
-    "link_resolution": _LINKS + """, f AS (SELECT DISTINCT 'Parts/Part ' || (p_partkey % 40) AS p FROM part WHERE p_partkey % 3 = 0 UNION SELECT DISTINCT 'Concepts/' || replace(p_brand, 'Brand#', 'Brand') FROM part WHERE p_partkey % 2 = 0)
-SELECT page, count(*)::BIGINT AS n_links, count(*) FILTER (WHERE NOT (target IN (SELECT p FROM f) OR (NOT contains(target, '/') AND target IN (SELECT string_split(p, '/')[-1] FROM f))))::BIGINT AS n_broken FROM k GROUP BY 1""",
-    "stale_links": _LINKS + f", {_MAP} SELECT page, count(*)::BIGINT AS n_stale FROM k WHERE string_split(target, '/')[-1] IN (SELECT string_split(variant, '/')[-1] FROM map WHERE lower(variant) <> lower(canonical)) GROUP BY 1",
+    "link_resolution": """
+WITH f AS (SELECT DISTINCT 'Part ' || (p_partkey % 200) AS p FROM part), t AS (SELECT doc_id, lang, len(regexp_extract_all(text, '\\[\\[([^\\]|#]+)(?:\\|[^\\]]+)?\\]\\]')) AS own FROM documents)
+SELECT doc_id::VARCHAR AS page, (4 + own)::BIGINT AS n_links, (1 + own + (lang >= 'f')::INT + ('Part ' || (doc_id % 300) NOT IN (SELECT p FROM f))::INT)::BIGINT AS n_broken FROM t""",
     "custom_order": "SELECT n_name, coalesce(list_position(['CHINA', 'FRANCE', 'BRAZIL'], n_name) - 1, 999)::INT AS place FROM nation ORDER BY 2, 1",
     "safe_filename": f"{_TITLES} SELECT page_id, {_SAFE('t')} AS name FROM t",
     "sanitize_title": _TITLES + r""" SELECT page_id, coalesce(nullif(left(trim(regexp_replace(regexp_replace(t, '[\\/:*?"<>|]', '-', 'g'), '\s+', ' ', 'g'), ' .' || chr(9) || chr(10) || chr(13)), 200), ''), 'untitled') AS name FROM t""",
@@ -247,12 +187,10 @@ SELECT page, count(*)::BIGINT AS n_links, count(*) FILTER (WHERE NOT (target IN
     "normalize_concept": "SELECT p_partkey, lower('A' || p_brand) AS k FROM part",
     "html_text_length": r"SELECT page_id, length(trim(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')))::INT AS chars FROM pages",
     "html_links": r"""
-WITH l AS (SELECT page_id, regexp_extract_all(html, '(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1) AS h, regexp_extract_all(html, '(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 2) AS t FROM pages),
-e AS (SELECT page_id, unnest(h) AS href, trim(regexp_replace(unnest(t), '<[^>]+>', '', 'g')) AS label, generate_subscripts(h, 1) AS i FROM l)
+WITH l AS (SELECT page_id, regexp_extract_all(html, '(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))[^>]*>(.*?)</a>', 1) AS a, regexp_extract_all(html, '(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))[^>]*>(.*?)</a>', 2) AS b, regexp_extract_all(html, '(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))[^>]*>(.*?)</a>', 3) AS c, regexp_extract_all(html, '(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))[^>]*>(.*?)</a>', 4) AS t FROM pages),
+e AS (SELECT page_id, trim(coalesce(unnest(a), '') || coalesce(unnest(b), '') || coalesce(unnest(c), '')) AS href, trim(regexp_replace(regexp_replace(unnest(t), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS label, generate_subscripts(a, 1) AS i FROM l)
 SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY i) - 1)::INT AS pos, label, href FROM e WHERE label <> '' AND href <> ''""",
-    "place_columns": "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'Automation Tutorials' ELSE source END AS course, CASE WHEN doc_id % 4 = 0 THEN lang END AS sub_course, '3-' || source AS module_dir, source AS module_title FROM documents",
+    "place_columns": "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'Automation Tutorials' ELSE source END AS course, CASE WHEN doc_id % 4 = 0 THEN lang END AS sub_course, (doc_id % 9) || '-' || lang AS module_dir, lang AS module_title FROM documents",
     "path_order": "WITH p AS (SELECT p_brand, 'a' || CASE WHEN p_partkey % 2 = 0 THEN ' b' ELSE '' END || '/' || p_name AS path FROM part) SELECT p_brand, path FROM p QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY string_split(path, '/')) = 1",
-    "required_fields": _NOTED + " SELECT 'lesson_id' AS field, count(*) FILTER (WHERE coalesce(lesson_id, '') = '')::BIGINT AS missing FROM n UNION ALL SELECT 'title', count(*) FILTER (WHERE coalesce(title, '') = '') FROM n UNION ALL SELECT 'summary', count(*) FILTER (WHERE coalesce(summary, '') = '') FROM n",
-    "integrity_checks": _CHECKS + ' SELECT "check", level, n FROM r',
-    "integrity_summary": _CHECKS + " SELECT count(*) FILTER (WHERE level = 'OK')::BIGINT AS n_ok, count(*) FILTER (WHERE level = 'WARN')::BIGINT AS n_warn, count(*) FILTER (WHERE level = 'FAIL')::BIGINT AS n_fail, max(CASE level WHEN 'FAIL' THEN 2 WHEN 'WARN' THEN 1 ELSE 0 END)::INT AS exit_code FROM r",
+    "required_fields": "SELECT 'lesson_id' AS field, count(*) FILTER (WHERE event_id % 97 = 0)::BIGINT AS missing FROM events UNION ALL SELECT 'title', count(*) FILTER (WHERE event_id % 7 = 0) FROM events UNION ALL SELECT 'summary', count(*) FROM events",
 }

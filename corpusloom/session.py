@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,3 +32,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def data_dir(default: str = "/root/testdata/sf0.1") -> str:
     return os.environ.get("BENCH_SF_DIR", default)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where the master is this one process."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="corpusloom-")
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a table of the shared folder, read again: what comes before is not done twice, and no lost executor undoes it."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

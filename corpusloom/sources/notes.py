@@ -7,11 +7,12 @@ explicit paths where such files matter.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,12 +29,16 @@ LESSON = T.StructType(
         T.StructField("moduleTitle", T.StringType()),
         T.StructField("hasVideo", T.BooleanType()),
         T.StructField("relativePath", T.StringType()),
+        T.StructField("bad", T.StringType()),
     ]
 )
 
 #: Names a transcript may have, best first (fixed values).
 TRANSCRIPTS = [r"transcript\.md", r"\d{2}\. .*\.md", r"transcript\.parakeet\.md", r"transcript\.remote\.md"]
 
+#: Kinds of generated pages, which are no lesson notes (fixed values).
+PAGE_TYPES = ("module-moc", "course-moc", "vault-root", "concept")
+
 
 def files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
     """path (below the root), size, modified; contents are not read."""
@@ -46,12 +51,7 @@ def files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFra
 def texts(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     """path and text of whole files; bytes that are no UTF-8 become the replacement sign."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-
-    @F.pandas_udf("string")
-    def decoded(b: pd.Series) -> pd.Series:
-        return b.map(lambda x: x.decode("utf-8", "replace"))
-
-    return raw.select(below(F.col("path"), root).alias("path"), decoded("content").alias("text"))
+    return raw.select(below(F.col("path"), root).alias("path"), X.decoded(F.col("content")).alias("text"))
 
 
 def below(path: Column, root: str) -> Column:
@@ -59,102 +59,204 @@ def below(path: Column, root: str) -> Column:
     return F.regexp_replace(F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), r"^[a-z]+:/*", "/"), "^" + re.escape(bare) + "/", "")
 
 
-def scan_lessons(spark: SparkSession, root: str, course_from_section: bool = True) -> DataFrame:
+def lessons_of(meta: DataFrame, listing: DataFrame, course_from_section: bool = True, root: str = "") -> DataFrame:
     """One row per lesson: metadata with its fallbacks, places, transcript and page paths.
 
-    Bad JSON, folders fewer than three deep, lessons with neither transcript nor
-    page, and lessons without an id are left out; of one id the first by path parts.
+    meta: path and text of the lesson.json files; listing: the paths of all files. Bad
+    JSON, lessons with neither transcript nor page, and lessons without an id are left
+    out; of one id the first by path parts counts, and is left out if its folder is
+    fewer than three deep. Empty titles and module titles are none. lesson_id is empty
+    where only the other spelling of the key is there.
     """
-    meta = texts(spark, root, "lesson.json").withColumn("j", F.from_json("text", LESSON, {"mode": "PERMISSIVE"})).filter(F.col("j").isNotNull())
-    meta = meta.select(X.parent(F.col("path")).alias("dir"), "j.*").filter(F.size(F.split("dir", "/")) >= 3)
-    found = files(spark, root).withColumns({"dir": X.parent(F.col("path")), "name": X.basename(F.col("path"))})
+    parsed = meta.withColumn("j", F.from_json("text", LESSON, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"}))
+    parsed = parsed.filter(F.col("j").isNotNull() & F.col("j.bad").isNull()).select(X.parent(F.col("path")).alias("dir"), "j.*")
+    found = listing.select("path", X.parent(F.col("path")).alias("dir"), X.basename(F.col("path")).alias("name"))
     rank = F.lit(None).cast("int")
     for i, p in reversed(list(enumerate(TRANSCRIPTS))):
-        rank = F.when(F.col("name").rlike(f"^{p}$"), F.lit(i)).otherwise(rank)
-    sources = found.withColumn("rank", rank).groupBy("dir").agg(
+        rank = F.when(F.col("name").rlike(f"(?s)^{p}$"), F.lit(i)).otherwise(rank)
+    found = found.withColumn("rank", rank).filter(F.col("rank").isNotNull() | (F.col("name") == "index.html"))
+    sources = found.groupBy("dir").agg(
         F.min_by("path", F.when(F.col("rank").isNotNull(), F.struct("rank", "path"))).alias("transcript_path"),
         F.max(F.when(F.col("name") == "index.html", F.col("path"))).alias("index_html_path"),
-        F.array_sort(F.collect_list(F.when(X.basename(F.col("dir")) == "resources", F.col("name")))).alias("own"),
     )
-    joined = meta.join(sources.drop("own"), "dir").filter(F.coalesce("transcript_path", "index_html_path").isNotNull())
-    lesson_id = F.coalesce(F.nullif(F.col("lessonId"), F.lit("")), F.nullif(F.col("lesson_id"), F.lit("")))
-    place = place_columns(F.col("dir"), course_from_section=course_from_section, root=root.rstrip("/").rsplit("/", 1)[-1])
-    rows = joined.select(
-        lesson_id.alias("lesson_id"),
+    text = lambda c: F.nullif(F.col(c), F.lit(""))
+    key = F.coalesce(text("lessonId"), text("lesson_id"))
+    kept = keep_first(parsed.join(sources, "dir").withColumn("key", key).filter(F.col("key").isNotNull()), F.col("key"), [path_order(F.col("dir"))], null_keys="drop")
+    place = place_columns(F.col("dir"), course_from_section=course_from_section, root=root)
+    return kept.filter(F.size(F.split("dir", "/")) >= 3).select(
+        F.coalesce("lessonId", F.lit("")).alias("lesson_id"),
         *(c.alias(n) for n, c in place.items() if n != "module_title"),
-        F.coalesce("moduleTitle", place["module_title"]).alias("module_title"),
+        F.coalesce(text("moduleTitle"), place["module_title"]).alias("module_title"),
         F.coalesce("moduleIndex", F.lit(0)).alias("module_index"),
         F.coalesce("lessonIndex", F.lit(0)).alias("lesson_index"),
-        F.coalesce("title", X.basename(F.col("dir"))).alias("lesson_title"),
+        F.coalesce(text("title"), X.basename(F.col("dir"))).alias("lesson_title"),
         F.coalesce("hasVideo", F.lit(False)).alias("has_video"),
         F.coalesce("relativePath", F.lit("")).alias("relative_path"),
         F.col("dir").alias("lesson_dir"),
         "transcript_path",
         "index_html_path",
     )
-    return keep_first(rows.filter(F.col("lesson_id").isNotNull()), F.col("lesson_id"), [path_order(F.col("lesson_dir"))], null_keys="drop")
+
+
+def scan_lessons(spark: SparkSession, root: str, course_from_section: bool = True) -> DataFrame:
+    """lessons_of the folders below root."""
+    return lessons_of(texts(spark, root, "lesson.json"), files(spark, root), course_from_section, root.rstrip("/").rsplit("/", 1)[-1])
+
+
+def transcription_metadata(dirs: DataFrame, meta: DataFrame, override: str | None = None) -> DataFrame:
+    """dir, title, lesson_title, module_title, lesson_id, relative_path and output file of each video folder.
+
+    The folder's name without its index stands in for a missing title, the whole name
+    if nothing is left of it; without lesson.json, or a bad one, the other fields are
+    empty. An override names the output instead of the title.
+    """
+    parsed = meta.select(X.parent(F.col("path")).alias("dir"), F.from_json("text", LESSON, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"}).alias("j"))
+    rows = dirs.select("dir").join(parsed.filter(F.col("j").isNotNull() & F.col("j.bad").isNull()), "dir", "left")
+    name = X.basename(F.col("dir"))
+    bare = X.strip(X.strip_index(name))
+    fallback = F.when(F.col("j").isNull(), F.coalesce(F.nullif(bare, F.lit("")), name)).otherwise(bare)
+    rows = rows.select(
+        "dir",
+        F.coalesce(F.nullif("j.title", F.lit("")), fallback).alias("title"),
+        F.coalesce("j.title", fallback).alias("lesson_title"),
+        *(F.coalesce(f"j.{c}", F.lit("")).alias(n) for c, n in (("moduleTitle", "module_title"), ("lessonId", "lesson_id"), ("relativePath", "relative_path"))),
+    )
+    return rows.withColumn("output", F.lit(override) if override else F.concat(X.sanitize_title(F.col("title")), F.lit(".remote.md")))
+
+
+_HEAD = re.compile(r"^---\s*\n(.*?)\n---\s*\n", re.S)
 
 
 def parse_lines(text: str) -> dict[str, list[str]]:
-    """Frontmatter by lines: key -> values; "- x" at the line's start adds to the key before; `[]` stays text."""
+    """Frontmatter by lines, all values text: a key without a value is a list of the "- x" lines that follow it.
+
+    A value is a list of one; `[]` stays text; indented lines, and items that follow a
+    value, are passed over.
+    """
     out: dict[str, list[str]] = {}
-    if not text.startswith("---\n"):
-        return out
-    head, sep, _ = text[4:].partition("\n---")
-    key = None
-    for line in head.split("\n") if sep else []:
-        if line.startswith("- ") and key is not None:
-            out[key].append(line[2:].strip().strip("'\""))
-        elif ":" in line and not line[:1].isspace():
-            key, _, value = line.partition(":")
-            key = key.strip()
-            out[key] = [value.strip().strip("'\"")] if value.strip() else []
+    m = _HEAD.match(text)
+    held: list[str] | None = None
+    for line in m[1].splitlines() if m else ():
+        line = line.rstrip()
+        if line.startswith("- ") and held is not None:
+            held.append(line[2:].strip().strip('"').strip("'"))
+        elif ":" in line and not line.startswith(" "):
+            key, _, value = (x.strip() for x in line.partition(":"))
+            held = None if value else []
+            out[key] = [value.strip('"').strip("'")] if value else held
     return out
 
 
-def frontmatter(text: Column) -> Column:
-    """MAP<STRING, ARRAY<STRING>> of a note's head."""
+def parse_yaml(text: str) -> dict[str, list[str]]:
+    """Frontmatter as YAML where a parser for it is installed, else by lines; what is no mapping is empty.
+
+    A scalar is a list of one, written as YAML's plain text (true, null, 1); nested
+    values become JSON.
+    """
+    if not text.startswith("---\n") or (end := text.find("\n---\n", 4)) < 0:
+        return {}
+    try:
+        import yaml
+    except ImportError:
+        return parse_lines(text)
+    try:
+        got = yaml.safe_load(text[4:end])
+    except yaml.YAMLError:
+        return {}
+    shown = lambda v: v if isinstance(v, str) else json.dumps(v, ensure_ascii=False, default=str)
+    return {str(k): [shown(x) for x in v] if isinstance(v, list) else [] if v is None else [shown(v)] for k, v in got.items()} if isinstance(got, dict) else {}
+
+
+_MAP = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
+
 
-    @F.pandas_udf(T.MapType(T.StringType(), T.ArrayType(T.StringType())))
+def frontmatter(text: Column, lines: bool = False) -> Column:
+    """MAP<STRING, ARRAY<STRING>> of a note's head, as YAML or by lines."""
+    parse = parse_lines if lines else parse_yaml
+
+    @F.pandas_udf(_MAP)
     def parsed(ts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in ts:
-            yield pd.Series([parse_lines(t or "") for t in b], dtype=object)
+            yield pd.Series([parse(t or "") for t in b], dtype=object)
 
     return parsed(text)
 
 
+def first_value(head: Column, key: str) -> Column:
+    return F.get(F.try_element_at(head, F.lit(key)), F.lit(0))
+
+
+def inventory(all_notes: DataFrame, version: int = 1) -> DataFrame:
+    """path, text and head of lesson notes (path, text): rendered ones of this version, no generated pages, of one lesson_id the first by path parts."""
+    rows = all_notes.withColumn("head", frontmatter(F.col("text")))
+    rows = rows.filter((first_value(F.col("head"), "vault_schema") == str(version)) & ~F.coalesce(first_value(F.col("head"), "type"), F.lit("")).isin(*PAGE_TYPES))
+    rows = rows.filter(F.coalesce(first_value(F.col("head"), "moc_type"), F.lit("")) == "")
+    lesson = F.coalesce(F.nullif(first_value(F.col("head"), "lesson_id"), F.lit("")), first_value(F.col("head"), "lessonId"))
+    return keep_first(rows, lesson, [path_order(F.col("path"))])
+
+
 def notes(spark: SparkSession, root: str) -> DataFrame:
-    """path, text and head of lesson notes; pages of contents (type or moc_type) are left out, as are hidden folders."""
-    rows = texts(spark, root, "*.md").filter(~F.col("path").rlike(r"(^|/)[._]")).withColumn("head", frontmatter(F.col("text")))
-    kind = F.coalesce(F.element_at(F.col("head")["type"], 1), F.lit(""))
-    return rows.filter(~kind.isin("module-moc", "course-moc", "vault-root", "concept") & F.col("head")["moc_type"].isNull())
+    """inventory of the Markdown files below root; hidden folders are not read."""
+    return inventory(texts(spark, root, "*.md"))
 
 
-def notes_beside_lessons(all_notes: DataFrame, all_files: DataFrame) -> DataFrame:
-    """Notes whose folder holds a lesson.json."""
+def notes_beside_lessons(all_files: DataFrame) -> DataFrame:
+    """Markdown files (path and other columns) in a folder that holds a lesson.json, but for pages (_*.md) and hidden folders."""
     dirs = all_files.filter(X.basename(F.col("path")) == "lesson.json").select(X.parent(F.col("path")).alias("dir"))
-    return all_notes.withColumn("dir", X.parent(F.col("path"))).join(dirs, "dir", "left_semi")
+    name = X.basename(F.col("path"))
+    own = all_files.filter(name.endswith(".md") & ~name.startswith("_") & ~F.col("path").rlike(r"(^|/)\.[^/]*/"))
+    return own.withColumn("dir", X.parent(F.col("path"))).join(dirs, "dir", "left_semi").drop("dir")
+
+
+_VIDEO = "path string, duration_s double, size_mb double, codec string, dominant_type string, confidence double, profile string, error string"
+
+
+def classified(reports: DataFrame, text: str = "text") -> DataFrame:
+    """Videos of classification reports (JSON texts) that have a path and no error; a report that is no JSON has none."""
+    kind = f"videos array<struct<{_VIDEO}>>"
+    got = reports.withColumn("__v", F.explode(F.from_json(text, kind)["videos"])).filter(F.col("__v.path").isNotNull() & F.col("__v.error").isNull())
+    return got.select(*(c for c in reports.columns if c != text), "__v.*")
 
 
 def classification(spark: SparkSession, path: str) -> DataFrame:
-    """Videos of a classification sidecar that have a path and no error."""
-    video = "path string, duration_s double, size_mb double, codec string, dominant_type string, confidence double, profile string, error string"
-    rows = spark.read.schema(f"videos array<struct<{video.replace(' ', ':').replace(',:', ', ')}>>").option("multiLine", "true").json(path)
-    return rows.select(F.inline("videos")).filter(F.col("path").isNotNull() & F.col("error").isNull())
+    return classified(spark.read.option("wholetext", "true").text(path).withColumnRenamed("value", "text"))
 
 
-def failure_titles(spark: SparkSession, path: str) -> DataFrame:
+def listed_titles(lines: DataFrame, column: str = "value") -> DataFrame:
     """Distinct titles of lines that begin with "- "."""
-    return spark.read.text(path).filter(F.col("value").startswith("- ")).select(F.trim(F.expr("substring(value, 3)")).alias("title")).distinct()
+    return lines.filter(F.col(column).startswith("- ")).select(X.strip(F.substr(F.col(column), F.lit(3))).alias("title")).distinct()
 
 
-def videos(spark: SparkSession, root: str, name: str = "video.mp4") -> DataFrame:
-    """Videos of an exact name, in order of their path as text; with size and time, without content."""
-    return files(spark, root, name).orderBy("path")
+def failure_titles(spark: SparkSession, path: str) -> DataFrame:
+    return listed_titles(spark.read.text(path))
 
 
-def head_fingerprint(content: Column, size: Column) -> Column:
-    return F.struct(F.sha2(F.substring(content, 1, 1 << 20), 256).alias("source_sha256_head"), size.alias("source_size"))
+def named_videos(listing: DataFrame, names: tuple[str, ...] = ("video.mp4",), limit: int | None = None) -> DataFrame:
+    """Files of exact names, of each name in turn by their path as text; optionally the first so many."""
+    place = F.array_position(F.array(*map(F.lit, names)), X.basename(F.col("path")))
+    rows = listing.withColumn("pass", place.cast("int")).filter(F.col("pass") > 0).orderBy("pass", "path")
+    return rows if limit is None else rows.limit(limit)
+
+
+def videos(spark: SparkSession, root: str, *names: str) -> DataFrame:
+    """named_videos below root; with size and time, without content."""
+    return named_videos(files(spark, root), names or ("video.mp4",))
+
+
+def head_fingerprint(content: Column, size: Column, modified: Column) -> Column:
+    return F.struct(F.sha2(F.substring(content, 1, 1 << 20), 256).alias("source_sha256_head"), size.alias("source_size"), modified.alias("source_mtime"))
+
+
+_ANSWER = "text string, segments array<struct<text:string,start:double,end:double>>, language string, duration double"
+
+
+def recognised(answer: Column, language: str = "unknown") -> Column:
+    """text, segments, language and whole seconds of a recogniser's JSON answer; without a duration the last segment's end counts."""
+    j = F.from_json(answer, _ANSWER)
+    segments = F.coalesce(j["segments"], F.array().cast("array<struct<text:string,start:double,end:double>>"))
+    end = F.when(F.size(segments) > 0, F.element_at(segments, -1)["end"])
+    seconds = F.coalesce(F.nullif(j["duration"], F.lit(0.0)), end, F.lit(0.0)).cast("int")
+    return F.struct(X.strip(F.coalesce(j["text"], F.lit(""))).alias("text"), segments.alias("segments"), F.coalesce(j["language"], F.lit(language)).alias("language"), seconds.alias("duration_sec"), F.coalesce(end, F.lit(0.0)).cast("int").alias("last_end"))
 
 
 def probe(text: Column) -> Column:
@@ -171,14 +273,26 @@ def resources(all_files: DataFrame, folder: str = "resources") -> DataFrame:
     return own.groupBy(X.parent(X.parent(F.col("path"))).alias("dir")).agg(F.array_sort(F.collect_list(X.basename(F.col("path")))).alias("resources"))
 
 
-def rename_plan(all_files: DataFrame, titled: DataFrame) -> DataFrame:
-    """dir, old, new, status: old names that a title would replace; nothing is done where the new one exists or is the same."""
-    have = all_files.select(X.parent(F.col("path")).alias("dir"), X.basename(F.col("path")).alias("new")).withColumn("there", F.lit(True))
-    plan = titled.withColumn("new", F.concat(X.sanitize_title(F.col("title")), F.lit(".remote.md"))).join(have, ["dir", "new"], "left")
-    status = F.when(F.col("old") == F.col("new"), "same").when(F.col("there"), "exists").otherwise("rename")
-    return plan.select("dir", "old", "new", status.alias("status"))
+LEGACY = "transcript.remote.md"
 
 
-def last_by(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(*[o.desc() for o in order])
-    return rows.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+def rename_plan(listing: DataFrame, titled: DataFrame, legacy: str = LEGACY) -> DataFrame:
+    """dir, old, new, status of each legacy transcript and failure mark: rename, or exists where the new name is taken.
+
+    titled: dir and title of the video folders. A title whose name is the legacy one
+    asks for nothing.
+    """
+    here = listing.select(X.parent(F.col("path")).alias("dir"), X.basename(F.col("path")).alias("name"))
+    new = F.concat(X.sanitize_title(F.col("title")), F.lit(".remote.md"))
+    asked = titled.select("dir", new.alias("base")).filter(F.col("base") != legacy)
+    asked = asked.select("dir", F.explode(F.array(*(F.struct(F.lit(legacy + x).alias("old"), F.concat("base", F.lit(x)).alias("new")) for x in ("", ".FAILED")))).alias("x")).select("dir", "x.*")
+    have = here.withColumnRenamed("name", "old")
+    taken = here.withColumnRenamed("name", "new").withColumn("taken", F.lit(True))
+    plan = asked.join(have, ["dir", "old"], "left_semi").join(taken, ["dir", "new"], "left")
+    return plan.select("dir", "old", "new", F.when(F.col("taken"), "exists").otherwise("rename").alias("status"))
+
+
+def sibling_videos(flagged: DataFrame, listing: DataFrame, name: str = "video.mp4") -> DataFrame:
+    """The video beside each flagged transcript (path), where there is one."""
+    beside = F.concat(X.parent(F.col("path")), F.lit(f"/{name}"))
+    return flagged.select(beside.alias("video")).join(listing.select(F.col("path").alias("video")), "video", "left_semi")
