@@ -63,27 +63,36 @@ def kept(w: Words, k: int = K, guarantee: int = GUARANTEE) -> tuple[np.ndarray,
 
 
 class Index:
-    """Windows of one block of items, and the fingerprints that lead to them."""
+    """Windows of one block of items, and the fingerprints that lead to them.
+
+    All of it is arrays: the items' bytes, the places of their words, and, for each
+    length, the windows' hashes in order with the place and item of each. So a
+    worker loads a block as fast as it can copy it.
+    """
 
     def __init__(self, items: list[tuple[object, str | None]]) -> None:
-        self.names = [str(i) for i, _ in items]
-        w = words([t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for _, t in items], ALNUM)
+        self.names = [None if i is None else str(i) for i, _ in items]
+        self.words = w = words([t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for _, t in items], ALNUM)
         self.seeds = np.unique(kept(w)[1])
-        self.windows: dict[int, dict[bytes, list[int]]] = {}
-        hashes: dict[int, list[np.ndarray]] = {}
-        g = grams(w.hash, GUARANTEE)
+        long = grams(w.hash, GUARANTEE)
+        found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         for i in range(len(items)):
             a, b = int(w.first[i]), int(w.first[i + 1])
             m = min(b - a, GUARANTEE)
-            if not m:
-                continue
-            own = self.windows.setdefault(m, {})
-            for p in range(a, b - m + 1):
-                held = own.setdefault(w.joined(p, p + m), [])
-                if not held or held[-1] != i:
-                    held.append(i)
-            hashes.setdefault(m, []).append(g[a : b - m + 1] if m == GUARANTEE else grams(w.hash[a:b], m))
-        self.hashes = {m: np.unique(np.concatenate(v)) for m, v in hashes.items()}
+            if m:
+                places = np.arange(a, b - m + 1)
+                found.setdefault(m, []).append((long[a : b - m + 1] if m == GUARANTEE else grams(w.hash[a:b], m), places, np.full(len(places), i, dtype=np.int32)))
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for m, parts in found.items():
+            h, at, item = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(h, kind="stable")
+            self.windows[m] = h[order], at[order], item[order]
+
+    def holders(self, m: int, h: np.uint64, window: bytes) -> set[int]:
+        """Items with this window of m words and hash, compared word for word."""
+        hashes, at, item = self.windows[m]
+        lo, hi = (int(np.searchsorted(hashes, h, side=x)) for x in ("left", "right"))
+        return {int(item[i]) for i in range(lo, hi) if self.words.joined(int(at[i]), int(at[i]) + m) == window}
 
 
 def _known(x: np.ndarray, index: np.ndarray) -> np.ndarray:
@@ -92,9 +101,9 @@ def _known(x: np.ndarray, index: np.ndarray) -> np.ndarray:
     return index[np.minimum(np.searchsorted(index, x), len(index) - 1)] == x
 
 
-def _candidates(w: Words, index: Index) -> Iterator[tuple[int, np.ndarray]]:
-    """(window length, places where a window of that length may stand)."""
-    if GUARANTEE in index.hashes and len(w.hash) >= GUARANTEE:
+def _candidates(w: Words, index: Index) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(window length, places where a window of that length may stand, their hashes)."""
+    if GUARANTEE in index.windows and len(w.hash) >= GUARANTEE:
         at, g = kept(w)
         seeds = at[_known(g, index.seeds)]
         if len(seeds):
@@ -102,21 +111,26 @@ def _candidates(w: Words, index: Index) -> Iterator[tuple[int, np.ndarray]]:
             near = near[(near >= 0) & (near + GUARANTEE <= len(w.hash))]
             g = grams(w.hash, GUARANTEE)
             near = near[_within(w.first, len(g), GUARANTEE)[near]]
-            yield GUARANTEE, near[_known(g[near], index.hashes[GUARANTEE])]
-    for m, known in index.hashes.items():
+            near = near[_known(g[near], index.windows[GUARANTEE][0])]
+            yield GUARANTEE, near, g[near]
+    for m, (known, _, _) in index.windows.items():
         if m < GUARANTEE and len(w.hash) >= m:
             g = grams(w.hash, m)
-            yield m, np.flatnonzero(_known(g, known) & _within(w.first, len(g), m))
+            at = np.flatnonzero(_known(g, known) & _within(w.first, len(g), m))
+            yield m, at, g[at]
 
 
 def find(w: Words, index: Index, hit: np.ndarray, items: list[set]) -> None:
-    """Marks hit words in `hit` and adds the names of the items to each text's set."""
-    for m, places in _candidates(w, index):
-        own, text = index.windows[m], np.searchsorted(w.first, places, side="right") - 1
-        for p, d in zip(places.tolist(), text.tolist(), strict=True):
-            if found := own.get(w.joined(p, p + m)):  # compared word for word
+    """Marks hit words in `hit` and adds the names of the items to each text's set; an item without an id has no name."""
+    for m, places, hashes in _candidates(w, index):
+        text, seen = np.searchsorted(w.first, places, side="right") - 1, {}
+        for p, d, h in zip(places.tolist(), text.tolist(), hashes, strict=True):
+            window = w.joined(p, p + m)
+            if (found := seen.get(window)) is None:
+                found = seen[window] = index.holders(m, h, window)
+            if found:
                 hit[p : p + m] = True
-                items[d].update(index.names[i] for i in found)
+                items[d].update(index.names[i] for i in found if index.names[i] is not None)
 
 
 def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> list:
@@ -177,8 +191,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     """One row per row of docs: doc_id, n_words, n_hit, n_items, items (sorted names), contaminated.
 
     A null or empty text has no words and is clean; items without words have no
-    window; an item that stands twice is listed once; an empty benchmark leaves
-    every document clean. Other columns of either table are not looked at.
+    window; an item that stands twice is listed once; the words of an item without
+    an id are hit, but it is not listed or counted; an empty benchmark leaves every
+    document clean. Other columns of either table are not looked at.
     """
     work = scanner(blocks(benchmark))
 
