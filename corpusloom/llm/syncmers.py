@@ -14,6 +14,8 @@ one before, so the work is a few passes over the array of words, whatever the te
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,9 +24,10 @@ S = 2
 W = 8
 K = W + S - 1
 
-#: Rows of a range of ids, and the most ranges.
+#: Rows of a range of ids, the most ranges, and ids that are drawn for each bound (a million at most).
 RANGE_ROWS = 512
 MOST_RANGES = 16_384
+DRAWN = 64
 
 
 def word_hashes(text: Column) -> Column:
@@ -81,11 +84,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both.cast("double") / either)
 
 
-def range_of(x: Column, bounds: list[int]) -> Column:
-    """How many bounds lie below x, by bisection in a constant array; 0 for null."""
+def range_of(x: Column, bounds: list, kind: str) -> Column:
+    """How many bounds (of Spark's type `kind`) lie below x, by bisection in a constant array; 0 for null."""
     if not bounds:
         return F.lit(0)
-    held = F.from_json(F.lit("[" + ",".join(map(str, bounds)) + "]"), "array<bigint>")
+    held = F.from_json(F.lit(json.dumps([b if isinstance(b, int) else str(b) for b in bounds])), f"array<{kind}>")
     steps = [1 << j for j in reversed(range(len(bounds).bit_length()))]
     found = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, by: F.when((at + by <= len(bounds)) & (F.get(held, at + by - 1) < x), at + by).otherwise(at))
     return F.when(x.isNull(), F.lit(0)).otherwise(found)
@@ -94,25 +97,28 @@ def range_of(x: Column, bounds: list[int]) -> Column:
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text and rng of docs, and the rows that stand behind each range's last, marked `guest`.
 
-    Ids are cut into ranges at quantiles of all ids; a range's guests are the rows
-    with the smallest id of the range after it (after the last: of the first). So
-    the row after any row is in its own range and no window spans the table. Only
-    the bounds and each range's smallest id, MOST_RANGES of either, reach the driver.
+    Ids, of any type with an order, are cut into ranges at quantiles of DRAWN ids a
+    bound; where the cuts lie decides who works, never a result. A range's guests are
+    the rows with the smallest id of the range after it (after the last: of the
+    first). So the row after any row is in its own range and no window spans the
+    table. Only the drawn ids and each range's smallest one reach the driver.
     """
     ids = docs.select("doc_id")
     n = ids.count()
     want = max(1, min(MOST_RANGES, n // RANGE_ROWS))
-    bounds: list[int] = []
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    bounds: list = []
     if want > 1:
-        bounds = sorted(set(ids.select(F.percentile_approx("doc_id", [i / want for i in range(1, want)], max(1000, 10 * want)).alias("p")).first()["p"] or []))
-    rows = docs.select("doc_id", "text", range_of(F.col("doc_id"), bounds).alias("rng"))
+        drawn = sorted(r[0] for r in ids.filter(F.col("doc_id").isNotNull()).sample(min(1.0, DRAWN * want / n), 7).collect())
+        bounds = sorted({drawn[len(drawn) * i // want] for i in range(1, want)}) if drawn else []
+    rows = docs.select("doc_id", "text", range_of(F.col("doc_id"), bounds, kind).alias("rng"))
     least = rows.groupBy("rng").agg(F.min("doc_id").alias("i"), F.max(F.col("doc_id").isNull()).alias("none"))
     first = [(r["rng"], None if r["none"] else r["i"]) for r in least.orderBy("rng").collect()]
     hosts = [(i, first[k - 1][0]) for k, (_, i) in enumerate(first)]
     own = rows.withColumn("guest", F.lit(False))
     if not hosts:
         return own
-    small = docs.sparkSession.createDataFrame(hosts, "first long, host int")
+    small = docs.sparkSession.createDataFrame(hosts, f"first {kind}, host int")
     guests = docs.select("doc_id", "text").join(F.broadcast(small), F.col("doc_id").eqNullSafe(F.col("first")))
     return own.unionByName(guests.select("doc_id", "text", F.col("host").alias("rng"), F.lit(True).alias("guest")))
 
@@ -137,7 +143,7 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     table (one lone row is its own next). Two fingerprints without anchors are
     alike (1.0). Texts are moved once, to the range of their id.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     dealt = with_anchors(with_next(rows).repartition("rng"), "text", "anchors")
     order = Window.partitionBy("rng").orderBy("guest", F.asc_nulls_first("doc_id"), "text")
     near = dealt.withColumns({"next_text": F.lead("text").over(order), "next_anchors": F.lead("anchors").over(order)}).filter(~F.col("guest"))
