@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm import bpe, chat, decontamination, html_extract, neardup, pii, quality, sharding, syncmers, token_counts, wordhash
+from tests.llm import plain
 
 WORD_BPE, PIECE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -150,27 +151,6 @@ def test_html_reader_is_linear():
         assert time.time() - began < 20, unit
 
 
-def slow_windows(docs, items):
-    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
-    wins = defaultdict(set)
-    for name, t in items:
-        w = words(t)
-        m = min(10, len(w))
-        for i in range(len(w) - m + 1 if m else 0):
-            wins[tuple(w[i : i + m])].add(str(name))
-    lengths = {len(k) for k in wins}
-    out = []
-    for i, t in docs:
-        w, hit, found = words(t), set(), set()
-        for m in lengths:
-            for p in range(len(w) - m + 1):
-                if names := wins.get(tuple(w[p : p + m])):
-                    hit.update(range(p, p + m))
-                    found |= names
-        out.append((i, len(w), len(hit), sorted(found)))
-    return out
-
-
 @pytest.mark.parametrize("block", [1 << 20, 400])
 def test_decontamination(spark, texts, block, monkeypatch):
     monkeypatch.setattr(decontamination.blocks, "__defaults__", ("item_id", "text", block))
@@ -186,9 +166,9 @@ def test_decontamination(spark, texts, block, monkeypatch):
     docs += [(200, "the " * 40), (201, None), (202, ""), (203, "Q w, e r t y u i o p!"), (None, "x y z"), (203, "Q w, e r t y u i o p!")]
     bench = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, doc_id long")
     got = sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in decontamination.scan(frame(spark, docs), bench).collect()), key=repr)
-    assert got == sorted(slow_windows(docs, items), key=repr)
+    assert got == sorted(plain.windows(docs, items), key=repr)
     clean = {r["doc_id"] for r in decontamination.drop_contaminated(frame(spark, docs), bench).collect()}
-    assert clean == {i for i, _, n, _ in slow_windows(docs, items) if not n}
+    assert clean == {i for i, _, n, _ in plain.windows(docs, items) if not n}
     assert decontamination.scan(frame(spark, docs), bench.limit(0)).filter("contaminated").count() == 0
     assert decontamination.scan(frame(spark, []), bench).count() == 0
 
@@ -325,26 +305,30 @@ def test_best_labelling_is_the_best_of_all():
 
 def test_syncmers(spark, texts):
     rows = all_rows(texts)
-    base = frame(spark, rows)
-    got = {(r["doc_id"], r["text"]): r for r in base.select("doc_id", "text").join(syncmers.fingerprint(base).dropDuplicates(["doc_id"]), "doc_id", "left").collect()}
-    hashes = {}
-    tokens = sorted({w for _, t in rows for w in re.split(r"[ \t\n\x0B\f\r]+", t or "") if w})
-    for r in spark.createDataFrame([(w,) for w in tokens], "w string").select("w", F.xxhash64("w").alias("h")).collect():
-        hashes[r["w"]] = r["h"]
-    pairs = {}
-    seqs = {i: [hashes[w] for w in re.split(r"[ \t\n\x0B\f\r]+", t or "") if w] for i, t in texts}
-    need = sorted({p for s in seqs.values() for p in zip(s, s[1:], strict=False)})
-    for r in spark.createDataFrame(need, "a long, b long").select("a", "b", F.xxhash64("a", "b").alias("h")).collect():
-        pairs[r["a"], r["b"]] = r["h"]
-    for i, t in texts:
-        s = [pairs[p] for p in zip(seqs[i], seqs[i][1:], strict=False)]
-        n = len(seqs[i]) - syncmers.K + 1
-        want = sum(min(w := s[p : p + syncmers.W]) in (w[0], w[-1]) for p in range(n)) if n > 0 else int(bool(seqs[i]))
-        assert len(got[i, t]["anchors"]) == want and len(got[i, t]["fingerprint"]) == 8 * want, i
-    prints = defaultdict(set)
-    for (_, t), r in got.items():
-        prints[t].add(r["fingerprint"])
-    assert all(len(p) == 1 for t, p in prints.items() if t is not None)
+    got = sorted(((r["doc_id"], r["anchors"], r["fingerprint"]) for r in syncmers.fingerprint(frame(spark, rows)).collect()), key=repr)
+    want = [(i, a, plain.fingerprint(a)) for i, t in rows for a in [plain.anchors(t)]]
+    assert got == sorted(want, key=repr)
+    assert len({p for i, t in texts for p in [plain.fingerprint(plain.anchors(t))] if t == texts[3][1]}) == 1
+
+
+def test_ids_may_be_text(spark):
+    rng = random.Random(6)
+    v = vocabulary(rng, 60)
+    rows = [(rng.choice(["a", "B", "é", "10", "9", "x y"]) + str(i), " ".join(rng.choice(v) for _ in range(rng.randint(0, 60)))) for i in range(120)]
+    rows += [("copy" + str(i), rows[i][1]) for i in range(9)] + [(None, "no id")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r["doc_id"]: r for r in syncmers.compare_edited(df).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").encode()))
+    for (i, t), (_, after) in zip(order, [*order[1:], order[0]], strict=True):
+        edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
+        r, a, e = got[i], plain.anchors(t), plain.anchors(edited)
+        assert (r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"]) == (hashlib.sha256(edited.encode()).hexdigest(), plain.fingerprint(a), plain.fingerprint(e)), i
+        assert r["near_edited"] == pytest.approx(plain.alike(a, e)) and r["near_next"] == pytest.approx(plain.alike(a, plain.anchors(after)))
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in neardup.cluster(df, shingle=4).collect()), key=repr)
+    assert got == sorted(plain.components(rows, 4, 80), key=repr)
+    df.sparkSession.createDataFrame([("q", "no id")], "item_id string, text string").createOrReplaceTempView("one_item")
+    assert [r["doc_id"] for r in decontamination.scan(df, spark.table("one_item")).filter("contaminated").collect()] == [None]
+    assert pii.detect(df).count() == bpe.encode(df, WORD_BPE).count() == len(rows)
 
 
 def test_every_text_with_words_has_an_anchor(spark):
@@ -456,29 +440,6 @@ def test_token_counts(spark, texts):
     assert trie.worked == before + 1
 
 
-def slow_components(rows, size, percent):
-    sets = []
-    for _, t in rows:
-        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))
-        sets.append(frozenset(tuple(w[j : j + size]) for j in range(max(1, len(w) - size + 1))) if w else frozenset())
-    up = list(range(len(rows)))
-
-    def top(x):
-        while up[x] != x:
-            x = up[x]
-        return x
-
-    for a in range(len(rows)):
-        for b in range(a):
-            if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) and sets[b]:
-                up[top(a)] = top(b)
-    least = defaultdict(list)
-    for a, (i, _) in enumerate(rows):
-        if i is not None:
-            least[top(a)].append(i)
-    return [(i, len(sets[a]), min(least[top(a)], default=None)) for a, (i, _) in enumerate(rows)]
-
-
 @pytest.mark.parametrize("hot", [False, True])
 def test_neardup(spark, texts, hot, monkeypatch):
     if hot:  # small lists and blocks, so that pivots and the last look-up have work
@@ -491,7 +452,7 @@ def test_neardup(spark, texts, hot, monkeypatch):
         monkeypatch.setattr(neardup, "ONE_TASK", 0)
     rows = [(500 - i, t) for i, t in texts] + [(7, texts[7][1]), (None, texts[3][1]), (2**62 + 1, "a large id")]
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in neardup.cluster(frame(spark, rows), shingle=4).collect()), key=repr)
-    assert got == sorted(slow_components(rows, 4, 80), key=repr)
+    assert got == sorted(plain.components(rows, 4, 80), key=repr)
     kept = neardup.cluster(frame(spark, rows), shingle=4).filter("kept").collect()
     assert all(r["doc_id"] == r["component_id"] for r in kept)
 
@@ -507,7 +468,7 @@ def test_neardup_of_excerpts(spark):
         texts += [passage[first : first + 93], [*passage[first : first + 92], "other"]]
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
     got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in neardup.cluster(frame(spark, rows), shingle=4).collect())
-    assert got == slow_components(rows, 4, 80) and got[41][2] == 40 and got[43][2] == 42
+    assert got == plain.components(rows, 4, 80) and got[41][2] == 40 and got[43][2] == 42
 
 
 def test_neardup_of_nothing(spark):
@@ -566,6 +527,19 @@ def test_quality(spark, texts):
     assert rule.holds(x).tolist() == [True, False, False]
 
 
+def test_statistics_and_scores_by_hand(spark, texts):
+    """Every statistic letter by letter, and the compiled column against the rules one by one."""
+    rows = all_rows(texts)[:-30] + [(900, "A line\nA line\r\nthird | line!?"), (901, "Ünï 123 *** <b> #x"), (902, "x")]
+    got = quality.statistics(pd.Series([t for _, t in rows]))
+    for k, (_, t) in enumerate(rows):
+        assert {s: pytest.approx(got[s][k]) for s in quality.STATS} == plain.statistics(t), t
+    rules = [(quality.Rule((("upper", True, 0.01), ("log_bytes", False, 6.0))), 1.5), (quality.Rule((("top_word", True, 0.2),)), -2.0), (quality.Rule((("distinct_lines", False, 0.9),)), 0.7)]
+    model = quality.Model(0.3, tuple(rules))
+    scored = {r["doc_id"]: r["quality_score"] for r in quality.score(frame(spark, rows), model).collect()}
+    for i, t in rows:
+        assert scored[i] == pytest.approx(plain.score(model, t))
+
+
 def test_statistics_do_not_depend_on_neighbours():
     texts = ["A\nA", "A", "A\nA\nA", "b c\r\nA", "", None, "A\nb\nA", "A\n", "A\nA"]
     alone = pd.concat([quality.statistics(pd.Series([t])) for t in texts], ignore_index=True)
