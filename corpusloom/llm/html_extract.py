@@ -24,7 +24,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -307,8 +307,7 @@ def winning_paths(scores: DataFrame) -> DataFrame:
     """
     votes = scores.groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum(F.round("score")).alias("worth"), F.min("depth").alias("depth"))
     order = F.struct((-F.col("votes")).alias("v"), (-F.col("worth")).alias("w"), "depth", "path")
-    whole = votes.groupBy("host").agg(F.sum("votes").alias("all"))
-    best = votes.join(whole, "host").filter(F.col("votes") * SHARE >= F.col("all"))
+    best = votes.withColumn("all", F.sum("votes").over(Window.partitionBy("host"))).filter(F.col("votes") * SHARE >= F.col("all"))
     return best.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["path"]).alias("paths"))
 
 
