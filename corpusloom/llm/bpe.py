@@ -20,9 +20,11 @@ import heapq
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import pairwise
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of each half of a worker's tables; when the young half is full it becomes the old one.
-TABLE = 100_000
+TABLE = 200_000
+
+#: Letters up to which a fragment's pairs are held in one list.
+FEW = 48
 
 #: Rows that leave a worker together.
 ROWS = 512
@@ -59,7 +64,7 @@ class Table(dict):
 
     def put(self, key, value) -> None:
         if len(self) >= TABLE:
-            self.old = dict(self)
+            self.old = self.copy()
             self.clear()
         self[key] = value
 
@@ -141,6 +146,8 @@ class WordBpe:
         # for texts with a code point on which the library departs: its own ranges and its own normaliser
         tables = tables or library_tables()
         self.odd = re.compile(f"[{_class(tables['odd'])}]") if tables["odd"] else re.compile("(?!)")
+        # nearly all texts lie below the first of them, which one range tells sooner
+        self.far = re.compile(f"[{_class(((tables['odd'][0][0], 0x10FFFF),))}]") if tables["odd"] else self.odd
         for name in "LN":
             plain = plain.replace(rf"\p{{{name}}}", f"[{_class(tables[name])}]")
         self.exact = regex.compile(plain, regex.V1)
@@ -150,53 +157,74 @@ class WordBpe:
 
     def merge(self, fragment: str, last: bool) -> tuple[int, ...]:
         """Ids of one fragment; the lowest rank first, the leftmost of equals."""
-        sym: list[str | None] = list(fragment)
+        sym = list(fragment)
         if last:
             sym[-1] += self.end
+        return tuple(map(self.vocab.__getitem__, self._few(sym) if len(sym) <= FEW else self._many(sym)))
+
+    def _few(self, sym: list[str]) -> list[str]:
+        """The merges of a short fragment: the ranks of all pairs in one list, of which the smallest goes."""
+        rank, none = self.rank.get, len(self.rank)
+        ranks = [rank(p, none) for p in pairwise(sym)]
+        while ranks:
+            r = min(ranks)
+            if r == none:
+                break
+            i = ranks.index(r)
+            sym[i : i + 2] = [sym[i] + sym[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((sym[i - 1], sym[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank((sym[i], sym[i + 1]), none)
+        return sym
+
+    def _many(self, whole: list[str]) -> list[str]:
+        """The merges of a fragment of any length, by a heap of pairs, so time grows as n log n."""
+        sym: list[str | None] = list(whole)
         n = len(sym)
-        if n > 1:
-            after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-            heap = [(r, i, p) for i, p in enumerate(pairwise(sym)) if (r := self.rank.get(p)) is not None]
-            heapq.heapify(heap)
-            while heap:
-                _, i, (a, b) = heapq.heappop(heap)
-                j = after[i]
-                if sym[i] != a or j < 0 or sym[j] != b:
-                    continue  # one of the two has been merged since
-                sym[i], sym[j] = a + b, None
-                k = after[i] = after[j]
-                if k >= 0:
-                    before[k] = i
-                    if (r := self.rank.get((sym[i], sym[k]))) is not None:
-                        heapq.heappush(heap, (r, i, (sym[i], sym[k])))
-                h = before[i]
-                if h >= 0 and (r := self.rank.get((sym[h], sym[i]))) is not None:
-                    heapq.heappush(heap, (r, h, (sym[h], sym[i])))
-        return tuple(self.vocab[s] for s in sym if s is not None)
+        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
+        heap = [(r, i, p) for i, p in enumerate(pairwise(sym)) if (r := self.rank.get(p)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, (a, b) = heapq.heappop(heap)
+            j = after[i]
+            if sym[i] != a or j < 0 or sym[j] != b:
+                continue  # one of the two has been merged since
+            sym[i], sym[j] = a + b, None
+            k = after[i] = after[j]
+            if k >= 0:
+                before[k] = i
+                if (r := self.rank.get((sym[i], sym[k]))) is not None:
+                    heapq.heappush(heap, (r, i, (sym[i], sym[k])))
+            h = before[i]
+            if h >= 0 and (r := self.rank.get((sym[h], sym[i]))) is not None:
+                heapq.heappush(heap, (r, h, (sym[h], sym[i])))
+        return [s for s in sym if s is not None]
 
     def cut(self, chars: str) -> list[str]:
         """The word's fragments between certain cuts."""
-        out, at, joined = [], 0, self.joined
-        for i in range(1, len(chars)):
-            if chars[i - 1 : i + 1] not in joined:
-                out.append(chars[at:i])
-                at = i
-        out.append(chars[at:])
-        return out
+        joined = self.joined
+        cuts = [i for i, p in enumerate(map(add, chars, chars[1:]), 1) if p not in joined]
+        if not cuts:
+            return [chars]
+        return [chars[a:b] for a, b in pairwise([0, *cuts, len(chars)])]
 
     def word(self, text: str) -> tuple[bytes, str]:
         """(ids as int32 bytes, decoded text) of one pre-token."""
-        chars = "".join([self.chars[b] for b in text.encode("utf-8", "surrogatepass")])
+        chars = text if text.isascii() and text.isalnum() else "".join([self.chars[b] for b in text.encode("utf-8", "surrogatepass")])
         ids: list[int] = []
-        *rest, final = self.cut(chars)
-        for fragment, last in [(f, False) for f in rest] + [(final, True)]:
-            key = fragment + self.end if last else fragment
-            if (got := self.fragments[key]) is None:
-                got = self.merge(fragment, last)
+        parts = self.cut(chars)
+        final = len(parts) - 1
+        for k, fragment in enumerate(parts):
+            key = fragment + self.end if k == final else fragment
+            got = self.fragments[key]
+            if got is None:
+                got = self.merge(fragment, k == final)
                 if len(key) < 64:
                     self.fragments.put(key, got)
             ids.extend(got)
-        out = (np.array(ids, dtype=np.int32).tobytes(), self.decode(ids))
+        out = (array("i", ids).tobytes(), self.decode(ids))
         if len(text) < 64:
             self.words.put(text, out)
         return out
@@ -208,7 +236,7 @@ class WordBpe:
 
     def split(self, text: str) -> list[str]:
         """The pre-tokens of a text without special tokens."""
-        if text.isascii() or not self.odd.search(text):
+        if text.isascii() or not self.far.search(text) or not self.odd.search(text):
             return self.pattern.findall(normal(text))
         if self.theirs is None:
             from tokenizers.normalizers import NFC, Lowercase, Sequence
