@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import runs
 from ..functions import text as X
 from ..operators import corpus, kernels, stats
-from ..session import table
+from ..session import table, written
 
 #: doc_id = lesson, source = course, lang = module, text = transcript, quality 0 = failed.
 _FAILED = "SELECT DISTINCT doc_id FROM labels WHERE quality = 0"
@@ -142,7 +142,7 @@ def hallucination_scan(spark: SparkSession, sf: str) -> DataFrame:
     out = rows.select("doc_id", F.inline(F.array("r"))).withColumn("severity", runs.severity(F.col("sent_run"), F.col("sent_text"), F.col("phrase_run"), F.col("phrase_text")).cast("long"))
     worst = runs.worst(F.col("sent_run"), F.col("sent_text"), F.col("phrase_run"), F.col("phrase_text"))
     out = out.filter("severity >= 60").select("doc_id", "severity", "sent_run", "phrase_run", F.left(worst, F.lit(70)).alias("worst"))
-    return out.orderBy(F.desc("severity"), "doc_id")
+    return written(out).orderBy(F.desc("severity"), "doc_id")
 
 
 #: The greedy scan over stretches of words that equal the word n places on: each stretch is entered at p or at its start, whichever is later.

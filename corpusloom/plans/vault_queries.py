@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import html
 from ..functions import text as X
 from ..operators import corpus, graph, integrity, kernels
-from ..session import shared_folder, table
+from ..session import shared_folder, table, written
 from ..sources import notes as N
 from ..sources import sinks
 from . import vault
@@ -114,7 +114,7 @@ def _named_lessons(spark: SparkSession, sf: str) -> DataFrame:
     lessons = _lessons(spark, sf)
     made = vault.folders(spark, sf).select(F.col("dir").alias("lesson_dir"), "doc_id", "summary", F.array("tag", F.lit("it's")).alias("tags"), F.array("concept", "second", "concept").alias("concepts"))
     rows = lessons.join(made, "lesson_dir")
-    return rows.withColumn("path", F.concat_ws("/", "lesson_dir", X.numbered_name(F.col("lesson_index"), F.col("lesson_title"))))
+    return written(rows.withColumn("path", F.concat_ws("/", "lesson_dir", X.numbered_name(F.col("lesson_index"), F.col("lesson_title")))))
 
 
 def _mentions(rows: DataFrame) -> DataFrame:

@@ -160,7 +160,7 @@ def parse_yaml(text: str) -> dict[str, list[str]]:
     except ImportError:
         return parse_lines(text)
     try:
-        got = yaml.safe_load(text[4:end])
+        got = yaml.load(text[4:end], Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))  # safe either way
     except yaml.YAMLError:
         return {}
     shown = lambda v: v if isinstance(v, str) else json.dumps(v, ensure_ascii=False, default=str)
