@@ -60,7 +60,7 @@ SMALL = 100_000
 ONE_TASK = 200_000
 
 #: Bytes of the full sets of a block of the look-up.
-BLOCK = 8 << 20
+BLOCK = 2 << 20
 
 _MARGIN = 5.5  # standard deviations by which an estimate may be off
 
@@ -270,20 +270,23 @@ class Clusters:
     def looked_up(self, asked: DataFrame, answering: DataFrame) -> DataFrame:
         """Exact links between some sets and all answering ones (sig, label, n, full), as pairs of labels.
 
-        Both are dealt into bands of like sizes and, by counted bytes, into blocks; a
-        block's full sets are inverted and each answering set counts its common values
-        with every set of the block at once. One link between two components is as
-        good as all, so each block gives at most one per pair of labels.
+        Both are dealt into bands of like sizes and each band, by its counted bytes, into
+        blocks; a block's full sets are inverted and each answering set counts its common
+        values with every set of the block at once. One link between two components is
+        as good as all, so each block gives at most one per pair of labels.
         """
         percent = self.percent
-        bytes_of = lambda df: df.agg(F.sum("n")).first()[0] * 8
-        blocks, chunks = (int(bytes_of(df) // BLOCK) + 1 for df in (asked, answering))
         # a little wider than the largest ratio of sizes that a link allows, so partners are in touching bands
         band = F.floor(F.log("n") / (1.01 * math.log(100 / percent))).cast("int") if percent < 100 else F.col("n").cast("int")
-        place = lambda n, seed: F.pmod(F.xxhash64("sig", F.lit(seed)), F.lit(n)).cast("int")
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-        q = asked.select("label", "full", place(blocks, 1).alias("block"), F.explode(F.array(band - 1, band, band + 1)).alias("band")).select("*", every(chunks).alias("chunk"))
-        a = answering.select("label", "full", place(chunks, 2).alias("chunk"), band.alias("band")).select("*", every(blocks).alias("block"))
+        # bands grow with the logarithm of the largest set, so these are short tables
+        counted = lambda df, name: F.broadcast(df.groupBy("band").agg((F.floor(F.sum("n") * 8 / BLOCK) + 1).cast("int").alias(name)))
+        place = lambda n, seed: F.pmod(F.xxhash64("sig", F.lit(seed)), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        q = asked.withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
+        a = answering.withColumn("band", band)
+        blocks, chunks = counted(q, "blocks"), counted(a, "chunks")
+        q = q.join(blocks, "band").join(chunks, "band").select("label", "full", "band", place("blocks", 1).alias("block"), every("chunks").alias("chunk"))
+        a = a.join(blocks, "band").join(chunks, "band").select("label", "full", "band", place("chunks", 2).alias("chunk"), every("blocks").alias("block"))
 
         def run(q: pd.DataFrame, a: pd.DataFrame) -> pd.DataFrame:
             out: set[tuple[bytes, bytes]] = set()
