@@ -217,7 +217,7 @@ def _vault_files(spark: SparkSession, sf: str) -> DataFrame:
     folders = vault.folders(spark, sf)
     pages = folders.filter("doc_id % 3 = 0").select(F.concat("section", F.lit("/_p"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), F.concat(F.lit("[["), "dir", F.lit("/07. Old title|t]] [["), "dir", F.lit("]] [[07. Old title]] [[gone "), F.col("doc_id").cast("string"), F.lit("]] [[a#b]]")).alias("text"))
     top = table(spark, sf, "nation").select(F.concat("n_name", F.lit(".md")).alias("path"), F.lit("[[Concepts/Brand1]] [[Brand1]] [[missing/x]]").alias("text"))
-    more = spark.createDataFrame([("README.md", "[[nothing]]"), (f"{_ROOT}/copy.md", "x"), (".obsidian/_x.md", "[[nothing]]")], "path string, text string")
+    more = spark.createDataFrame([("README.md", "[[nothing]]"), (f"{_ROOT}/copy.md", "x"), (".hidden/_x.md", "[[nothing]]")], "path string, text string")
     return files.unionByName(stubs).unionByName(langs).unionByName(pages).unionByName(top).unionByName(more)
 
 
