@@ -106,8 +106,7 @@ SELECT p_partkey, left('Reference entry in ' || p_brand || ' › ' || m || '.' |
 
 
 def sentence_runs(spark: SparkSession, sf: str) -> DataFrame:
-    run = runs.sentence_run(X.sentences(F.col("text")))
-    return _documents(spark, sf).select("doc_id", run.alias("r")).select("doc_id", F.col("r.run").alias("run"), F.col("r.text").alias("text"))
+    return _documents(spark, sf).select("doc_id", runs.sentence_repeats("text").alias("r")).select("doc_id", F.col("r.run").alias("run"), F.col("r.text").alias("text"))
 
 
 def line_runs(spark: SparkSession, sf: str) -> DataFrame:
