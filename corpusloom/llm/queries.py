@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, html_extract, neardup, oracle, pii, quality, sharding, syncmers, token_counts
+from . import bpe, chat, decontamination, html_extract, langid, neardup, oracle, pii, quality, sharding, syncmers, token_counts
 from .common import table
 
 #: Files of public tokenizers; parameters of the operators.
@@ -65,6 +65,12 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", "part", "section", "participant", "n_turns", "rendered", spans.alias("mask"), "n_masked")
 
 
+def op11_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = langid.classify(docs, langid.learn(docs.filter(~langid.held_out(F.col("doc_id")))))
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_html_extract": op2_html_extract,
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neardup": op8_neardup,
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
+    "op11_langid": op11_langid,
 }
 
 SQL: dict[str, str] = oracle.SQL | chat.SQL
