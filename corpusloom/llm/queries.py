@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, html_extract, langid, neardup, oracle, pii, quality, sharding, syncmers, token_counts
+from . import bpe, chat, decontamination, html_extract, langid, neardup, oracle, pii, prefix_trie, quality, sharding, syncmers, token_counts
 from .common import table
 
 #: Files of public tokenizers; parameters of the operators.
@@ -71,6 +71,10 @@ def op11_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_html_extract": op2_html_extract,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
     "op11_langid": op11_langid,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
-SQL: dict[str, str] = oracle.SQL | chat.SQL
+SQL: dict[str, str] = oracle.SQL | chat.SQL | {"op12_prefix_trie": prefix_trie.SQL}
