@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, html_extract, langid, neardup, oracle, pii, prefix_trie, quality, sharding, syncmers, token_counts
+from . import bpe, chat, decontamination, html_extract, langid, neardup, oracle, pii, prefix_trie, quality, sharding, syncmers, token_counts, vector_codes
 from .common import table
 
 #: Files of public tokenizers; parameters of the operators.
@@ -75,6 +75,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_html_extract": op2_html_extract,
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": op10_chat,
     "op11_langid": op11_langid,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_vector_codes": op13_vector_codes,
 }
 
-SQL: dict[str, str] = oracle.SQL | chat.SQL | {"op12_prefix_trie": prefix_trie.SQL}
+SQL: dict[str, str] = oracle.SQL | chat.SQL | {"op12_prefix_trie": prefix_trie.SQL, "op13_vector_codes": vector_codes.SQL}
