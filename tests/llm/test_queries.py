@@ -21,11 +21,14 @@ COLUMNS = {
     "op6": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
     "op8": {"doc_id", "n_shingles", "component_id", "kept"},
     "op9": {"doc_id", "held_out", "score", "predicted"},
+    "op11": {"doc_id", "held_out", "lang_pred", "score"},
+    "op12": {"conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"},
+    "op13": {"vec_id", "code", "error", "label_error", "codebooks_sha256"},
 }
 
 
 def test_all_are_registered():
-    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -33,8 +36,8 @@ def test_all_are_registered():
 def test_contract(spark, name):
     out = queries.QUERIES[name](spark, SF)
     assert COLUMNS.get(name.split("_")[0], set()) <= set(out.columns)
-    table = {"op2": "pages"}.get(name.split("_")[0], "documents")
-    if not name.startswith("op10"):
+    table = {"op2": "pages", "op13": "embeddings"}.get(name.split("_")[0], "documents")
+    if not name.startswith(("op10", "op12")):
         assert out.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
 
 
