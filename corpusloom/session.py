@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import re
 import tempfile
@@ -47,8 +49,53 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared store, through the store's own file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).delete(where, True)
+
+
+_left: dict[str, SparkSession] = {}  # folders of tables that results may still read
+
+
+def forget() -> None:
+    """Remove the tables that this process has written for its results; it runs when the process ends."""
+    for path, spark in list(_left.items()):
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            remove(spark, path)
+        _left.pop(path, None)
+
+
+atexit.register(forget)
+
+
+class Scratch:
+    """Written tables of one run in the shared folder.
+
+    A table cuts the plan, so that nothing before it runs again and no lost executor
+    undoes it. The run removes it when no later step reads it; what a result reads goes
+    with forget().
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.folder, self.made = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", 0
+        self.paths: dict[int, tuple[DataFrame, str]] = {}  # a table is held with its path, so that no other one gets its id
+        _left[self.folder] = spark
+
+    def put(self, df: DataFrame) -> DataFrame:
+        path, self.made = f"{self.folder}/{self.made}", self.made + 1
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def free(self, *tables: DataFrame) -> None:
+        for t in tables:
+            if held := self.paths.pop(id(t), None):
+                remove(self.spark, held[1])
+
+
 def written(df: DataFrame) -> DataFrame:
     """df as a table of the shared folder, read again: what comes before is not done twice, and no lost executor undoes it."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession, "table").put(df)
