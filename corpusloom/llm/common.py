@@ -3,65 +3,13 @@
 from __future__ import annotations
 
 import hashlib
-import re
-import tempfile
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import Scratch, remove, shared_folder, table
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table of a data folder; only Spark's readers touch the path."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Where none is set a temporary folder serves, but only if the master is this one
-    process; executors elsewhere would not see it.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not re.match(r"local(\[|$)", sc.master):
-                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-            folder = tempfile.mkdtemp(prefix="corpusloom-")
-        sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir()
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Remove a folder of the shared store, through the store's own file system."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(conf).delete(where, True)
-
-
-class Scratch:
-    """Written tables of one run in the shared folder.
-
-    A table cuts the plan, so that nothing before it runs again and no lost executor
-    undoes it; the run removes it when no later step reads it.
-    """
-
-    def __init__(self, spark: SparkSession, name: str) -> None:
-        self.spark, self.folder, self.made = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", 0
-        self.paths: dict[int, tuple[DataFrame, str]] = {}  # a table is held with its path, so that no other one gets its id
-
-    def put(self, df: DataFrame) -> DataFrame:
-        path, self.made = f"{self.folder}/{self.made}", self.made + 1
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = (out, path)
-        return out
-
-    def free(self, *tables: DataFrame) -> None:
-        for t in tables:
-            if held := self.paths.pop(id(t), None):
-                remove(self.spark, held[1])
+__all__ = ["Scratch", "keyed", "remove", "sha256_hex", "shared_folder", "table", "unkeyed"]
 
 
 def keyed(df: DataFrame, id_col: str, *others: Column) -> DataFrame:

@@ -31,6 +31,9 @@ BLOCK, LEVEL = 1024, 9
 #: A margin is narrow under so many bytes, or under this share of the next language's size.
 LEAST_BYTES, LEAST_SHARE = 3, 0.01
 
+#: Sampled texts up to which their hashes are broadcast; beyond (hundreds of languages) they are joined by shuffle.
+FEW = 100_000
+
 #: The language of a text without letters.
 NONE = "und"
 
@@ -65,11 +68,13 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", texts
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
     hashed = rows.withColumn("h", F.xxhash64("text"))
     names = hashed.filter(F.col("text").rlike(r"\p{L}")).select("lang", "h").distinct()
+    counts = {r["lang"]: r["n"] for r in names.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
     first = names.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("place") <= texts).drop("place")
+    if sum(min(n, texts) for n in counts.values()) <= FEW:
+        first = F.broadcast(first)
     whole = hashed.join(first, ["lang", "h"], "left_semi").select("lang", "h", letters(F.col("text")).alias("t"))
     at = F.pmod(F.col("h"), F.ceil(F.length("t") / piece)) * piece + 1
     pieces = whole.select("lang", "h", F.substring(F.col("t"), at.cast("int"), F.lit(piece)).alias("part")).groupBy("lang", "h").agg(F.min("part").alias("part"))
-    counts = {r["lang"]: r["n"] for r in names.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
     got: dict[str, list[tuple[int, str]]] = {}
     for r in pieces.collect():  # at most `texts` pieces a language
         got.setdefault(r["lang"], []).append((r["h"], r["part"]))

@@ -10,7 +10,7 @@ lies below a chain is summed bottom-up by doubling (a chain adds what the chains
 4, ... steps below it have gathered), and running sums along a chain give each node's part.
 
 No task holds a whole group. Turns are numbered through range partitions and their
-counts, running sums have two levels (blocks of BLOCK places, then the blocks), the ids
+counts, running sums have two levels (blocks of places, then the blocks), the ids
 that end at one node are joined in blocks, and the blocks of a large one stream through
 one SHA-256. A prefix is told by the sum of 128-bit digests of (place, role, text) in
 four parts modulo 2^32, which can be summed in any order.
@@ -22,14 +22,12 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordered import numbered, running
 from .common import Scratch
 
-#: Places that one window of a running sum covers.
-BLOCK = 1024
-
 #: Ids that are joined into one text at once.
 IDS = 512
 
@@ -40,34 +38,6 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
 
-def numbered(rows: DataFrame, group: list[str], order: list[str], name: str, scratch: Scratch) -> DataFrame:
-    """rows with the place (from 0) of each in its group by `order`; equal rows in any order.
-
-    Range partitions of (group, order) are numbered each for itself; what a group has in
-    earlier partitions comes from a row a group and partition.
-    """
-    spread = rows.withColumn("_row", F.monotonically_increasing_id())  # parts equal rows, so that they spread too
-    dealt = scratch.put(spread.repartitionByRange(*group, *order, "_row").withColumn("_part", F.spark_partition_id()))
-    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = dealt.groupBy(*group, "_part").agg(F.count("*").alias("_n"))
-    before = counts.select(*group, "_part", F.sum("_n").over(earlier).alias("_before")).filter("_before IS NOT NULL")  # none for groups in one partition
-    within = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order, "_row")) - 1
-    placed = dealt.withColumn("_at", within).join(before, [*group, "_part"], "left")
-    return placed.withColumn(name, (F.col("_at") + F.coalesce("_before", F.lit(0))).cast("long")).drop("_at", "_before", "_part", "_row")
-
-
-def running(rows: DataFrame, group: str, place: str, values: list[str], down: bool = False, block: int = BLOCK) -> DataFrame:
-    """rows with each value replaced by its sum from the group's first place (down: last place) to this one."""
-    held = rows.withColumn("_block", F.floor(F.col(place) / block).cast("long"))
-    turn = (lambda c: F.col(c).desc()) if down else F.col
-    earlier = Window.partitionBy(group).orderBy(turn("_block")).rowsBetween(Window.unboundedPreceding, -1)
-    sums = held.groupBy(group, "_block").agg(*(F.sum(v).alias(v) for v in values))
-    before = sums.select(group, "_block", *(F.sum(v).over(earlier).alias(f"_{v}") for v in values)).filter(F.col(f"_{values[0]}").isNotNull())  # none for groups of one block
-    within = Window.partitionBy(group, "_block").orderBy(turn(place)).rowsBetween(Window.unboundedPreceding, 0)
-    summed = held.withColumns({v: F.sum(v).over(within) for v in values}).join(before, [group, "_block"], "left")
-    return summed.withColumns({v: F.col(v) + F.coalesce(f"_{v}", F.lit(0)) for v in values}).drop("_block", *(f"_{v}" for v in values))
-
-
 def turns(conversations: DataFrame, scratch: Scratch) -> DataFrame:
     """conv_id, pos (from 0), digest, words: turns by their number, null first, equal numbers by the digest.
 
@@ -103,7 +73,7 @@ def prefixes(rows: DataFrame) -> DataFrame:
     """conv_id, depth, k1, k2 (the prefix of that depth), words of its last turn."""
     term = F.md5(F.concat(F.col("depth").cast("string"), F.lit(":"), F.col("digest")))
     parts = {f"s{i}": F.conv(F.substring(term, 8 * i + 1, 8), 16, 10).cast("long") for i in range(4)}
-    summed = running(rows.withColumns(parts), "conv_id", "depth", list(parts))
+    summed = running(rows.withColumns(parts), ["conv_id"], "depth", list(parts))
     low = lambda i: F.pmod(F.col(f"s{i}"), F.lit(1 << 32))
     pair = lambda i, j: F.shiftleft(low(i), 32).bitwiseOR(low(j))
     return summed.select("conv_id", "depth", pair(0, 1).alias("k1"), pair(2, 3).alias("k2"), "words")
@@ -213,7 +183,7 @@ def trie(rows: DataFrame, sizes: DataFrame, scratch: Scratch) -> DataFrame:
     whole = below_chains(up.join(own, "conv_id"), sums, scratch)
     gain = hung.join(whole.select(F.col("conv_id").alias("chain"), *sums), "chain").groupBy("conv_id", "depth").agg(*(F.sum(v).alias(f"g_{v}") for v in sums))
     here = nodes.join(gain, ["conv_id", "depth"], "left").withColumns({v: F.col(v) + F.coalesce(f"g_{v}", F.lit(0)) for v in sums}).drop(*(f"g_{v}" for v in sums))
-    summed = running(here, "conv_id", "depth", sums, down=True)
+    summed = running(here, ["conv_id"], "depth", sums, down=True)
 
     ends = chains.select(F.when(F.col("first") <= F.col("size"), F.col("conv_id")).otherwise(F.col("below")).alias("conv_id"), F.col("size").alias("depth"), F.col("conv_id").alias("member"))
     out = summed.join(chains.select("conv_id", "first", "below"), "conv_id").join(digest_of_ids(ends, scratch), ["conv_id", "depth"], "left")

@@ -152,7 +152,7 @@ def test_one_conversation_with_all_turns(spark):
     rows = spark.range(5000).select(F.lit(7).cast("long").alias("g"), (F.col("id") % 1000).alias("t"))
     got = prefix_trie.numbered(rows, ["g"], ["t"], "at", Scratch(spark, "test")).withColumn("one", F.lit(1).cast("long")).collect()
     assert sorted(r["at"] for r in got) == list(range(5000)) and all(r["at"] // 5 == r["t"] for r in got)
-    summed = prefix_trie.running(spark.createDataFrame(got), "g", "at", ["one"]).collect()
+    summed = prefix_trie.running(spark.createDataFrame(got), ["g"], "at", ["one"]).collect()
     assert all(r["one"] == r["at"] + 1 for r in summed)
 
 
