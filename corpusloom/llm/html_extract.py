@@ -49,6 +49,8 @@ BOILER_WORDS = frozenset(
 READERS = frozenset("comment comments commentlist reply replies respond disqus".split())
 #: Elements in which a header belongs to the article and not to the site.
 ARTICLE = frozenset(("article", "main", "section"))
+#: Elements that are meant for the main text, and boilerplate whose end may be missing: it ends where the former start.
+MEANT_TAGS, LOOSE = frozenset(("article", "main")), frozenset(("nav", "header", "aside", "footer"))
 #: Elements that hold single blocks and are no containers of an article.
 _SINGLE = frozenset("p li h1 h2 h3 h4 h5 h6 tr pre dt dd".split())
 
@@ -87,14 +89,27 @@ class Page:
     """
 
     def __init__(self, source: str) -> None:
+        lost = self._whole(source, frozenset())
+        if lost and any(t in MEANT_TAGS and self._within(i, lost) for i, t in enumerate(self.tag)):
+            self._whole(source, lost)
+        self.bad = self._covered()
+
+    def _whole(self, source: str, ends: frozenset[int]) -> frozenset[int]:
+        """Read the page; the containers `ends` end where an article or main element starts. Boilerplate elements without an end of their own come back."""
         self.up, self.tag, self.path, self.depth = [-1], ["body"], [0], [0]
         self.inside = [False]  # an element of ARTICLE
         self.mark = [0]  # 0: none, 1: of a possible wrapper, 2: of boilerplate for sure
         self.blocks: list[tuple[int, str, int]] = []
         self._text: list[str] = []
         self._links = 0
-        self._read(source)
-        self.bad = self._covered()
+        return frozenset(self._read(source, ends))
+
+    def _within(self, i: int, some: frozenset[int]) -> bool:
+        while i > 0:
+            i = self.up[i]
+            if i in some:
+                return True
+        return False
 
     def _flush(self, at: int) -> None:
         if self._text:
@@ -160,7 +175,8 @@ class Page:
             bad[i] = bad[self.up[i]] or here
         return bad
 
-    def _read(self, source: str) -> None:
+    def _read(self, source: str, ends: frozenset[int]) -> set[int]:
+        lost: set[int] = set()
         stack: list[tuple[str, int]] = []  # open elements and the container each stands in or is
         here, links, open_p, pos, n = 0, 0, 0, 0, len(source)
         unclosed: set[str] = set()
@@ -170,6 +186,7 @@ class Page:
             self._flush(here)
             gone = stack[i:]
             del stack[i:]
+            lost.update(at for t, at in gone[1:] if t in LOOSE)
             here = stack[-1][1] if stack else 0
             links -= sum(t == "a" for t, _ in gone)
             open_p -= sum(t == "p" for t, _ in gone)
@@ -236,6 +253,11 @@ class Page:
                     leave(i)
                 elif stack[i][0] not in INLINE and stack[i][0] not in ("td", "th", "tr", "p"):
                     break
+            if ends and tag in MEANT_TAGS:
+                for i, (_, at) in enumerate(stack):
+                    if at in ends:
+                        leave(i)
+                        break
             self._flush(here)
             if tag in VOID:
                 continue
@@ -243,6 +265,7 @@ class Page:
             stack.append((tag, here))
             open_p += tag == "p"
         self._flush(here)
+        return lost.union(at for t, at in stack if t in LOOSE)
 
     def scores(self) -> list[float]:
         """What each container holds: prose counts, links and (a little) boilerplate count against.
@@ -272,15 +295,20 @@ class Page:
         return sorted(((p, d, s) for p, (s, d) in best.items()), key=lambda x: (-x[2], x[1], x[0]))
 
     def main_text(self, paths: list[int]) -> str:
-        """Blocks of the containers on the first of the paths that the page has, else of its best container."""
+        """Blocks of the containers on the first of the paths that holds any on this page, else of its best container."""
         have = {p for p, b in zip(self.path, self.bad, strict=True) if not b}
-        chosen = next((p for p in paths if p in have), None)
-        if chosen is None:
-            chosen = next((p for p, _, _ in self.ranked()), -1)
+        for path in [*(p for p in paths if p in have), *(p for p, _, _ in self.ranked()[:1])]:
+            take = self._under(path)
+            if kept := [t for c, t, _ in self.blocks if take[c] and not self.bad[c]]:
+                return "\n".join(kept)
+        return ""
+
+    def _under(self, path: int) -> list[bool]:
+        """Which containers are on the path or stand in one that is."""
         take = [False] * len(self.up)
         for i in range(len(self.up)):
-            take[i] = self.path[i] == chosen or (i > 0 and take[self.up[i]])
-        return "\n".join(t for c, t, _ in self.blocks if take[c] and not self.bad[c])
+            take[i] = self.path[i] == path or (i > 0 and take[self.up[i]])
+        return take
 
 
 def host_of(url: Column) -> Column:

@@ -142,6 +142,19 @@ def test_html_votes(spark):
     assert any(len(v) > 1 for v in won.values())
 
 
+def test_html_keeps_articles(spark):
+    """A winning path that holds nothing on a page, and boilerplate that is never closed, cost no article."""
+    prose = lambda n: " ".join(f"Sentence number {i} of the article is here." for i in range(n))
+    post = lambda a, b="": f"<html><body><div class=post>{a}</div>{b}</body></html>"
+    pages = [post(f"<p>{prose(8)}</p>"), post(f"<p>{prose(9)}</p>"), post("<p> </p><nav>More</nav>", f"<div class=story><p>{prose(10)}</p></div>"), post("", f"<div class=body><p>{prose(6)}</p></div>")]
+    pages += [f"<body><nav><a href=x>Home</a><article><p>{prose(7)}</p></article></body>", f"<body><header><h2>Site name</h2><main><p>{prose(5)}</p></main></body>"]
+    df = spark.createDataFrame([(i, "http://one.example/" + str(i), h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    got = [r["text"] for r in html_extract.extract(df).orderBy("page_id").collect()]
+    assert got == [prose(8), prose(9), prose(10), prose(6), prose(7), prose(5)]
+    closed = f"<body><aside><article><p>{prose(3)}</p></article></aside><article><p>{prose(9)}</p></article></body>"
+    assert html_extract.Page(closed).main_text([]) == prose(9)
+
+
 def test_html_reader_is_linear():
     import time
 
@@ -552,13 +565,14 @@ def slow_rotation(rows):
     convs = defaultdict(list)
     for conv, turn, role, text in rows:
         convs[conv].append(((turn is not None, turn or 0), role or "unknown", (text or "").replace("<|", "< |")))
+    named = lambda role: role if re.fullmatch("[A-Za-z0-9_-]+", role) else re.sub("[^A-Za-z0-9_-]", "_", role) + "_" + hashlib.md5(role.encode()).hexdigest()[:16]
     out = {}
     for conv, turns in convs.items():
-        turns.sort()
+        turns.sort(key=lambda t: (*t[:2], hashlib.md5(t[2].encode()).hexdigest()))
         for seat in {r for _, r, _ in turns} - {"system"}:
             text, mask = "", []
             for _, role, said in turns:
-                text += "<|system|>\n" if role == "system" else "<|assistant|>\n" if role == seat else f"<|user name={re.sub('[^A-Za-z0-9_-]', '_', role)}|>\n"
+                text += "<|system|>\n" if role == "system" else "<|assistant|>\n" if role == seat else f"<|user name={named(role)}|>\n"
                 start = len(text)
                 text += said + "<|end|>\n"
                 if role == seat:
@@ -567,6 +581,17 @@ def slow_rotation(rows):
     return out
 
 
+def test_chat_of_sparse_numbers_and_like_names(spark):
+    """Turn numbers may be times; roles that differ in signs only stay apart; rows without a conversation spread."""
+    rows = [(1, 0, "system", "Be."), (1, 0, "a b", "one"), (1, 10_000, "a_b", "two"), (1, 1_700_000_000, "a-b", "three")]
+    got = {r["participant"]: r for r in chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert set(got) == {"a b", "a_b", "a-b"} and all(r["n_turns"] == 4 and r["part"] == 0 for r in got.values())
+    assert len(set(re.findall("user name=([^|]*)", got["a-b"]["rendered"]))) == 2
+    many = spark.range(20_000).select(F.lit(None).cast("long").alias("conv_id"), F.lit(None).cast("long").alias("turn"), F.lit("u").alias("role"), F.col("id").cast("string").alias("text"))
+    parts = chat.rotate(many).select("part", "n_turns").collect()
+    assert sorted(map(tuple, parts)) == [(0, 4096), (1, 4096), (2, 4096), (3, 4096), (4, 3616)]
+
+
 def test_chat(spark):
     rows = [(1, 0, "system", "Be."), (1, 1, "ann", "hi <|end|>"), (1, 2, "bob x", None), (1, 2, "bob x", None), (1, 3, "ann", "bye"), (1, 300, "bob x", "late"), (2, 0, "system", "alone"), (None, None, None, "lost"), (None, 3, "é日", "né")]
     rng = random.Random(8)
@@ -576,14 +601,14 @@ def test_chat(spark):
     got = {(r["conv_id"], r["participant"]): r for r in chat.rotate(df).collect()}
     assert set(got) == set(want) and (1, "bob x") in got and (2, "system") not in got
     for key, (text, mask, n) in want.items():
-        assert (got[key]["rendered"], [(m["start"], m["end"]) for m in got[key]["mask"]], got[key]["n_turns"], got[key]["part"], got[key]["section"]) == (text, mask, n, 0, 0)
+        assert (got[key]["rendered"], [(m["start"], m["end"]) for m in got[key]["mask"]], got[key]["n_turns"], got[key]["part"]) == (text, mask, n, 0)
         assert got[key]["n_masked"] == sum(b - a for a, b in mask)
     # in small parts every participant has a row for every part, and the rows together are the dialogue
     rows += [(1, 7, "ann", str(i)) for i in range(30)]
     whole, parts = slow_rotation(rows), defaultdict(list)
     for r in chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), part=8).collect():
-        parts[r["conv_id"], r["participant"]].append((r["part"], r["section"], r["rendered"], [r["rendered"][m["start"] : m["end"]] for m in r["mask"]]))
+        parts[r["conv_id"], r["participant"]].append((r["part"], r["rendered"], [r["rendered"][m["start"] : m["end"]] for m in r["mask"]]))
     for key, (text, mask, _) in whole.items():
         own = sorted(parts[key])
-        assert "".join(x[2] for x in own) == text and [s for x in own for s in x[3]] == [text[a:b] for a, b in mask], key
+        assert "".join(x[1] for x in own) == text and [s for x in own for s in x[2]] == [text[a:b] for a, b in mask], key
     assert chat.rotate(df.limit(0)).count() == 0
