@@ -20,21 +20,25 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the rules reject (a score under 0.5) go.
 
     Null and empty texts are scored like all others; equal texts get equal scores, so
-    repeated rows stay or go together; an empty table stays empty.
+    repeated rows stay or go together; an empty table stays empty; other columns, of
+    any name, are kept as they are.
     """
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).filter(F.col("quality_score") >= 0.5).select(*docs.columns)
+    held = docs.select("text", F.struct("*").alias("row"))  # names that the score makes cannot meet those of docs
+    return quality.score(held, model).filter(F.col("quality_score") >= 0.5).select("row.*")
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest doc_id (words in fives, similarity 0.8).
 
     Documents without words are in no group and stay. Rows that repeat an id are
-    one document, so they stay or go together.
+    one document, so they stay or go together. An empty table stays empty.
     """
     kept = neardup.cluster(docs, shingle=5, percent=80).filter("kept").select("doc_id").distinct()
-    mark = kept.select(F.col("doc_id").alias("kept_id"))
-    return docs.join(mark, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    own = "kept_id"
+    while own in docs.columns:
+        own += "_"
+    return docs.join(kept.select(F.col("doc_id").alias(own)), F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +56,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     All rows stay, repeated ones too; a null text stays null and its n_chars too.
     """
     clean = pii.redact(docs)
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return clean.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
