@@ -95,3 +95,16 @@ def test_stages_on_empty_tables(spark, tables):
     none = spark.read.parquet(f"{folder}/documents.parquet").filter(F.lit(False))
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, folder).count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark, tables):
+    folder, _, _ = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(60)
+    names = ["stats", "quality_score", "kept_id", "kept_id_", "guest", "rng", "row", "kept", "doc", "ids", "spans", "n_words", "label", "h", "a.b"]
+    more = docs.withColumns({n: F.concat(F.lit(f"{n}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))) for n in names})
+    for name, stage in corpus_pipeline.STAGES:
+        plain_rows, rows = stage(spark, docs, folder).collect(), stage(spark, more, folder).collect()
+        assert len(rows) == len(plain_rows) > 0, name
+        if name != "bpe":
+            assert rows[0].asDict().keys() == more.first().asDict().keys(), name
+            assert all(r[n] == f"{n}:{'null' if r['doc_id'] is None else r['doc_id']}" for r in rows for n in names), name
