@@ -77,8 +77,8 @@ def incremental(current: DataFrame, previous: DataFrame, key: str, force: bool =
     return current.join(prev, key, "left").withColumn("cached", F.coalesce(hit, F.lit(False))).drop("__s", "__b", "__t")
 
 
-def is_sparse(html: Column, transcript: Column) -> Column:
-    return F.length(F.coalesce(html, F.lit(""))) + F.length(F.coalesce(transcript, F.lit(""))) < SPARSE_CHARS
+def is_sparse(html: Column, transcript: Column, least: int = SPARSE_CHARS) -> Column:
+    return F.length(F.coalesce(html, F.lit(""))) + F.length(F.coalesce(transcript, F.lit(""))) < least
 
 
 #: A tag and the words of a place that earn it, in the order in which tags are given.

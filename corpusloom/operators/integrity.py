@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..session import written
+from ..sources import folders
 from ..sources import notes as N
 from . import graph
 
@@ -105,8 +106,10 @@ def page_targets(files: DataFrame) -> DataFrame:
     return report([bad, sums.filter("broken = 0").select(*row("MOC wikilinks resolve", "OK", F.concat(_shown(F.col("checked")), F.lit(" links"), across)))])
 
 
-def replaced_names(notes: DataFrame, mapping: DataFrame | None, spark: SparkSession) -> DataFrame:
-    """Of the sampled notes (path, text), those that link to a name that the mapping (variant, canonical) replaces; null: there is none."""
+def replaced_names(notes: DataFrame, mapping: DataFrame | None, spark: SparkSession, broken: bool = False) -> DataFrame:
+    """Of the sampled notes (path, text), those that link to a name that the mapping (variant, canonical) replaces; None: there is none, or a broken one."""
+    if broken:
+        return spark.range(1).select(*row("mapping parse", "WARN", F.lit("the mapping is no JSON")))
     if mapping is None:
         return spark.range(1).select(*row("no canonicalize-mapping.json", "WARN", F.lit("skip")))
     name = lambda c: F.lower(X.strip(F.col(c)))
@@ -131,11 +134,27 @@ def no_copy(files: DataFrame, root: str) -> DataFrame:
     return report([n.filter("n > 0").select(*row("nested duplicate vault", "FAIL", F.lit(f"{root} exists"))), n.filter("n = 0").select(*row("no nested duplicate vault", "OK", F.lit("")))])
 
 
-def vault_report(files: DataFrame, root: str, mapping: DataFrame | None = None) -> DataFrame:
+def report_on_disk(spark: SparkSession, root: str) -> DataFrame:
+    """vault_report of the folder root, with the mapping of replaced names that lies in it."""
+    listing = written(folders.tree(spark, root))
+    read = folders.contents(listing.filter(F.col("name").endswith(".md") | (F.col("name") == "lesson.json")), root)
+    files = listing.select("path").join(read, "path", "left")
+    return vault_report(files, root.rstrip("/").rpartition("/")[2], mapping_file=folders.contents(listing.filter(F.col("path") == N.MAPPING), root))
+
+
+def vault_report(files: DataFrame, root: str, mapping: DataFrame | None = None, mapping_file: DataFrame | None = None) -> DataFrame:
     """All checks of a vault's files (path; text of Markdown and lesson.json): check, level, message.
 
-    Files and the parsed heads of notes are written once, as every check reads them.
+    Files and the parsed heads of notes are written once, as every check reads them. The
+    names that were replaced come as rows (variant, canonical) or as the file that has them (path, text; no
+    row: there is none), which may be no JSON.
     """
+    broken = None
+    if mapping_file is not None:
+        mapping_file = written(mapping_file)
+        state = mapping_file.select(F.try_parse_json("text").isNull().alias("bad")).first()  # one file
+        broken = bool(state and state["bad"])
+        mapping = N.replaced(mapping_file) if state and not broken else None
     files = written(files.select("path", "text"))
     notes = written(N.notes_beside_lessons(files).withColumn("head", N.frontmatter(F.col("text"), lines=True)))
     return report([
@@ -143,6 +162,6 @@ def vault_report(files: DataFrame, root: str, mapping: DataFrame | None = None)
         schema_fields(notes),
         orphan_stubs(files, notes),
         page_targets(files),
-        replaced_names(notes, mapping, files.sparkSession),
+        replaced_names(notes, mapping, files.sparkSession, bool(broken)),
         no_copy(files, root),
     ])

@@ -6,10 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Statuses that no attempt has ended.
+OPEN = ("in_progress", "pending")
+
+
 def attempt_state(events: DataFrame, key: str = "key", order: list[str] | None = None) -> DataFrame:
-    """Last state of each key: status, attempts (one for each event but marks of "pending"), last attempt, last error, last output.
+    """Last state of each key: status, attempts (one for each event but marks of "pending"), last attempt, last error, last output and server.
 
-    events: key, ts, status, error, output and the columns of a total order. A mark of
+    events: key, ts, status, error, output, server (may be missing, and is then in no answer) and the columns of a total order. A mark of
     "pending" clears the error; a success clears it unless it brings one; other events
     without an error keep the last. All of it is aggregation, combined on the map side.
     """
@@ -22,10 +26,22 @@ def attempt_state(events: DataFrame, key: str = "key", order: list[str] | None =
         F.count_if(tried).alias("attempts"),
         F.max(F.when(tried, F.col("ts"))).alias("last_attempt_at"),
         F.max_by(error, F.when(sets, at)).alias("last_error"),
-        F.max_by("output", F.when(F.col("output").isNotNull(), at)).alias("output_file"),
+        *(F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(n) for c, n in (("output", "output_file"), ("server", "server_used")) if c in events.columns),
     )
 
 
+def start_events(videos: DataFrame, state: DataFrame, outputs: DataFrame, key: str, output: Column, retry_failed: bool = False, force: bool = False) -> DataFrame:
+    """key, status and output of the events that the start of a run makes.
+
+    A video whose output is there and whose state does not say so is completed; with a retry
+    a failed one is pending again. A forced run makes none.
+    """
+    there = outputs.select(key).distinct().withColumn("there", F.lit(True))
+    rows = videos.select(key, output.alias("output")).join(there, key, "left").join(state.select(key, F.col("status").alias("last")), key, "left")
+    made = F.when(F.col("there").isNotNull(), F.when(~F.col("last").eqNullSafe("completed"), "completed")).when(F.lit(retry_failed) & F.col("last").eqNullSafe("failed"), "pending")
+    return rows.select(key, F.when(F.lit(not force), made).alias("status"), "output").filter("status IS NOT NULL")
+
+
 def pending_split(videos: DataFrame, state: DataFrame, failed: DataFrame, outputs: DataFrame, key: str, retry_failed: bool = False, force: bool = False) -> DataFrame:
     """Each video as skipped (its output is there), failed (marked or so in the state, no retry asked) or pending.
 

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ..functions import html
 from ..functions import text as X
 from ..operators import corpus, graph, integrity, kernels
-from ..session import shared_folder, table, written
+from ..session import scratch_folder, table, written
+from ..settings import Settings
+from ..sources import folders, sinks
 from ..sources import notes as N
-from ..sources import sinks
-from . import vault
+from . import build, vault
 from .vault import LESSONS_SQL, NL, folders_sql
 
 _ROOT = "My vault"
@@ -199,13 +200,18 @@ def concept_pages(spark: SparkSession, sf: str) -> DataFrame:
     return pages.select("canonical", "lesson_count", "path", F.sha2("text", 256).alias("sha"))
 
 
-def stale_page_list(spark: SparkSession, sf: str) -> DataFrame:
-    """Of pages of five kinds in each course those that are generated and expected no more."""
+def _five_kinds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Pages of five kinds in each course, and those that are expected."""
     i = F.col("doc_id")
     kind = F.element_at(F.array(F.lit(f"x\n{sinks.AUTO_NOTE}\n"), F.lit("---\nmoc_type: module\n---\n"), F.lit("---\ntype: module-moc\n---\n"), F.lit("---\ntype: essay\n---\nmy own\ntype: module-moc\n"), F.lit("---\ntype: module-mocha\n---\n")), (i % 5 + 1).cast("int"))
     rows = vault.folders(spark, sf)
     pages = rows.select(F.concat("section", F.when(i % 3 == 0, F.lit("/deep")).otherwise(F.lit("")), F.lit("/_"), i.cast("string"), F.lit(".md")).alias("path"), kind.alias("text"))
-    return sinks.stale_pages(pages, pages.filter(F.col("path").rlike("[02468]\\.md$")))
+    return pages, pages.filter(F.col("path").rlike("[02468]\\.md$"))
+
+
+def stale_page_list(spark: SparkSession, sf: str) -> DataFrame:
+    """Of pages of five kinds in each course those that are generated and expected no more."""
+    return sinks.stale_pages(*_five_kinds(spark, sf))
 
 
 def _vault_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -274,14 +280,60 @@ def sample_merges(spark: SparkSession, sf: str) -> DataFrame:
 
 def written_files(spark: SparkSession, sf: str) -> DataFrame:
     """Notes written one file a row into the shared folder, and read again."""
-    import uuid
-
-    root = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+    root = scratch_folder(spark, "files")
     rows = table(spark, sf, "nation").select(F.concat("n_regionkey", F.lit("/"), "n_name", F.lit(".md")).alias("path"), F.concat(F.lit("# "), "n_name", F.lit(" é\n")).alias("text"))
-    sinks.write_files(rows, root)
+    folders.write_files(rows, root)
     return N.texts(spark, root, "*.md")
 
 
+def _on_disk(spark: SparkSession, files: DataFrame) -> str:
+    root = f"{scratch_folder(spark, 'vault')}/{_ROOT}"
+    folders.write_files(files.dropDuplicates(["path"]), root)
+    return root
+
+
+def disk_lessons(spark: SparkSession, sf: str) -> DataFrame:
+    """vault_lessons of a vault of files, some of them hidden."""
+    files = vault.files(spark, sf)
+    rows = N.scan_lessons(spark, _on_disk(spark, files.select("path", "text")))
+    return rows.withColumns({c: X.basename(F.col(c)) for c in ("transcript_path", "index_html_path")})
+
+
+def disk_report(spark: SparkSession, sf: str) -> DataFrame:
+    """vault_report of a vault of files, with the mapping that lies in it."""
+    mapping = spark.createDataFrame([(N.MAPPING, '{"y": "z", "Same": "same"}')], "path string, text string")  # without the key concepts the whole is the mapping
+    return integrity.report_on_disk(spark, _on_disk(spark, _vault_files(spark, sf).unionByName(mapping)))
+
+
+def disk_stale_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The stale pages of a vault of files, and whether they are there after their removal."""
+    pages, kept = _five_kinds(spark, sf)
+    root = _on_disk(spark, pages)
+    stale = written(sinks.stale_on_disk(spark, root, kept))
+    folders.remove_files(stale, root)
+    left = folders.tree(spark, root).select("path", F.lit(True).alias("there"))
+    return stale.join(left, "path", "left").select("path", F.coalesce("there", F.lit(False)).alias("there"))
+
+
+def disk_heads(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of files, of which a mebibyte at most is read."""
+    rows = table(spark, sf, "documents").select(F.concat("source", F.lit("/v"), F.col("doc_id").cast("string"), F.lit("/video.mp4")).alias("path"), "text")
+    root = _on_disk(spark, rows)
+    got = folders.heads(N.videos(spark, root), root)
+    return got.select("path", "source_sha256_head", "source_size", "bytes_read")
+
+
+def built_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """All notes and pages that a run over a folder writes; of pages their digest, of notes their place."""
+    made = vault.folders(spark, sf).select(F.col("dir").alias("lesson_dir"), "summary", F.array("tag").alias("tags"), F.array("concept", "second", "concept").alias("concepts"), F.array().cast("array<string>").alias("aliases"))
+    root = _on_disk(spark, vault.files(spark, sf).select("path", "text"))
+    settings = Settings(sparse_chars=0)
+    plan = build.build_vault(spark, root, lambda rows: rows.select("lesson_dir").join(made, "lesson_dir"), settings, ["src3", "src1", "Automation Tutorials"])
+    there = folders.contents(folders.tree(spark, root).filter(F.col("name").endswith(".md")), root)
+    page = F.col("path").rlike(r"(^|/)_[^/]*\.md$|^Concepts/|^[^/]+\.md$")
+    return there.join(plan, "path").select("path", F.when(page, F.sha2("text", 256)).alias("sha"), "action")
+
+
 def failure_marks(spark: SparkSession, sf: str) -> DataFrame:
     error = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("Error: "), F.col("source")))
     return sinks.failure_marks(vault.folders(spark, sf).select(F.concat("dir", F.lit("/out.md")).alias("path"), error.alias("error")))
@@ -300,7 +352,7 @@ def flags(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", is_on(text).alias("plain"), is_on(text, True).alias("by_default"))
 
 
-QUERIES = {f.__name__: f for f in (vault_lessons, vault_one_course, first_lessons, lesson_neighbours, first_seen, transcription_metadata, decoded_sources, lesson_contents, model_inputs, note_heads, rendered_notes, notes_beside, vault_inventory, inventory_paths, prompt_lines, module_pages, stub_pages, course_pages, root_page, concept_pages, stale_page_list, vault_report, vault_exit_code, page_link_ratio, stale_notes, canon_mapping, canon_kernel, sample_merges, written_files, failure_marks, report_json, flags)}
+QUERIES = {f.__name__: f for f in (vault_lessons, vault_one_course, first_lessons, lesson_neighbours, first_seen, transcription_metadata, decoded_sources, lesson_contents, model_inputs, note_heads, rendered_notes, notes_beside, vault_inventory, inventory_paths, prompt_lines, module_pages, stub_pages, course_pages, root_page, concept_pages, stale_page_list, vault_report, vault_exit_code, page_link_ratio, stale_notes, canon_mapping, canon_kernel, sample_merges, written_files, disk_lessons, disk_report, disk_stale_pages, disk_heads, built_pages, failure_marks, report_json, flags)}
 
 # ---- the SQL that they equal -----------------------------------------------------
 
@@ -433,3 +485,9 @@ SELECT canonical, lesson_count, 'Concepts/' || {_SAFE("canonical")} || '.md' AS
     "report_json": """SELECT source, '{"source":"' || source || '","n":' || count(*) || ',"sizes":{"most":' || max(n_chars) || '}}' AS report FROM documents GROUP BY 1""",
     "flags": "SELECT p_partkey, coalesce([false, true, false, false, true, false, NULL][p_partkey % 7 + 1], false) AS plain, coalesce([false, true, false, false, true, false, NULL][p_partkey % 7 + 1], true) AS by_default FROM part",
 }
+
+SQL["disk_lessons"] = SQL["vault_lessons"]
+SQL["disk_report"] = SQL["vault_report"]
+SQL["disk_stale_pages"] = f"SELECT path, false AS there FROM ({SQL['stale_page_list']})"
+SQL["disk_heads"] = "SELECT source || '/v' || doc_id || '/video.mp4' AS path, sha256(text) AS source_sha256_head, strlen(text)::BIGINT AS source_size, strlen(text)::BIGINT AS bytes_read FROM documents"
+SQL["built_pages"] = " UNION ALL ".join(f"SELECT path, sha, 'new' AS action FROM ({SQL[q]})" for q in ("module_pages", "course_pages", "root_page", "concept_pages")) + " UNION ALL SELECT bare || '.md', NULL, 'new' FROM (" + _L + _NAMED + " SELECT bare FROM named)"

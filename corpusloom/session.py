@@ -70,6 +70,13 @@ def forget() -> None:
 atexit.register(forget)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder of the shared store for files of a result; it goes with forget()."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _left[path] = spark
+    return path
+
+
 class Scratch:
     """Written tables of one run in the shared folder.
 
@@ -79,9 +86,8 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
-        self.spark, self.folder, self.made = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", 0
+        self.spark, self.folder, self.made = spark, scratch_folder(spark, name), 0
         self.paths: dict[int, tuple[DataFrame, str]] = {}  # a table is held with its path, so that no other one gets its id
-        _left[self.folder] = spark
 
     def put(self, df: DataFrame) -> DataFrame:
         path, self.made = f"{self.folder}/{self.made}", self.made + 1

@@ -1,8 +1,6 @@
 """Sources: lesson folders, Markdown notes with frontmatter, sidecars and lists.
 
-Folders are listed and read by Spark (binaryFile, text), which reaches any store it
-has a connector for. Note that Spark skips names that begin with _ or a dot; give
-explicit paths where such files matter.
+Folders are walked and read by folders.py, which sees names that begin with _ or a dot too.
 """
 
 from __future__ import annotations
@@ -18,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..operators.corpus import keep_first, path_order, place_columns
+from .folders import contents, heads, tree
 
 LESSON = T.StructType(
     [
@@ -41,22 +40,21 @@ PAGE_TYPES = ("module-moc", "course-moc", "vault-root", "concept")
 
 
 def files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """path (below the root), size, modified; contents are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    """path (below the root), size, modified; a pattern is a name or "*" and how names end. Contents are not read."""
+    rows = tree(spark, root)
     if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(root).select(below(F.col("path"), root).alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+        rows = rows.filter(F.col("name").endswith(pattern[1:]) if pattern.startswith("*") else F.col("name") == pattern)
+    return rows.select("path", "size", "modified")
 
 
 def texts(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     """path and text of whole files; bytes that are no UTF-8 become the replacement sign."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    return raw.select(below(F.col("path"), root).alias("path"), X.decoded(F.col("content")).alias("text"))
+    return contents(files(spark, root, pattern), root)
 
 
-def below(path: Column, root: str) -> Column:
-    bare = re.sub(r"^[a-z]+:/*", "/", root.rstrip("/"))
-    return F.regexp_replace(F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), r"^[a-z]+:/*", "/"), "^" + re.escape(bare) + "/", "")
+def shown(listing: DataFrame) -> DataFrame:
+    """Rows (path) that stand in no hidden folder."""
+    return listing.filter(~F.col("path").rlike(r"(^|/)\.[^/]*/"))
 
 
 def lessons_of(meta: DataFrame, listing: DataFrame, course_from_section: bool = True, root: str = "") -> DataFrame:
@@ -197,7 +195,7 @@ def inventory(all_notes: DataFrame, version: int = 1) -> DataFrame:
 
 def notes(spark: SparkSession, root: str) -> DataFrame:
     """inventory of the Markdown files below root; hidden folders are not read."""
-    return inventory(texts(spark, root, "*.md"))
+    return inventory(shown(texts(spark, root, "*.md")))
 
 
 def notes_beside_lessons(all_files: DataFrame) -> DataFrame:
@@ -243,8 +241,22 @@ def videos(spark: SparkSession, root: str, *names: str) -> DataFrame:
     return named_videos(files(spark, root), names or ("video.mp4",))
 
 
-def head_fingerprint(content: Column, size: Column, modified: Column) -> Column:
-    return F.struct(F.sha2(F.substring(content, 1, 1 << 20), 256).alias("source_sha256_head"), size.alias("source_size"), modified.alias("source_mtime"))
+def fingerprints(spark: SparkSession, root: str, *names: str) -> DataFrame:
+    """path, source_sha256_head, source_size and source_mtime of videos below root; at most a mebibyte of each is read."""
+    return heads(videos(spark, root, *names), root).drop("bytes_read")
+
+
+#: Where a run leaves the names that it has replaced (fixed value).
+MAPPING = ".vault-notes/canonicalize-mapping.json"
+
+
+def replaced(mapping: DataFrame) -> DataFrame:
+    """variant and canonical of mapping files (path, text): their `concepts`, or the whole where that key is missing; what is no object has none."""
+    whole = F.try_parse_json("text")
+    own = F.coalesce(F.try_variant_get(whole, "$.concepts", "variant"), whole)
+    pairs = F.map_entries(F.try_variant_get(own, "$", "map<string,variant>"))
+    rows = mapping.select(F.when(F.schema_of_variant(whole).startswith("OBJECT") & F.schema_of_variant(own).startswith("OBJECT"), pairs).alias("p"))
+    return rows.select(F.explode("p").alias("x")).select(F.col("x.key").alias("variant"), F.coalesce(F.try_variant_get("x.value", "$", "string"), F.lit("None")).alias("canonical"))
 
 
 _ANSWER = "text string, segments array<struct<text:string,start:double,end:double>>, language string, duration double"

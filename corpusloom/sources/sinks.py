@@ -1,14 +1,13 @@
-"""Sinks: rendered notes, pages of contents, reports. Rendering is a column; only writing one file a row is Python."""
+"""Sinks: rendered notes, pages of contents, reports. Rendering is a column; folders.py writes one file a row."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators.corpus import SCHEMA_VERSION
+from . import folders
 
 #: Marks a page that was generated and may be replaced or removed.
 AUTO_NOTE = "<!-- generated page: do not edit -->"
@@ -76,46 +75,25 @@ def stale_pages(pages: DataFrame, expected: DataFrame) -> DataFrame:
     """Generated pages (path, text) of courses that are expected no more: names that begin with _, one folder deep.
 
     A page is generated if it holds the mark or its frontmatter says so in exactly
-    these words; hand-written ones are never listed. Spark's own listing passes over
-    such names, so the caller lists them.
+    these words; hand-written ones are never listed.
     """
     kind = lambda key, value: X.frontmatter_value(F.col("text"), key).eqNullSafe(value)
     auto = F.col("text").contains(AUTO_NOTE) | kind("moc_type", "module") | kind("type", "module-moc")
     return pages.filter(F.col("path").rlike(r"^[^/]+/_[^/]*\.md$") & auto).join(expected.select("path"), "path", "left_anti").select("path")
 
 
+def stale_on_disk(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
+    """stale_pages of the folder root."""
+    pages = folders.tree(spark, root).filter(F.col("name").startswith("_") & F.col("name").endswith(".md"))
+    return stale_pages(folders.contents(pages.filter(F.col("path").rlike("^[^/]+/[^/]+$")), root), expected)
+
+
 def failure_marks(rows: DataFrame, path: str = "path", error: str = "error") -> DataFrame:
     """path and text of the mark of each failed row."""
     bad = rows.filter(F.col(error).isNotNull())
     return bad.select(F.concat(path, F.lit(".FAILED")).alias("path"), F.concat(F.lit("# Transcription failed\n\n"), F.col(error), F.lit("\n")).alias("text"))
 
 
-def write_files(rows: DataFrame, root: str, path_col: str = "path", text_col: str = "text") -> int:
-    """One file for each row, by rename, where all workers see `root`; returns how many. On object stores write a table instead."""
-    import os
-    import re
-    import tempfile
-
-    if not re.match("/|file:", root):
-        raise ValueError(f"{root} is no mounted folder")
-    root = re.sub("^file:/*", "/", root)
-
-    def put(it: Iterator) -> Iterator:
-        import pandas as pd
-
-        for b in it:
-            for p, t in zip(b[path_col], b[text_col], strict=True):
-                full = os.path.join(root, p)
-                os.makedirs(os.path.dirname(full), exist_ok=True)
-                fd, part = tempfile.mkstemp(dir=os.path.dirname(full))
-                with os.fdopen(fd, "w", encoding="utf-8") as f:
-                    f.write(t)
-                os.replace(part, full)
-            yield pd.DataFrame({"n": [len(b)]})
-
-    return rows.select(path_col, text_col).mapInPandas(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-
-
 def write_report(rows: DataFrame, path: str) -> None:
     """Rows as JSON lines, through Spark's commit protocol."""
     rows.write.mode("overwrite").json(path)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from corpusloom.functions import html, runs
 from corpusloom.functions import text as X
 from corpusloom.operators import corpus, graph, integrity, kernels, media, state, stats
+from corpusloom.sources import folders, sinks
 from corpusloom.sources import notes as N
-from corpusloom.sources import sinks
 
 
 def one(spark, column, **values):
@@ -301,7 +301,8 @@ def test_scan_lessons(spark, tmp_path):
 
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("a/x.md", "one"), ("b.md", "two")], "path string, text string")
-    assert sinks.write_files(rows, str(tmp_path)) == 2 and (tmp_path / "a/x.md").read_text() == "one"
+    folders.write_files(rows, str(tmp_path))
+    assert (tmp_path / "a/x.md").read_text() == "one"
     pages = spark.createDataFrame([("_a.md", sinks.AUTO_NOTE), ("_b.md", "type: module-moc"), ("_c.md", "by hand"), ("_d.md", sinks.AUTO_NOTE)], "path string, text string").withColumn("path", F.concat(F.lit("c/"), "path"))
     assert {r["path"] for r in sinks.stale_pages(pages, spark.createDataFrame([("c/_d.md",)], "path string")).collect()} == {"c/_a.md"}
 
@@ -340,16 +341,3 @@ def test_kernels(spark):
     loads = []
     load = lambda name, local: loads.append((name, local)) or object()
     assert kernels.held_model("m", True, load) is kernels.held_model("m", True, load) and kernels.held_model("m", False, load) and loads == [("m", True), ("m", False)]
-
-
-def test_stream_runs_what_is_new(spark, tmp_path):
-    from corpusloom.streaming.incremental import run_available
-
-    src, out, ck = (str(tmp_path / d) for d in ("src", "out", "ck"))
-    rows = spark.createDataFrame([(1, "h1"), (2, "h2")], "lesson_id long, body_sha string")
-    rows.write.parquet(src)
-    prev = spark.createDataFrame([(1, 1, "h1", ["t"])], "lesson_id long, schema int, body_sha string, tags array<string>")
-    run_available(spark, src, rows.schema, lambda: prev, lambda d: d, out, ck)
-    assert [r["lesson_id"] for r in spark.read.parquet(out).collect()] == [2]
-    run_available(spark, src, rows.schema, lambda: prev, lambda d: d, out, ck)
-    assert spark.read.parquet(out).count() == 1
