@@ -69,7 +69,7 @@ def encode_report(spark: SparkSession, sf: str) -> DataFrame:
     return media.encode_report(rows)
 
 
-def _attempts(spark: SparkSession, sf: str) -> DataFrame:
+def attempt_events(spark: SparkSession, sf: str) -> DataFrame:
     status = F.element_at(F.array(*map(F.lit, ["in_progress", "failed", "pending", "completed"])), (F.col("event_id") * 7 % 11 % 4 + 1).cast("int"))
     rows = table(spark, sf, "events").select(F.col("user_id").alias("key"), "ts", "event_id", status.alias("status"))
     i = F.col("event_id").cast("string")
@@ -77,21 +77,21 @@ def _attempts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _ATTEMPTS = "WITH a0 AS (SELECT user_id AS key, ts, event_id, ['in_progress', 'failed', 'pending', 'completed'][event_id * 7 % 11 % 4 + 1] AS status FROM events), a AS (SELECT *, CASE WHEN status IN ('failed', 'pending') OR event_id % 31 = 0 THEN 'e' || event_id END AS error, CASE WHEN event_id % 3 = 0 THEN 'o' || event_id END AS output FROM a0)"
-_STATE = _ATTEMPTS + ", st AS (SELECT key, arg_max(status, (ts, event_id)) AS status, count(*) FILTER (WHERE status <> 'pending')::BIGINT AS attempts, max(ts) FILTER (WHERE status <> 'pending') AS last_attempt_at, (list(CASE WHEN status <> 'pending' THEN error END ORDER BY ts DESC, event_id DESC) FILTER (WHERE error IS NOT NULL AND status <> 'pending' OR status IN ('completed', 'pending')))[1] AS last_error, arg_max(output, (ts, event_id)) FILTER (WHERE output IS NOT NULL) AS output_file FROM a GROUP BY key)"
+STATE_SQL = _ATTEMPTS + ", st AS (SELECT key, arg_max(status, (ts, event_id)) AS status, count(*) FILTER (WHERE status <> 'pending')::BIGINT AS attempts, max(ts) FILTER (WHERE status <> 'pending') AS last_attempt_at, (list(CASE WHEN status <> 'pending' THEN error END ORDER BY ts DESC, event_id DESC) FILTER (WHERE error IS NOT NULL AND status <> 'pending' OR status IN ('completed', 'pending')))[1] AS last_error, arg_max(output, (ts, event_id)) FILTER (WHERE output IS NOT NULL) AS output_file FROM a GROUP BY key)"
 
 
-def _state(spark: SparkSession, sf: str) -> DataFrame:
-    return state.attempt_state(_attempts(spark, sf))
+def attempt_table(spark: SparkSession, sf: str) -> DataFrame:
+    return state.attempt_state(attempt_events(spark, sf))
 
 
 def attempt_state(spark: SparkSession, sf: str) -> DataFrame:
-    return _state(spark, sf).withColumn("last_attempt_at", X.timestamp_seconds(F.col("last_attempt_at")))
+    return attempt_table(spark, sf).withColumn("last_attempt_at", X.timestamp_seconds(F.col("last_attempt_at")))
 
 
 def _split(spark: SparkSession, sf: str, **how: bool) -> DataFrame:
     """Videos are the users of the events; outputs and marks of failure come from their numbers."""
     videos = table(spark, sf, "events").select(F.col("user_id").alias("key")).distinct()
-    return state.pending_split(videos, _state(spark, sf), videos.filter("key % 6 = 0"), videos.filter("key % 5 = 0"), "key", **how)
+    return state.pending_split(videos, attempt_table(spark, sf), videos.filter("key % 6 = 0"), videos.filter("key % 5 = 0"), "key", **how)
 
 
 def pending_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -363,10 +363,10 @@ SELECT count(*)::BIGINT AS total, count(*) FILTER (WHERE good)::BIGINT AS proces
     "encode_policy": f"WITH v AS (SELECT p_partkey AS rel, {_KIND} AS dominant_type, (p_partkey % 4 * 360)::INT AS h, p_size::DOUBLE * 10 - 100 AS d FROM part), p AS (SELECT *, {_POLICY} FROM v) SELECT rel, dominant_type, target_height::INT AS target_height, crf::INT AS crf, (CASE WHEN h > 0 THEN least(target_height, h) ELSE target_height END)::INT AS effective_height, (CASE WHEN d > 0 THEN greatest(300, trunc(d * 4)) ELSE 3600 END)::INT AS timeout FROM p",
     "encode_todo": f"SELECT p_partkey AS rel, {_KIND} AS classification_type FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 7 = 0 OR p_partkey % 11 = 0 OR p_partkey % 13 = 0",
     "encode_report": f"WITH v AS (SELECT {_KIND} AS dominant_type, p_partkey * 1000 AS s, trunc(p_partkey * 1000 * (p_partkey % 7 + 1) / 10)::BIGINT AS o FROM part WHERE p_partkey % 9 <> 0 AND p_partkey % 10 <> 0), w AS (SELECT * FROM v UNION ALL SELECT 'all', s, o FROM v) SELECT dominant_type, count(*)::BIGINT AS n, sum(s)::BIGINT AS source_bytes, sum(o)::BIGINT AS output_bytes, round(100.0::DOUBLE * (sum(s) - sum(o))::DOUBLE / sum(s)::DOUBLE, 2) AS saved_percent FROM w GROUP BY 1",
-    "attempt_state": _STATE + " SELECT key, status, attempts, strftime(last_attempt_at, '%Y-%m-%dT%H:%M:%SZ') AS last_attempt_at, last_error, output_file FROM st",
-    "pending_split": _STATE + f" SELECT k.key, {_SPLIT} AS split FROM (SELECT DISTINCT user_id AS key FROM events) k LEFT JOIN st USING (key)",
-    "pending_counts": _STATE + f", k AS (SELECT k.key, {_SPLIT} AS split FROM (SELECT DISTINCT user_id AS key FROM events) k LEFT JOIN st USING (key)) SELECT 'plain' AS run, split, count(*)::BIGINT AS n FROM k GROUP BY 2 UNION ALL SELECT 'retry', CASE WHEN key % 5 = 0 THEN 'skipped' ELSE 'pending' END, count(*) FROM k GROUP BY 2 UNION ALL SELECT 'force', 'pending', count(*) FROM k",
-    "still_pending": _STATE + f", k AS (SELECT k.key, {_SPLIT} AS split FROM (SELECT DISTINCT user_id AS key FROM events) k LEFT JOIN st USING (key)) SELECT key FROM k WHERE split = 'pending' AND key % 7 <> 0",
+    "attempt_state": STATE_SQL + " SELECT key, status, attempts, strftime(last_attempt_at, '%Y-%m-%dT%H:%M:%SZ') AS last_attempt_at, last_error, output_file FROM st",
+    "pending_split": STATE_SQL + f" SELECT k.key, {_SPLIT} AS split FROM (SELECT DISTINCT user_id AS key FROM events) k LEFT JOIN st USING (key)",
+    "pending_counts": STATE_SQL + f", k AS (SELECT k.key, {_SPLIT} AS split FROM (SELECT DISTINCT user_id AS key FROM events) k LEFT JOIN st USING (key)) SELECT 'plain' AS run, split, count(*)::BIGINT AS n FROM k GROUP BY 2 UNION ALL SELECT 'retry', CASE WHEN key % 5 = 0 THEN 'skipped' ELSE 'pending' END, count(*) FROM k GROUP BY 2 UNION ALL SELECT 'force', 'pending', count(*) FROM k",
+    "still_pending": STATE_SQL + f", k AS (SELECT k.key, {_SPLIT} AS split FROM (SELECT DISTINCT user_id AS key FROM events) k LEFT JOIN st USING (key)) SELECT key FROM k WHERE split = 'pending' AND key % 7 <> 0",
     "next_steps": "SELECT ['ok', 'permanent', 'transient'][event_id % 3 + 1] AS outcome, CASE event_id % 3 WHEN 0 THEN 'done' WHEN 1 THEN 'give_up' ELSE CASE WHEN event_id % 2 = 0 THEN 'requeue' ELSE 'leave' END END AS step, count(*)::BIGINT AS n FROM events GROUP BY 1, 2",
     "state_versions": "SELECT event_id FROM events WHERE event_id % 3 = 1",
     "run_report": "WITH e AS (SELECT ['completed', 'skipped', 'failed_perm', 'failed_trans', 'completed'][event_id % 5 + 1] AS s, (event_id % 600)::DOUBLE AS a, (event_id % 37 + 1)::DOUBLE AS w FROM events), t AS (SELECT count(*) FILTER (WHERE s = 'completed')::BIGINT AS completed, count(*) FILTER (WHERE s = 'skipped')::BIGINT AS skipped, count(*) FILTER (WHERE s = 'failed_perm')::BIGINT AS failed_perm, count(*) FILTER (WHERE s = 'failed_trans')::BIGINT AS failed_trans, sum(a) FILTER (WHERE s = 'completed') AS audio_sec_total, sum(w) FILTER (WHERE s = 'completed') AS wall_sec_total FROM e) SELECT *, round(audio_sec_total / greatest(wall_sec_total, 0.001), 4) AS rtf, (failed_perm > 0)::INT AS exit_code FROM t",

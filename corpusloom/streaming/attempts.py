@@ -109,7 +109,7 @@ def attempt_stream(events: DataFrame, patience_s: float = 0.0, lateness: str = "
     A key whose last event leaves it open gives a `stalled` row when the watermark (the latest ts less
     `lateness`) passes that event by patience_s seconds; 0: never. No event is too late.
     """
-    typed = events.select(F.col("key").cast("bigint").alias("key"), "ts", F.unix_micros("ts").alias("at"), F.col("event_id").cast("bigint").alias("event_id"), "status", "error", "output", "server")
+    typed = events.select(F.col("key").cast("bigint").alias("key"), F.col("ts").cast("timestamp").alias("ts"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), F.col("event_id").cast("bigint").alias("event_id"), "status", "error", "output", "server")
     mode = "EventTime" if patience_s else "None"
     if patience_s:
         typed = typed.withWatermark("ts", lateness)

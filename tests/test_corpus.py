@@ -3,6 +3,7 @@
 import random
 import re
 import statistics
+from itertools import takewhile
 
 from pyspark.sql import functions as F
 
@@ -54,20 +55,17 @@ def test_sentence_run(spark):
 
 
 def slow_phrase(words, sizes=range(4, 9), least=10):
-    """Try by try: after a repeat of any length the next try starts behind it."""
-    best, text = 0, ""
-    for n in sizes:
-        if len(words) < n * least:
-            continue
-        i = 0
-        while i + n < len(words):
-            k = 1
-            while words[i + k * n : i + (k + 1) * n] == words[i : i + n]:
-                k += 1
-            if k >= least and k > best:
-                best, text = k, " ".join(words[i : i + n])
-            i += k * n if k > 1 else 1
-    return best, text
+    """Copies by recounting at every place; a repeat of any length is passed as a whole."""
+    found = [(0, "")]
+    for n in (n for n in sizes if len(words) >= n * least):
+        told = lambda i, n=n: words[i : i + n]
+        copies = lambda i, n=n, told=told: 1 + sum(1 for _ in takewhile(lambda at: told(at) == told(i), range(i + n, len(words), n)))
+        place = 0
+        while place < len(words) - n:
+            c = copies(place)
+            found.append((c, " ".join(told(place))) if c >= least else found[0])
+            place += c * n if c > 1 else 1
+    return max(found, key=lambda f: f[0])
 
 
 def slow_sentence(text, least=20):
@@ -114,18 +112,13 @@ def test_severity(spark):
 
 
 def slow_paragraphs(texts, limit=600, ends=5):
-    out, held, chars, n = [], [], 0, 0
-    for t in map(str.strip, texts):
-        if not t:
-            continue
-        e = len(re.findall(r"[.!?]\s", t)) + 1
-        if held and (chars + len(t) > limit or n + e > ends):
-            out.append(" ".join(held))
-            held, chars, n = [], 0, 0
-        held.append(t)
-        chars += len(t)
-        n += e
-    return out + ([" ".join(held)] if held else [])
+    """The longest beginning within both limits (one text at least) is a paragraph; the rest is packed alike."""
+    left = [t for t in map(str.strip, texts) if t]
+    if not left:
+        return []
+    fits = lambda k: sum(map(len, left[:k])) <= limit and sum(len(re.findall(r"[.!?]\s", t)) + 1 for t in left[:k]) <= ends
+    k = max((k for k in range(1, len(left) + 1) if fits(k)), default=1)
+    return [" ".join(left[:k]), *slow_paragraphs(left[k:], limit, ends)]
 
 
 def test_paragraphs(spark):
