@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators import ordered, rounds, state
+from ..operators import ordered, packing, rounds, state
 from ..session import Scratch, scratch_folder, table
 from ..streaming import attempts, snapshot
 from . import media_queries as M
@@ -95,6 +95,13 @@ def event_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return ordered.numbered(beside, ["user_id"], ["ts", "event_id"], "place", scratch).select("event_id", "prev", "next", "place")
 
 
+def role_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
+    """All that each role says anywhere, as one talk, in paragraphs."""
+    rows = table(spark, sf, "conversations").select("role", "conv_id", "turn", "text")
+    got = packing.packed_groups(rows, ["role"], ["conv_id", "turn"], "text")
+    return got.select("role", "begin", "n_texts", F.sha2("paragraph", 256).alias("sha"))
+
+
 def exact_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     """Quantiles of all prices, by counts alone."""
     shares = [0.001, 0.25, 0.5, 0.9, 0.99]
@@ -102,7 +109,7 @@ def exact_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(list(zip(shares, got, strict=True)), "share double, value double").select("share", F.round("value", 4).alias("value"))
 
 
-QUERIES = {f.__name__: f for f in (attempt_stream, start_events, snapshot_merge, snapshot_changes, snapshot_stream, retry_rounds, page_parts, event_neighbours, exact_quantiles)}
+QUERIES = {f.__name__: f for f in (attempt_stream, start_events, snapshot_merge, snapshot_changes, snapshot_stream, retry_rounds, page_parts, event_neighbours, role_paragraphs, exact_quantiles)}
 
 SQL = {
     "attempt_stream": M.STATE_SQL + " SELECT st.key, status, attempts, strftime(last_attempt_at, '%Y-%m-%dT%H:%M:%SZ') AS last_attempt_at, last_error, output_file, server_used FROM st LEFT JOIN (SELECT user_id AS key, arg_max('s' || event_id % 3, (ts, event_id)) FILTER (WHERE event_id % 4 = 0) AS server_used FROM events GROUP BY 1) s USING (key)",
@@ -113,5 +120,12 @@ SQL = {
     "retry_rounds": "WITH t AS (SELECT doc_id, unnest(range(1, 5)) AS n FROM documents), o AS (SELECT *, ['ok', 'permanent', 'transient', 'transient', 'transient'][(doc_id * 7 + n * 3) % 5 + 1] AS outcome FROM t), e AS (SELECT doc_id, coalesce(min(n) FILTER (WHERE outcome <> 'transient'), 4) AS attempts FROM o GROUP BY 1) SELECT doc_id, outcome, CASE outcome WHEN 'ok' THEN 'done' WHEN 'permanent' THEN 'give_up' ELSE 'leave' END AS step, attempts::BIGINT AS attempts FROM e JOIN o ON o.doc_id = e.doc_id AND n = attempts".replace("SELECT doc_id, outcome, CASE", "SELECT e.doc_id, outcome, CASE"),
     "page_parts": f"WITH l AS (SELECT source, doc_id, coalesce(text, '') AS t, sum(strlen(coalesce(text, '')) + 1) OVER (PARTITION BY source ORDER BY doc_id) - strlen(coalesce(text, '')) - 1 AS b FROM documents) SELECT source, (b // {PART_BYTES})::BIGINT AS part, min(b)::BIGINT AS at, count(*)::BIGINT AS n_lines, sha256(string_agg(t, chr(10) ORDER BY doc_id)) AS sha FROM l GROUP BY source, b // {PART_BYTES}",
     "event_neighbours": "SELECT event_id, lag(event_id) OVER w AS prev, lead(event_id) OVER w AS next, row_number() OVER w - 1 AS place FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)",
+    "role_paragraphs": r"""WITH RECURSIVE p AS (SELECT role, conv_id, turn, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS s FROM conversations WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> ''),
+m AS MATERIALIZED (SELECT role, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1 AS i, s, length(s) AS n, len(regexp_extract_all(s, '[.!?]\s')) + 1 AS e FROM p),
+f(role, i, begin, n, e) AS (
+  SELECT role, i, i, n, e FROM m WHERE i = 0
+  UNION ALL SELECT m.role, m.i, CASE WHEN f.n + m.n > 600 OR f.e + m.e > 5 THEN m.i ELSE f.begin END, CASE WHEN f.n + m.n > 600 OR f.e + m.e > 5 THEN m.n ELSE f.n + m.n END, CASE WHEN f.n + m.n > 600 OR f.e + m.e > 5 THEN m.e ELSE f.e + m.e END
+  FROM f JOIN m ON m.role = f.role AND m.i = f.i + 1)
+SELECT role, begin, count(*)::BIGINT AS n_texts, sha256(string_agg(s, ' ' ORDER BY i)) AS sha FROM f JOIN m USING (role, i) GROUP BY 1, 2""",
     "exact_quantiles": "WITH s AS (SELECT l_extendedprice::DOUBLE AS v, row_number() OVER (ORDER BY l_extendedprice) AS r, count(*) OVER () AS n FROM lineitem), p AS (SELECT unnest([0.001, 0.25, 0.5, 0.9, 0.99])::DOUBLE AS share), q AS (SELECT share, least(greatest(share * (n + 1), 1.0), n)::DOUBLE AS pl, n FROM p, (SELECT DISTINCT n FROM s)) SELECT share, round(a.v + (b.v - a.v) * (pl - floor(pl)), 4) AS value FROM q JOIN s a ON a.r = floor(pl)::BIGINT JOIN s b ON b.r = least(floor(pl)::BIGINT + 1, q.n)",
 }

@@ -7,7 +7,8 @@ from itertools import groupby
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import ordered
+from corpusloom.functions.runs import packed
+from corpusloom.operators import ordered, packing
 from corpusloom.session import Scratch
 
 
@@ -104,3 +105,16 @@ def test_quantiles_move_counts_only(spark):
     got = ordered.quantiles(rows, F.col("v"), [0.5, 0.999])
     below = rows.agg(*(F.count_if(F.col("v") <= g) for g in got)).first()
     assert [round(b / 1e7, 6) for b in below] == [0.5, 0.999]
+
+
+@pytest.mark.parametrize("block", [5, 16, 1024])
+def test_paragraphs_of_any_length(spark, block):
+    rng = random.Random(block)
+    text = lambda: rng.choice([None, " ", "a. b. c. d. e. f. g", "x" * rng.randint(1, 700), "Said. And so on", "w " * rng.randint(1, 90), "q! "])
+    rows = [(rng.choice(["a", "a", "b", None]), i, text()) for i in range(400)] + [("blank", 1, " "), ("blank", 2, None)]
+    got = packing.packed_groups(spark.createDataFrame(rows, "g string, o long, t string").repartition(3), ["g"], ["o"], "t", block=block).collect()
+    for g in ("a", "b", None, "blank"):
+        own = [r for r in rows if r[0] == g]
+        mine = sorted((r for r in got if r["g"] == g), key=lambda r: r["begin"])
+        assert [r["paragraph"] for r in mine] == packed([t for _, _, t in own])
+        assert [r["begin"] for r in mine] == [sum(x["n_texts"] for x in mine[:k]) for k in range(len(mine))]
