@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import Scratch
 from ..sources.sinks import AUTO_NOTE, head
+from .ordered import PART_BYTES, assembled
 
 
 #: Courses in their order of study; others come after them, by name.
@@ -91,16 +93,30 @@ def root_page(lessons: DataFrame, concepts: DataFrame, title: str, order: list[s
     return body.select(F.lit(f"{title}.md").alias("path"), text.alias("text"))
 
 
+_CONCEPT_ORDER = ["course", "module_index", "lesson_index", "at", "pos"]
+
+
+def concept_lines(mentioned: DataFrame, lessons: DataFrame, key: str) -> DataFrame:
+    """canonical, line and the columns of its order: a row for each mention of a concept by a lesson."""
+    named = mentioned.join(canonical_casing(mentioned), F.lower("concept") == F.col("lowered")).join(lessons, key)
+    shown = F.concat_ws(" › ", F.col("course"), F.col("module_title"), X.clean_title(F.col("lesson_title")))
+    rows = named.withColumns({"line": F.concat(F.lit("- "), X.wikilink(F.col("path"), shown)), "at": F.split("lesson_dir", "/")})
+    return rows.select("canonical", *_CONCEPT_ORDER, "line")
+
+
+def concept_parts(mentioned: DataFrame, lessons: DataFrame, key: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The bodies of concept_pages in parts of known places, so that no row or task holds a concept that most lessons name."""
+    rows = concept_lines(mentioned, lessons, key).withColumnRenamed("at", "folder")
+    return assembled(rows, ["canonical"], ["course", "module_index", "lesson_index", "folder", "pos"], "line", Scratch(lessons.sparkSession, "concepts"), part_bytes)
+
+
 def concept_pages(mentioned: DataFrame, lessons: DataFrame, key: str) -> DataFrame:
     """canonical, lesson_count, path and text of each concept's page: the lessons that name it, in order of course and indexes.
 
     A lesson that names a concept twice is there twice. lessons: key, course,
     module_title, module_index, lesson_index, lesson_title, lesson_dir and path.
     """
-    named = mentioned.join(canonical_casing(mentioned), F.lower("concept") == F.col("lowered")).join(lessons, key)
-    shown = F.concat_ws(" › ", F.col("course"), F.col("module_title"), X.clean_title(F.col("lesson_title")))
-    rows = named.withColumns({"line": F.concat(F.lit("- "), X.wikilink(F.col("path"), shown)), "at": F.split("lesson_dir", "/")})
-    pages = rows.groupBy("canonical").agg(F.count("*").alias("lesson_count"), lines_in_order(["course", "module_index", "lesson_index", "at", "pos"], "line").alias("body"))
+    pages = concept_lines(mentioned, lessons, key).groupBy("canonical").agg(F.count("*").alias("lesson_count"), lines_in_order(_CONCEPT_ORDER, "line").alias("body"))
     c, n = F.col("canonical"), F.col("lesson_count")
     fields = [("vault_schema", F.lit(1), "raw"), ("title", c, "text"), ("type", F.lit("concept"), "text"), ("tags", F.array(F.lit("concept")), "list"), ("lesson_count", n, "raw")]
     text = F.concat(head(fields), F.lit("\n# "), c, F.lit("\n\n> Concept referenced in "), n.cast("string"), F.when(n == 1, F.lit(" lesson")).otherwise(F.lit(" lessons")), F.lit(".\n\n## Lessons\n\n"), F.col("body"), F.lit("\n"))

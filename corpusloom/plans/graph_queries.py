@@ -64,7 +64,7 @@ def canon_apply(spark: SparkSession, sf: str) -> DataFrame:
 
 def canon_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Notes changed, and replacements of concepts and of tags apart."""
-    tags = table(spark, sf, "part").select("p_partkey", F.array("p_type", F.lit("red"), F.lit("red")).alias("tags"))
+    tags = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_partkey") % 3 == 0, F.array("p_type", F.lit("red"), F.lit("red"))).otherwise(F.array("p_type")).alias("tags"))
     return graph.canonical_stats(_applied(spark, sf), graph.apply_canonical(tags, "p_partkey", "tags", _mapping(spark).filter("variant = 'red'")), "p_partkey")
 
 
@@ -174,7 +174,13 @@ SQL = {
     "concept_case_collapse": _MENTIONS + " SELECT lower(concept) AS lowered, arg_min(concept, (p_partkey, pos)) AS canonical FROM m GROUP BY 1",
     "related_links": _MENTIONS + ", b AS (SELECT DISTINCT p_brand AS concept FROM part) SELECT p_partkey, count(*)::BIGINT AS n_links, string_agg(CASE WHEN replace(concept, '#', '') = concept THEN '[[Concepts/' || concept || ']]' ELSE '[[Concepts/' || replace(concept, '#', '') || '|' || concept || ']]' END, ', ' ORDER BY pos) AS links FROM m JOIN b USING (concept) GROUP BY 1",
     "canon_apply": _APPLIED + " SELECT p_partkey, array_to_string(new, ',') AS concepts, n::BIGINT AS n_replaced, old IS DISTINCT FROM new AS changed FROM o JOIN w USING (p_partkey)",
-    "canon_stats": _APPLIED + " SELECT count(*) FILTER (WHERE old IS DISTINCT FROM new OR true)::BIGINT AS files_changed, sum(n)::BIGINT AS concept_replacements, (2 * count(*))::BIGINT AS tag_replacements FROM o JOIN w USING (p_partkey)",
+    "canon_stats": _APPLIED + """,
+te AS (SELECT p_partkey, unnest(l) AS name, generate_subscripts(l, 1) AS pos FROM (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN [p_type, 'red', 'red'] ELSE [p_type] END AS l FROM part)),
+tc AS (SELECT te.*, coalesce(canonical, name) AS c FROM te LEFT JOIN map ON name = variant AND variant = 'red'),
+tf AS (SELECT p_partkey, c, min(pos) AS pos FROM tc WHERE trim(c) <> '' GROUP BY p_partkey, c),
+tn AS (SELECT p_partkey, list(c ORDER BY pos) AS tags_new FROM tf GROUP BY p_partkey),
+td AS (SELECT p_partkey, list(name ORDER BY pos) AS tags_old, count(*) FILTER (WHERE c <> name) AS m FROM tc GROUP BY p_partkey)
+SELECT count(*) FILTER (WHERE old IS DISTINCT FROM new OR tags_old IS DISTINCT FROM tags_new)::BIGINT AS files_changed, sum(n)::BIGINT AS concept_replacements, sum(m)::BIGINT AS tag_replacements FROM o JOIN w USING (p_partkey) JOIN tn USING (p_partkey) JOIN td USING (p_partkey)""",
     "orphan_concepts": _MENTIONS + ", s AS (SELECT DISTINCT p_brand AS name FROM part UNION SELECT r_name FROM region) SELECT name FROM s WHERE lower(name) NOT IN (SELECT lower(concept) FROM m)",
     "link_resolution": """
 WITH f AS (SELECT DISTINCT 'Part ' || (p_partkey % 200) AS p FROM part), t AS (SELECT doc_id, lang, len(regexp_extract_all(text, '\\[\\[([^\\]|#]+)(?:\\|[^\\]]+)?\\]\\]')) AS own FROM documents)

@@ -200,6 +200,13 @@ def concept_pages(spark: SparkSession, sf: str) -> DataFrame:
     return pages.select("canonical", "lesson_count", "path", F.sha2("text", 256).alias("sha"))
 
 
+def concept_page_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Concept pages' lines in parts of four kilobytes."""
+    rows = _named_lessons(spark, sf)
+    parts = graph.concept_parts(_mentions(rows), rows.drop("concepts"), "doc_id", 1 << 12)
+    return parts.select("canonical", "part", F.col("at").alias("begin"), "n_lines", F.sha2("text", 256).alias("sha"))
+
+
 def _five_kinds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Pages of five kinds in each course, and those that are expected."""
     i = F.col("doc_id")
@@ -352,7 +359,7 @@ def flags(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", is_on(text).alias("plain"), is_on(text, True).alias("by_default"))
 
 
-QUERIES = {f.__name__: f for f in (vault_lessons, vault_one_course, first_lessons, lesson_neighbours, first_seen, transcription_metadata, decoded_sources, lesson_contents, model_inputs, note_heads, rendered_notes, notes_beside, vault_inventory, inventory_paths, prompt_lines, module_pages, stub_pages, course_pages, root_page, concept_pages, stale_page_list, vault_report, vault_exit_code, page_link_ratio, stale_notes, canon_mapping, canon_kernel, sample_merges, written_files, disk_lessons, disk_report, disk_stale_pages, disk_heads, built_pages, failure_marks, report_json, flags)}
+QUERIES = {f.__name__: f for f in (vault_lessons, vault_one_course, first_lessons, lesson_neighbours, first_seen, transcription_metadata, decoded_sources, lesson_contents, model_inputs, note_heads, rendered_notes, notes_beside, vault_inventory, inventory_paths, prompt_lines, module_pages, stub_pages, course_pages, root_page, concept_pages, concept_page_parts, stale_page_list, vault_report, vault_exit_code, page_link_ratio, stale_notes, canon_mapping, canon_kernel, sample_merges, written_files, disk_lessons, disk_report, disk_stale_pages, disk_heads, built_pages, failure_marks, report_json, flags)}
 
 # ---- the SQL that they equal -----------------------------------------------------
 
@@ -491,3 +498,7 @@ SQL["disk_report"] = SQL["vault_report"]
 SQL["disk_stale_pages"] = f"SELECT path, false AS there FROM ({SQL['stale_page_list']})"
 SQL["disk_heads"] = "SELECT source || '/v' || doc_id || '/video.mp4' AS path, sha256(text) AS source_sha256_head, strlen(text)::BIGINT AS source_size, strlen(text)::BIGINT AS bytes_read FROM documents"
 SQL["built_pages"] = " UNION ALL ".join(f"SELECT path, sha, 'new' AS action FROM ({SQL[q]})" for q in ("module_pages", "course_pages", "root_page", "concept_pages")) + " UNION ALL SELECT bare || '.md', NULL, 'new' FROM (" + _L + _NAMED + " SELECT bare FROM named)"
+SQL["concept_page_parts"] = _L + _NAMED + f""",
+j AS (SELECT n.*, canonical, pos, '- ' || {_LINK("bare", "(n.course || ' › ' || n.module_title || ' › ' || " + _CLEAN("n.lesson_title") + ")")} AS line FROM m JOIN canon ON lower(m.concept) = k JOIN named n USING (doc_id)),
+b AS (SELECT canonical, line, row_number() OVER w AS i, sum(strlen(line) + 1) OVER w - strlen(line) - 1 AS begin FROM j WINDOW w AS (PARTITION BY canonical ORDER BY course, module_index, lesson_index, string_split(dir, '/'), pos))
+SELECT canonical, (begin // 4096)::BIGINT AS part, min(begin)::BIGINT AS begin, count(*)::BIGINT AS n_lines, sha256(string_agg(line, {NL} ORDER BY i)) AS sha FROM b GROUP BY canonical, begin // 4096"""
