@@ -238,6 +238,11 @@ def videos(spark: SparkSession, root: str, *names: str) -> DataFrame:
     return named_videos(files(spark, root), names or ("video.mp4",))
 
 
+def head_fingerprint(content: Column, size: Column, modified: Column) -> Column:
+    """The same of contents that are a column already."""
+    return F.struct(F.sha2(F.substring(content, 1, 1 << 20), 256).alias("source_sha256_head"), size.alias("source_size"), modified.alias("source_mtime"))
+
+
 def fingerprints(spark: SparkSession, root: str, *names: str) -> DataFrame:
     """path, source_sha256_head, source_size and source_mtime of videos below root; at most a mebibyte of each is read."""
     return heads(videos(spark, root, *names), root).drop("bytes_read")
