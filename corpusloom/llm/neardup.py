@@ -17,9 +17,9 @@ all shingles; the K smallest of a set are its sketch.
 4. Sets with a larger share of hot values (members of large groups of near copies)
    are compared with a few pivots of each of their hot lists, round by round, which
    joins a group without making its pairs. The sets that are still outside the main
-   component of a list are then looked up on full sets among all of these sets, block
-   by block, in Spark: blocks of the ones meet blocks of the others of a size that
-   allows a link.
+   component of a list are then looked up on full sets among all of these sets, in
+   blocks, by an exact prefix filter: sets meet only where they share one of the
+   rarest values of both.
 5. Components of the verified links: by alternating stars over all executors, or,
    up to a counted number of links, by union-find in one task.
 
@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, keyed, unkeyed
@@ -267,26 +267,60 @@ class Clusters:
         free(now, main, outside, links)
         return labels
 
+    def prefixes(self, rows: DataFrame) -> DataFrame:
+        """sig and v of the values by which a set (sig, n, full) meets all sets of rows that it may be linked with.
+
+        Values are ordered by the number of sets that hold them, the rarest first, ties by
+        value. Linked sets have at least `need` = ceil(percent * n / 100) values in common, so
+        the first common one is among the first n - need + 1 of either set. Values that
+        one set alone holds come first and meet nothing: only the m others are ranked,
+        and the first m - need + 1 of them kept.
+        """
+
+        def values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                for sig, n, x in zip(b["sig"], b["n"], b["full"], strict=True):
+                    v = np.frombuffer(x, dtype=np.int64)
+                    yield pd.DataFrame({"sig": [sig] * len(v), "n": np.full(len(v), n), "v": v})
+
+        held = self.scratch.put(rows.select("sig", "n", "full").mapInPandas(values, "sig binary, n long, v long"))
+        shared = held.groupBy("v").count().filter(F.col("count") > 1)
+        own = Window.partitionBy("sig")  # the values of one set
+        place, m = F.row_number().over(own.orderBy("count", "v")), F.count(F.lit(1)).over(own)
+        need = F.ceil(F.col("n") * self.percent / 100)
+        ranked = held.join(shared, "v").select("sig", "v", place.alias("place"), (m - need + 1).alias("last"))
+        out = self.scratch.put(ranked.filter(F.col("place") <= F.col("last")).select("sig", "v"))
+        self.scratch.free(held)
+        return out
+
     def looked_up(self, asked: DataFrame, answering: DataFrame) -> DataFrame:
-        """Exact links between some sets and all answering ones (sig, label, n, full), as pairs of labels.
+        """Exact links between asked sets and all answering ones (sig, label, n, full), as pairs of labels; the asked are among the answering.
 
-        Both are dealt into bands of like sizes and each band, by its counted bytes, into
-        blocks; a block's full sets are inverted and each answering set counts its common
+        The asked are dealt into bands of like sizes and each band, by its counted bytes,
+        into blocks. An answering set goes to the blocks of its band that hold one of its
+        prefix values and to no others; what comes to a block is counted and cut into
+        chunks. A block's full sets are inverted and each answering set counts its common
         values with every set of the block at once. One link between two components is
         as good as all, so each block gives at most one per pair of labels.
         """
-        percent = self.percent
+        percent, put, free = self.percent, self.scratch.put, self.scratch.free
         # a little wider than the largest ratio of sizes that a link allows, so partners are in touching bands
         band = F.floor(F.log("n") / (1.01 * math.log(100 / percent))).cast("int") if percent < 100 else F.col("n").cast("int")
-        # bands grow with the logarithm of the largest set, so these are short tables
-        counted = lambda df, name: F.broadcast(df.groupBy("band").agg((F.floor(F.sum("n") * 8 / BLOCK) + 1).cast("int").alias(name)))
+        parts = lambda n: (F.floor(F.sum(n) * 8 / BLOCK) + 1).cast("int")
         place = lambda n, seed: F.pmod(F.xxhash64("sig", F.lit(seed)), F.col(n)).cast("int")
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        q = asked.withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
-        a = answering.withColumn("band", band)
-        blocks, chunks = counted(q, "blocks"), counted(a, "chunks")
-        q = q.join(blocks, "band").join(chunks, "band").select("label", "full", "band", place("blocks", 1).alias("block"), every("chunks").alias("chunk"))
-        a = a.join(blocks, "band").join(chunks, "band").select("label", "full", "band", place("chunks", 2).alias("chunk"), every("blocks").alias("block"))
+        prefix = self.prefixes(answering)
+        near = asked.select("sig", "n", F.explode(F.array(band - 1, band, band + 1)).alias("band"))
+        # bands grow with the logarithm of the largest set, so this is a short table
+        blocks = F.broadcast(near.groupBy("band").agg(parts("n").alias("blocks")))
+        near = put(near.join(blocks, "band").select("sig", "band", place("blocks", 1).alias("block")))
+        wanted = near.join(prefix, "sig").select("band", "v", "block").distinct()
+        offered = answering.select("sig", "n", band.alias("band")).join(prefix, "sig")
+        met = put(offered.join(wanted, ["band", "v"]).select("band", "block", "sig", "n").distinct())
+        chunks = put(met.groupBy("band", "block").agg(parts("n").alias("chunks")))
+        every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+        full = lambda df: df.select("sig", *(F.col(c).alias(c) for c in ("label", "full")))
+        q = near.join(chunks, ["band", "block"]).select("sig", "band", "block", every).join(full(asked), "sig").drop("sig")
+        a = met.join(chunks, ["band", "block"]).select("sig", "band", "block", place("chunks", 2).alias("chunk")).join(full(answering), "sig").drop("sig")
 
         def run(q: pd.DataFrame, a: pd.DataFrame) -> pd.DataFrame:
             out: set[tuple[bytes, bytes]] = set()
@@ -309,7 +343,9 @@ class Clusters:
             return pd.DataFrame(sorted(out), columns=["a", "b"])
 
         keys = ("band", "block", "chunk")
-        return q.groupBy(*keys).cogroup(a.groupBy(*keys)).applyInPandas(run, "a binary, b binary")
+        out = put(q.groupBy(*keys).cogroup(a.groupBy(*keys)).applyInPandas(run, "a binary, b binary"))
+        free(prefix, near, met, chunks)
+        return out
 
     def run(self) -> DataFrame:
         put, free = self.scratch.put, self.scratch.free
