@@ -137,15 +137,16 @@ def no_copy(files: DataFrame, root: str) -> DataFrame:
 def report_on_disk(spark: SparkSession, root: str) -> DataFrame:
     """vault_report of the folder root, with the mapping of replaced names that lies in it."""
     listing = written(folders.tree(spark, root))
-    read = folders.contents(listing.filter(F.col("name").endswith(".md") | (F.col("name") == "lesson.json")), root)
-    files = listing.select("path").join(read, "path", "left")
+    asked = F.col("name").endswith(".md") | (F.col("name") == "lesson.json")
+    files = folders.contents(listing.filter(asked), root, gone=True).unionByName(listing.filter(~asked).select("path", F.lit(None).cast("string").alias("text")))
     return vault_report(files, root.rstrip("/").rpartition("/")[2], mapping_file=folders.contents(listing.filter(F.col("path") == N.MAPPING), root))
 
 
 def vault_report(files: DataFrame, root: str, mapping: DataFrame | None = None, mapping_file: DataFrame | None = None) -> DataFrame:
     """All checks of a vault's files (path; text of Markdown and lesson.json): check, level, message.
 
-    Files and the parsed heads of notes are written once, as every check reads them. The
+    Files and the parsed heads of notes are written once, as every check reads them; no text moves between
+    tasks but those of the sampled notes. The
     names that were replaced come as rows (variant, canonical) or as the file that has them (path, text; no
     row: there is none), which may be no JSON.
     """
@@ -156,12 +157,16 @@ def vault_report(files: DataFrame, root: str, mapping: DataFrame | None = None,
         broken = bool(state and state["bad"])
         mapping = N.replaced(mapping_file) if state and not broken else None
     files = written(files.select("path", "text"))
-    notes = written(N.notes_beside_lessons(files).withColumn("head", N.frontmatter(F.col("text"), lines=True)))
+    headed = files.filter(F.col("path").endswith(".md")).select("path", N.frontmatter(F.col("text"), lines=True).alias("head"))
+    places = files.filter(X.basename(F.col("path")) == "lesson.json").select("path", F.lit(None).cast("map<string,array<string>>").alias("head"))
+    notes = written(N.notes_beside_lessons(headed.unionByName(places)))
+    first = notes.orderBy(F.split("path", "/")).limit(graph.SAMPLE).select("path").distinct()
+    sampled = files.join(F.broadcast(first), "path", "left_semi")  # as many rows as the sample has
     return report([
         unique_ids(files.filter(X.basename(F.col("path")) == "lesson.json")),
         schema_fields(notes),
         orphan_stubs(files, notes),
         page_targets(files),
-        replaced_names(notes, mapping, files.sparkSession, bool(broken)),
+        replaced_names(sampled, mapping, files.sparkSession, bool(broken)),
         no_copy(files, root),
     ])
