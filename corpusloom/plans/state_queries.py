@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,10 +17,10 @@ from . import media_queries as M
 PART_BYTES = 1 << 16
 
 
-def _files(df: DataFrame, folder: str, by: str, parts: int) -> None:
-    """df as so many files, one after the other, as they would come up."""
+def _arrivals(df: DataFrame, folder: str, by: str, parts: int) -> Iterator[None]:
+    """df in so many parts, one after the other, as they would come up; each is written by all tasks that make it."""
     for i in range(parts):
-        df.filter(F.pmod(by, F.lit(parts)) == i).coalesce(1).write.mode("append").parquet(folder)
+        yield df.filter(F.pmod(by, F.lit(parts)) == i).write.mode("append").parquet(folder)
 
 
 def attempt_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -26,9 +28,8 @@ def attempt_stream(spark: SparkSession, sf: str) -> DataFrame:
     i = F.col("event_id")
     events = M.attempt_events(spark, sf).withColumn("server", F.when(i % 4 == 0, F.concat(F.lit("s"), (i % 3).cast("string"))))
     folder = scratch_folder(spark, "events")
-    _files(events, f"{folder}/in", "event_id", 3)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    attempts.run_attempts(stream, f"{folder}/out", f"{folder}/checkpoint")
+    for _ in _arrivals(events, f"{folder}/in", "event_id", 3):  # a run takes what is there as one batch
+        attempts.run_attempts(spark.readStream.schema(events.schema).parquet(f"{folder}/in"), f"{folder}/out", f"{folder}/checkpoint")
     return attempts.last_state(spark, f"{folder}/out").select("key", "status", "attempts", F.date_format("last_attempt_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("last_attempt_at"), "last_error", "output_file", "server_used")
 
 
@@ -64,11 +65,11 @@ def snapshot_stream(spark: SparkSession, sf: str) -> DataFrame:
     sha = F.sha2("text", 256)
     folder = scratch_folder(spark, "snapshots")
     first = rows(1, sha, F.lit(False))
-    _files(first, f"{folder}/in", "doc_id", 2)
     second = rows(2, F.when(i % 5 == 0, F.concat(F.lit("new"), sha)).otherwise(sha), i % 7 == 0).filter("doc_id % 3 = 0")
-    _files(second, f"{folder}/in", "doc_id", 2)
     out = StructType().add("doc_id", "long").add("body_sha", "string").add("seq", "integer")
-    snapshot.run_snapshots(spark, f"{folder}/in", first.schema, lambda new: new.select("doc_id", "body_sha", "seq"), out, f"{folder}/out", f"{folder}/checkpoint", key="doc_id", files=1, compact=3)
+    for part in (first, second):
+        for _ in _arrivals(part, f"{folder}/in", "doc_id", 2):  # a run takes what is there as one batch
+            snapshot.run_snapshots(spark, f"{folder}/in", first.schema, lambda new: new.select("doc_id", "body_sha", "seq"), out, f"{folder}/out", f"{folder}/checkpoint", key="doc_id", compact=3)
     return snapshot.now_of(spark, f"{folder}/out", out, "doc_id")
 
 
