@@ -7,9 +7,9 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import Scratch, remove, shared_folder, table
+from ..session import Scratch, remove, shared_folder, small_batches, table
 
-__all__ = ["Scratch", "keyed", "remove", "sha256_hex", "shared_folder", "table", "unkeyed"]
+__all__ = ["Scratch", "keyed", "remove", "sha256_hex", "shared_folder", "small_batches", "table", "unkeyed"]
 
 
 def keyed(df: DataFrame, id_col: str, *others: Column) -> DataFrame:

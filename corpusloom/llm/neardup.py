@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, keyed, unkeyed
+from .common import Scratch, keyed, small_batches, unkeyed
 from .wordhash import NONSPACE, grams, pieces, words
 
 #: Values of a sketch; cold values of it whose lists are used; sets of a list that still makes pairs.
@@ -117,6 +117,7 @@ class Clusters:
     """One run over one table; every table that it writes goes when the run no longer needs it."""
 
     def __init__(self, docs: DataFrame, size: int, percent: int) -> None:
+        small_batches(docs.sparkSession)
         self.docs, self.size, self.percent = docs, size, percent
         self.scratch = Scratch(docs.sparkSession, "neardup")
 

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small_batches
 from . import media
 from .graph import mapping_rows
 
@@ -24,7 +25,8 @@ CLASSIFIED = "lesson_id long, summary string, tags array<string>, concepts array
 
 
 def apply(rows: DataFrame, kernel: Kernel, schema: str, parallel: int | None = None) -> DataFrame:
-    """rows through a kernel; `parallel` bounds how many calls run at a time."""
+    """rows through a kernel, in small batches; `parallel` bounds how many calls run at a time."""
+    small_batches(rows.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

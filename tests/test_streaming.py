@@ -162,3 +162,32 @@ def test_rounds_equal_a_plain_queue(spark, seed):
     events = rounds.attempt_events(got, "key").filter("status = 'completed'").collect()
     assert {r["key"] for r in events} == {k for k, v in want.items() if v[-1] == "ok"} and all(r["error"] is None for r in events)
     assert rounds.run_rounds(spark.createDataFrame([], "key long"), "key", lambda rows, n: rows.withColumn("outcome", F.lit("ok")), lambda n: True).count() == 0
+
+
+def test_parts_that_come_up_are_written_by_all_tasks(spark, tmp_path):
+    from corpusloom.plans import state_queries
+
+    rows = spark.range(40, numPartitions=4)
+    seen = [len(list((tmp_path / "in").glob("*.parquet"))) for _ in state_queries._arrivals(rows, str(tmp_path / "in"), "id", 2)]
+    assert seen == [4, 8] and sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "in")).collect()) == list(range(40))
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    from corpusloom import session
+    from corpusloom.functions import html
+    from corpusloom.operators import kernels
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    rows = spark.range(2000, numPartitions=1).selectExpr("id AS lesson_id", "'a' AS text")
+    try:
+        spark.conf.set(name, "10000")
+        sizes = kernels.apply(rows, lambda b: b.assign(n=len(b))[["n"]], "n long")
+        assert max(r["n"] for r in sizes.collect()) == session.BATCH_ROWS
+        spark.conf.set(name, "10000")
+        html.markdown(rows["text"])
+        assert spark.conf.get(name) == str(session.BATCH_ROWS)
+        spark.conf.set(name, "77")
+        assert max(r["n"] for r in kernels.apply(rows, lambda b: b.assign(n=len(b))[["n"]], "n long").collect()) == 77  # the session's own number stays
+    finally:
+        spark.conf.set(name, before)
