@@ -102,3 +102,31 @@ def test_mappings(spark):
     texts = ['{"concepts": {"A": "B", "C": 7}}', '{"A": "B"}', '{"concepts": null, "A": "B"}', "[1]", "{nope", '{"concepts": {"D": null}}']
     got = [sorted(map(tuple, N.replaced(spark.createDataFrame([(N.MAPPING, t)], "path string, text string")).collect())) for t in texts]
     assert got == [[("A", "B"), ("C", "7")], [("A", "B")], [], [], [], [("D", "None")]]
+
+
+def test_heads_are_parsed_once_and_texts_stay(spark, root):
+    """Former notes: no plan that a table is read from parses a head, or holds a text; files behind a join are read by all tasks."""
+    from corpusloom.plans import build
+    from corpusloom.sources import folders
+
+    listing = folders.tree(spark, str(root))
+    note = root / "Month 1/1-Intro/01-a/note.md"
+    note.write_text('---\nvault_schema: 1\nlesson_id: "A"\nbody_sha: "x"\nsummary: "S"\ntags:\n- t\n---\n' + "body " * 100)
+    former = build.former_notes(listing, str(root))
+    plan = former._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "MapInArrow" not in plan and "text" not in plan
+    assert [(r["lesson_id"], r["schema"], r["summary"], r["tags"]) for r in former.collect()] == [("A", 1, "S", ["t"])]
+    joined = listing.join(listing.select("path"), "path", "left_semi")
+    read = folders.contents(joined, str(root))
+    assert read.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and read.count() == listing.count()
+
+
+def test_white_space_is_collapsed_as_a_pattern_does():
+    import re
+
+    from corpusloom.functions import html
+
+    signs = ["", " ", "a", "\n", "\x1c", "\x85", "\xa0", "\u2003", "\u200b", "é "]
+    for text in (x + y + z + w for x in signs for y in signs for z in signs for w in signs):
+        assert html._collapsed(text) == re.sub(r"\s+", " ", text)
+        assert html._run(text) == "  \n".join(re.sub(" +", " ", line).strip(" ") for line in text.split("\n")).strip(" \n")
