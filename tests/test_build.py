@@ -130,3 +130,33 @@ def test_white_space_is_collapsed_as_a_pattern_does():
     for text in (x + y + z + w for x in signs for y in signs for z in signs for w in signs):
         assert html._collapsed(text) == re.sub(r"\s+", " ", text)
         assert html._run(text) == "  \n".join(re.sub(" +", " ", line).strip(" ") for line in text.split("\n")).strip(" \n")
+
+
+def test_a_run_leaves_no_texts_outside_its_files(spark, root):
+    """Files meet their lessons without a shuffle; when a run has ended no table has a text, and no shuffle a file."""
+    from pathlib import Path as P
+
+    from corpusloom.plans import build
+    from corpusloom.session import shared_folder
+    from corpusloom.sources import folders
+
+    def shuffles():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {p.name for d in manager.localDirs() for p in P(d.getPath()).rglob("shuffle_*")}
+
+    def tables():
+        return {p.parent for p in P(shared_folder(spark).removeprefix("file:")).rglob("*.parquet")}
+
+    listing = folders.tree(spark, str(root))
+    lessons = N.lessons_of(folders.contents(listing.filter(F.col("name") == "lesson.json"), str(root)), listing)
+    bodies = build.lesson_bodies(lessons, listing, str(root))
+    assert {r["lesson_id"]: ("alpha" in r["transcript"], "beta" in (r["notes"] or "")) for r in bodies.collect()} == {"A": (True, False), "B": (False, True), "C": (False, False)}
+    plan = bodies._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("MapInArrow")]
+
+    held, before = shuffles(), tables()
+    got = build_vault(spark, str(root), _classify(), Settings())
+    assert shuffles() <= held
+    assert _actions(got)["Month 1/1-Intro/01-a/01. Alpha.md"] == "new"
+    left = {c for t in tables() - before for c in spark.read.parquet(str(t)).columns}
+    assert "action" in left and not left & {"text", "raw", "html", "notes", "transcript"}
