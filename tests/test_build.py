@@ -160,3 +160,10 @@ def test_a_run_leaves_no_texts_outside_its_files(spark, root):
     assert _actions(got)["Month 1/1-Intro/01-a/01. Alpha.md"] == "new"
     left = {c for t in tables() - before for c in spark.read.parquet(str(t)).columns}
     assert "action" in left and not left & {"text", "raw", "html", "notes", "transcript"}
+
+
+def test_digests_of_built_pages_are_made_where_files_are_read(spark):
+    from corpusloom.plans import vault_queries as V
+
+    plan = V.built_pages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan[: plan.index("MapInArrow")]
